@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import small_batches
 
 WINDOW = 256
+#: Bytes that a filter sees; `tables` spells these widths out.
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBED = 8
@@ -62,15 +63,36 @@ class ByteNet:
             parts.append(np.maximum(top + self.weights[f"b{k}"], 0))
         return np.concatenate(parts, 1)
 
+    def tables(self) -> None:
+        """A filter is a sum over its bytes, so its value is looked up by pairs of bytes: 16-bit
+        tables at a common scale, whose sums can't overflow."""
+        emb, pair = self.weights["emb"].astype(np.float64), np.arange(1 << 16)
+        part = lambda k, i: emb @ self.weights[f"w{k}"][i * EMBED : (i + 1) * EMBED]
+        two = lambda k, i: part(k, i)[pair >> 8] + part(k, i + 1)[pair & 255]
+        whole = [two(2, 0), two(3, 0), part(3, 2), two(4, 0), two(4, 2)]
+        self.scale = 16_000 / max(np.abs(t).max() for t in whole)
+        self.parts = [np.ascontiguousarray(np.round(t * self.scale).astype(np.int16)) for t in whole]
+
     def proba(self, x: np.ndarray) -> np.ndarray:
-        z = np.concatenate([self.pooled(x[i : i + 64]) for i in range(0, len(x), 64)]) @ self.weights["out"] + self.weights["bias"]
+        """After `tables`: class probabilities of windows, 64 at a time; positions come first, so each maximum runs over whole rows."""
+        tops = []
+        for i in range(0, len(x), 64):
+            byte = np.ascontiguousarray(x[i : i + 64].T)
+            pair = (byte[:-1].astype(np.intp) << 8) | byte[1:]
+            two, three, third, front, back = (t.take(at, 0, mode="clip") for t, at in zip(self.parts, (pair, pair[:-1], byte[2:].astype(np.intp), pair[:-2], pair[2:])))
+            three += third
+            front += back
+            tops.append(np.concatenate([np.maximum.reduce(t, 0) for t in (two, three, front)], 1))
+        z = np.concatenate(tops) / self.scale + np.concatenate([self.weights[f"b{k}"] for k in WIDTHS])
+        z = np.maximum(z, 0) @ self.weights["out"] + self.weights["bias"]
         e = np.exp(z - z.max(1, keepdims=True))
         return e / e.sum(1, keepdims=True)
 
-    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 6, rate: float = 4e-3, batch: int = 64, seed: int = 0) -> None:
-        """Adam on the cross-entropy; only each filter's best position has a gradient."""
+    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 5, steps: int = 600, rate: float = 4e-3, batch: int = 64, seed: int = 0) -> None:
+        """Adam on the cross-entropy; only each filter's best position has a gradient. At least
+        `epochs` passes and about `steps` steps, so a small sample is seen more often."""
         g, m, step = np.random.default_rng(seed), {}, 0
-        for _ in range(epochs):
+        for _ in range(max(epochs, -(-steps * batch // len(x)))):
             for rows in np.array_split(g.permutation(len(x)), max(1, len(x) // batch)):
                 trace: list = []
                 h = self.pooled(x[rows], trace)
@@ -114,7 +136,7 @@ def remainder(doc_id: Column) -> Column:
 def fit(docs: DataFrame, train_windows: int = TRAIN_WINDOWS, seed: int = 0) -> ByteNet:
     """Train on at most train_windows windows of texts with a lang and a remainder other than 1.
     The sample is by hash of doc_id, at the same expected number for each language (the 64 most
-    frequent ones), one window of each text. Without labelled rows the network has no class and
+    frequent ones), one to four windows of each text. Without labelled rows the network has no class and
     answers `und`."""
     cut = 4 * WINDOW  # characters brought to the driver for each sampled row
     known = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string")).where(
@@ -131,8 +153,10 @@ def fit(docs: DataFrame, train_windows: int = TRAIN_WINDOWS, seed: int = 0) -> B
     start = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed + 1)), F.greatest(F.lit(1), F.length("text") - WINDOW // 2)).cast("int")
     rows = known.where(keep).select("lang", "doc_id", F.substring(F.col("text"), start + 1, F.lit(cut)).alias("text"), lot.alias("lot")).orderBy("lot", "doc_id").limit(train_windows).collect()
     classes = sorted({r["lang"] for r in rows})
-    x = np.stack([windows(r["text"])[0] for r in rows])
-    y = np.array([classes.index(r["lang"]) for r in rows])
+    each = max(1, min(4, train_windows // len(rows)))
+    parts = [windows(r["text"])[:each] for r in rows]
+    x = np.concatenate(parts)
+    y = np.repeat([classes.index(r["lang"]) for r in rows], [len(p) for p in parts])
     net = ByteNet(classes, seed=seed)
     # a second copy with a random share of its tail blanked teaches short texts
     g = np.random.default_rng(seed)
@@ -150,10 +174,11 @@ def identify(docs: DataFrame, net: ByteNet, reject: float | None = None) -> Data
     kept = docs.drop("lang_pred", "score")
     schema = kept.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
     columns = [*kept.columns, "lang_pred", "score"]
-    at, weights, classes = kept.columns.index("text"), docs.sparkSession.sparkContext.broadcast(net.weights), net.classes
+    net.tables()
+    at, sent = kept.columns.index("text"), docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = ByteNet(classes, weights.value)
+        model = sent.value
         for b in batches:
             found = [model.predict(t) for t in b.column(at).to_pylist()]
             out = pa.RecordBatch.from_arrays(
