@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,7 +24,9 @@ from .simhash import votes, words
 
 BITS = 256
 #: Characters of text that a range of neighbouring documents holds, about.
-RANGE_CHARS = 16_000_000
+RANGE_CHARS = 1_000_000
+#: Characters that a task gets, about, where the session's shuffle partitions would leave it more.
+TASK_CHARS = 64_000_000
 
 
 def mixed(z: np.ndarray) -> np.ndarray:
@@ -115,7 +118,7 @@ def beside_next(docs: DataFrame, bits: int = BITS, range_chars: int = RANGE_CHAR
 
     The ids are cut into ranges of about range_chars characters at quantiles, and the first
     rows of each range are dealt to the range before as well: one shuffle, and no task holds more
-    than a batch of its range."""
+    than a batch of its ranges."""
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), lit("")).alias("text"))
@@ -127,17 +130,26 @@ def beside_next(docs: DataFrame, bits: int = BITS, range_chars: int = RANGE_CHAR
     heads = sorted({*(ends or []), *([stats["top"]] if stats["top"] is not None else [])}, reverse=True)  # heads[k]: largest id of range k
     if not heads:
         heads = [0]
-    sent = spark.createDataFrame([(heads,)], "heads array<long>")
-    last = len(heads) - 1
-    slot = F.when(F.col("doc_id").isNull(), lit(last)).otherwise(F.aggregate("heads", lit(-1), lambda n, h: n + (h >= F.col("doc_id")).cast("int")))
-    slot = slot if last else lit(0)
-    # A range's first id goes to the range before too; the first of all goes to the last one.
-    is_head = F.coalesce(F.array_contains("heads", F.col("doc_id")), lit(False))
+    last, ends_of = len(heads) - 1, spark.sparkContext.broadcast(np.array(heads[::-1], np.int64))
     no_ids = stats["top"] is None
-    extra = F.struct(F.when(F.col("slot") == 0, lit(last)).otherwise(F.col("slot") - 1).alias("part"), lit(1).alias("ahead"))
-    own = F.struct(F.col("slot").alias("part"), lit(0).alias("ahead"))
-    placed = rows.crossJoin(F.broadcast(sent)).withColumn("slot", slot.cast("int")).select("doc_id", "text", F.explode(F.when(is_head | lit(no_ids), F.array(own, extra)).otherwise(F.array(own))).alias("p"))
-    dealt = placed.select("p.part", "p.ahead", "doc_id", "text").repartition(max(1, min(len(heads), 4096)), "part").sortWithinPartitions("part", "ahead", F.desc_nulls_last("doc_id"), "text")
+
+    @F.pandas_udf("long")
+    def place(ids: pd.Series) -> pd.Series:
+        """2 * range of the id, plus 1 for a first id of a range; nulls belong to the last range."""
+        up = ends_of.value
+        known = ids.notna().to_numpy()
+        at = np.searchsorted(up, ids.fillna(0).to_numpy(np.int64))  # the smallest head that is at least the id
+        at = np.minimum(at, len(up) - 1)
+        head = known & (up[at] == ids.fillna(0).to_numpy(np.int64))
+        return pd.Series(np.where(known, 2 * (last - at) + head, 2 * last + no_ids))
+
+    # A range's first id goes to the range before too; the first of all goes to the last one.
+    slot, is_head = F.floor(F.col("place") / 2).cast("int"), F.col("place") % 2 == 1
+    own = F.struct(slot.alias("part"), lit(0).alias("ahead"))
+    extra = F.struct(F.when(slot == 0, lit(last)).otherwise(slot - 1).alias("part"), lit(1).alias("ahead"))
+    placed = rows.withColumn("place", place("doc_id")).select("doc_id", "text", F.explode(F.when(is_head, F.array(own, extra)).otherwise(F.array(own))).alias("p"))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (stats["chars"] or 0) // TASK_CHARS)
+    dealt = placed.select("p.part", "p.ahead", "doc_id", "text").repartition(int(tasks), "part").sortWithinPartitions("part", "ahead", F.desc_nulls_last("doc_id"), "text")
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
