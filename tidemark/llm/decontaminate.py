@@ -13,13 +13,13 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import small_batches
-from .simhash import words
 
 SEED_WORDS = 3
 #: An n-gram is rare if at most this share of a block's different items has it.
@@ -32,9 +32,13 @@ MIN_SCORE = 0.5
 BLOCK_WORDS = 2_000_000
 
 
+#: ASCII punctuation parts words; capitals are lower-cased.
+FOLD = bytes(32 if chr(c) in """!"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~""" else c + 32 if 65 <= c <= 90 else c for c in range(256))
+
+
 def normal(text: str | None) -> list[bytes]:
-    """Words without the marks around them, so that changed punctuation changes no word."""
-    return [w for w in (x.strip(b"""!"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~""") for x in words(text)) if w]
+    """Words without the marks in and around them, so that changed punctuation changes no word."""
+    return text.encode("utf-8", "surrogatepass").translate(FOLD).split() if text else []
 
 
 class Items:
@@ -48,6 +52,8 @@ class Items:
                 self.groups[ids].append(item_id)
         self.items = [np.array(x, np.int64) for x in self.groups]
         self.ids = list(self.groups.values())
+        self.lengths = {len(x) for x in self.items}
+        self.counts = [np.unique(x, return_counts=True) for x in self.items]
         grams = [self.grams(x) for x in self.items]
         shared = Counter(g for x in grams for g in set(x.tolist()))
         limit = max(1, int(RARE_SHARE * len(self.items)))
@@ -74,6 +80,11 @@ class Items:
         out = (out * np.uint64(8) + np.uint64(n)) & np.uint64((1 << 63) - 1)
         return np.where(known, out.view(np.int64), -1)
 
+    def shared_words(self, k: int, passage: np.ndarray) -> int:
+        """Words that item class k and the passage have in common, repeats included: no alignment has more matches."""
+        words, counts = self.counts[k]
+        return int(np.minimum(np.bincount(passage[passage >= 0], minlength=len(self.vocabulary))[words], counts).sum())
+
     def hits(self, ids: np.ndarray) -> dict[int, list[int]]:
         """Item class -> where in the document the class's text would begin, for each seed hit."""
         found: dict[int, list[int]] = defaultdict(list)
@@ -82,13 +93,13 @@ class Items:
         for n in range(1, self.n + 1):
             if n > len(ids):
                 break
-            short = n < self.n
-            if short and not any(len(x) == n for x in self.items):
+            if n < self.n and n not in self.lengths:
                 continue
             grams = Items.grams(_Length(self, n), ids)
-            at = np.searchsorted(self.sorted, grams)
+            known = np.flatnonzero(grams >= 0)
+            at = np.searchsorted(self.sorted, grams[known])
             at[at == len(self.sorted)] = 0
-            for i in np.flatnonzero(self.sorted[at] == grams):
+            for i in known[self.sorted[at] == grams[known]]:
                 for item, k in self.seeds[int(grams[i])]:
                     found[item].append(int(i) - k)
         return found
@@ -127,8 +138,7 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
 def matches(items: Items, text: str | None, min_score: float) -> list[tuple[int, float, int, int]]:
     """(item_id, score, first word, end word) of each item found in the text, at its best place."""
     tokens = normal(text)
-    get = items.vocabulary.get
-    ids = np.array([get(w, -1) for w in tokens], np.int64)
+    ids = np.fromiter(map(items.vocabulary.get, tokens, repeat(-1)), np.int64, len(tokens))
     found = []
     for k, starts in items.hits(ids).items():
         item = items.items[k]
@@ -141,6 +151,8 @@ def matches(items: Items, text: str | None, min_score: float) -> list[tuple[int,
                 continue
             done = start + slack // 2
             high = min(len(ids), done + len(item) + slack)
+            if MATCH * items.shared_words(k, ids[low:high]) < max(min_score * goal, best[0] + 1):
+                continue  # no alignment here can score enough
             made = align(item, ids[low:high])
             if made[0] > best[0]:
                 best = (made[0], low + made[1], low + made[2])
@@ -169,7 +181,7 @@ SCHEMA = "doc_id long, item_id long, score double, first_word long, end_word lon
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, item_id, score (share of the item's best possible alignment), first_word, end_word
-    (of the passage, counted without punctuation): one row for each document row and item it holds
+    (of the passage, counted between spaces and punctuation): one row for each document row and item it holds
     a copy of. Null, empty and wordless texts match nothing; items of the same words get a row each."""
     spark = docs.sparkSession
     small_batches(spark)
