@@ -75,7 +75,7 @@ def band_factors(df: DataFrame, nominal: float = 0.8, low: int = 60, high: int =
     above = ratio(F.col("actual") - F.col("p50"), F.col("p90") - F.col("p50"))
     below = ratio(F.col("p50") - F.col("actual"), F.col("p50") - F.col("p10"))
     side = F.when(F.col("actual") > F.col("p50"), above).when(F.col("actual") < F.col("p50"), below).otherwise(0.0)
-    need = F.greatest(lit(low), F.ceil(F.round(side * 100, 6)))  # null: never covered
+    need = F.when(side.isNotNull(), F.greatest(lit(low), F.ceil(F.round(side * 100, 6))))  # null: never covered
     counts = rows.groupBy("property", need.cast("int").alias("need")).agg(F.count("*").alias("c"))
     total = counts.groupBy("property").agg(F.sum("c").alias("n")).where(F.col("n") >= min_obs)
     spine = total.select("property", "n", F.explode(F.sequence(lit(low), lit(high))).alias("step"))

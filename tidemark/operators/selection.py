@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql.functions import lit
 
 from ..functions.metrics import error_metrics
 from ..functions.scalars import MODELS, accuracy_band, parsimony
-from . import asof, models
+from . import models
 
 BIAS_WEIGHT, STABILITY_WEIGHT, LEAD_ALPHA, LEAD_SPLIT = 0.5, 0.25, 0.65, 30
 MIN_FOLDS, OVERRIDE_MARGIN, FOLD_DAYS, MIN_TRAIN = 3, 0.05, 90, 60
@@ -25,16 +23,21 @@ def fold_cutoffs(cutoff: str, n: int = 4, days: int = FOLD_DAYS) -> list[tuple[i
 
 def fold_predictions(demand: DataFrame, pickup: DataFrame, cutoff: str, n: int = 4, days: int = FOLD_DAYS) -> DataFrame:
     """property, fold, model, stay_date, lead_days, forecast, actual of the relational candidates. Properties with
-    less than 60 training rows in a fold or without actuals are left out of it."""
-    parts = []
-    for fold, at in fold_cutoffs(cutoff, n, days):
-        trained = asof.as_of(demand, at).groupBy("property").count().where(F.col("count") >= MIN_TRAIN).select("property")
-        grid = asof.request_grid(trained, at, days)
-        booked = asof.booked_on_grid(grid, pickup, at)
-        curves = models.pickup_curves(asof.remaining_pickup(pickup, demand, at))
-        parts.append(models.seasonal_naive(demand, at, grid).select("property", lit(fold).alias("fold"), lit("seasonal_naive").alias("model"), "stay_date", "lead_days", "forecast"))
-        parts.append(models.curve_pickup(booked, curves).select("property", lit(fold).alias("fold"), lit("pickup_curve").alias("model"), "stay_date", "lead_days", "forecast"))
-    return reduce(DataFrame.unionByName, parts).join(demand.select("property", "stay_date", F.col("room_nights").alias("actual")), ["property", "stay_date"])
+    less than 60 training rows in a fold or without actuals are left out of it. Folds are a key of one plan, not
+    a loop: all of them are computed together."""
+    folds = F.broadcast(demand.sparkSession.createDataFrame(fold_cutoffs(cutoff, n, days), "fold int, cutoff string").withColumn("cutoff", F.to_date("cutoff")))  # n rows
+    keys = ("fold",)
+    past = demand.join(folds, F.col("stay_date") <= F.col("cutoff"))
+    trained = past.groupBy("property", "fold", "cutoff").count().where(F.col("count") >= MIN_TRAIN)
+    grid = trained.select("property", "fold", "cutoff", F.explode(F.sequence(lit(1), lit(days))).alias("lead_days")).withColumn("stay_date", F.date_add("cutoff", F.col("lead_days")))
+    known = pickup.where("pickup_rn is not null").select("property", "stay_date", "snapshot_date", F.col("lead_days").alias("_lead"), "pickup_rn")
+    fits = (F.col("_lead") >= F.col("lead_days")) & (F.col("snapshot_date") <= F.col("cutoff"))
+    booked = grid.join(known, ["property", "stay_date"], "left").groupBy("property", "fold", "stay_date", "lead_days").agg(F.min_by(F.when(fits, F.col("pickup_rn")), F.when(fits, F.col("_lead"))).alias("booked"))
+    realised = pickup.join(demand, ["property", "stay_date"]).join(folds, (F.col("stay_date") <= F.col("cutoff")) & (F.col("snapshot_date") <= F.col("cutoff")))
+    curves = models.pickup_curves(realised.select("fold", "property", "stay_date", "lead_days", (F.col("room_nights") - F.col("pickup_rn")).alias("remaining")), keys=keys)
+    columns = ["property", "fold", "model", "stay_date", "lead_days", "forecast"]
+    made = models.naive(past, grid, keys).withColumn("model", lit("seasonal_naive")).select(*columns).unionByName(models.curve_pickup(booked, curves, keys).withColumn("model", lit("pickup_curve")).select(*columns))
+    return made.join(demand.select("property", "stay_date", F.col("room_nights").alias("actual")), ["property", "stay_date"])
 
 
 def fold_metrics(predictions: DataFrame, split: int = LEAD_SPLIT) -> DataFrame:

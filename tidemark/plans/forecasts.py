@@ -22,28 +22,51 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({c: r6(c) for c in doubles})
 
 
+_KEPT: dict[tuple, DataFrame] = {}
+
+
+def kept(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A canonical fact, persisted: the folds and models read it many times. Facts are a row for each
+    property and day (and lead), whatever the size of the tables they come from."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _KEPT:
+        _KEPT[key] = (MADE.get(name) or getattr(canon, name))(spark, d).persist()
+    return _KEPT[key]
+
+
 def fold_predictions(spark: SparkSession, d: str) -> DataFrame:
-    return selection.fold_predictions(canon.demand(spark, d), canon.pickup(spark, d), CUTOFF)
+    return kept(spark, d, "folds")
+
+
+def _folds(spark: SparkSession, d: str) -> DataFrame:
+    return selection.fold_predictions(kept(spark, d, "demand"), kept(spark, d, "pickup"), CUTOFF)
 
 
 def published(spark: SparkSession, d: str) -> DataFrame:
     """The flagship forecast: naive points on the cutoff, as-of bookings, capacity, floor and cap."""
-    demand = canon.demand(spark, d)
+    demand = kept(spark, d, "demand")
     trained = asof.as_of(demand, CUTOFF).groupBy("property").count().where(F.col("count") >= selection.MIN_TRAIN).select("property")
-    grid = asof.booked_on_grid(asof.request_grid(trained, CUTOFF, HORIZON), canon.pickup(spark, d), CUTOFF)
+    grid = asof.booked_on_grid(asof.request_grid(trained, CUTOFF, HORIZON), kept(spark, d, "pickup"), CUTOFF)
     made = models.seasonal_naive(demand, CUTOFF, grid).select("property", "stay_date", "lead_days", F.col("booked").alias("current_booked_rn"), F.col("forecast").alias("raw_forecast_rn"))
-    return publish.floor_and_cap(publish.with_capacity(made, canon.capacity(spark, d), CUTOFF)).withColumn("forecast_date", lit(CUTOFF).cast("date"))
+    return publish.floor_and_cap(publish.with_capacity(made, kept(spark, d, "capacity"), CUTOFF)).withColumn("forecast_date", lit(CUTOFF).cast("date"))
 
 
 def graded(spark: SparkSession, d: str) -> DataFrame:
     """published with actuals, as columns actual and forecast."""
-    return published(spark, d).join(canon.demand(spark, d).select("property", "stay_date", F.col("room_nights").alias("actual")), ["property", "stay_date"]).withColumn("forecast", F.col("final_forecast_rn"))
+    return published(spark, d).join(kept(spark, d, "demand").select("property", "stay_date", F.col("room_nights").alias("actual")), ["property", "stay_date"]).withColumn("forecast", F.col("final_forecast_rn"))
 
 
 def banded(spark: SparkSession, d: str) -> DataFrame:
     """graded with p10, p50 and p90 from the folds' residuals."""
-    cells = publish.residual_cells(calibrate.residuals(calibrate.operative(fold_predictions(spark, d), "seasonal_naive")))
-    return publish.intervals(graded(spark, d), cells)
+    return publish.intervals(graded(spark, d), kept(spark, d, "cells"))
+
+
+def _cells(spark: SparkSession, d: str) -> DataFrame:
+    return publish.residual_cells(calibrate.residuals(calibrate.operative(fold_predictions(spark, d), "seasonal_naive")))
+
+
+#: Intermediate results that many queries start from.
+MADE = {"folds": _folds, "cells": _cells}
 
 
 # Candidates.
@@ -223,7 +246,7 @@ def systematic_pattern(spark: SparkSession, d: str) -> DataFrame:
     + """, t AS (SELECT fold, stay_date, model, SUM(forecast) AS f, SUM(actual) AS a FROM preds GROUP BY ALL),
 e AS (SELECT fold, stay_date, MAX(abs(f - a)) FILTER (WHERE model = 'seasonal_naive') - MAX(abs(f - a)) FILTER (WHERE model = 'pickup_curve') AS d FROM t GROUP BY ALL),
 x AS (SELECT row_number() OVER (ORDER BY fold, stay_date) AS i, d - AVG(d) OVER () AS x, COUNT(*) OVER () AS n, AVG(d) OVER () AS mean FROM e WHERE d IS NOT NULL)
-SELECT CAST(k AS INTEGER) AS lag, a.n, round(a.mean, 6) AS mean, round(COALESCE(SUM(a.x * b.x), 0) / a.n, 6) AS autocovariance FROM x a CROSS JOIN generate_series(0, 9) t(k) LEFT JOIN x b ON b.i = a.i - k GROUP BY ALL"""
+SELECT CAST(k AS INTEGER) AS lag, a.n, round(a.mean, 6) AS mean, round(COALESCE(SUM(a.x * b.x), 0) / MIN(a.n), 6) AS autocovariance FROM x a CROSS JOIN generate_series(0, 9) t(k) LEFT JOIN x b ON b.i = a.i - k GROUP BY k, a.n, a.mean"""
 )
 def dm_autocovariance(spark: SparkSession, d: str) -> DataFrame:
     panel = fold_predictions(spark, d).groupBy("fold", "stay_date", "model").agg(F.sum("forecast").alias("forecast"), F.sum("actual").alias("actual"))
