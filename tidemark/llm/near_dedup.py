@@ -27,6 +27,8 @@ from .simhash import fingerprint64
 
 #: Comparisons that a leaf of the tree makes at once.
 LEAF = 1 << 16
+#: A node is split while its two sides keep less than this share of the queries, on average.
+PRUNED = 0.9
 #: Vantage points of a block: fixed pseudo-random words, cut to the block's width.
 VANTAGE = [int(x) for x in np.random.default_rng(7).integers(0, 1 << 62, 4)]
 
@@ -69,7 +71,8 @@ def tree_links(fps: np.ndarray, index: np.ndarray, query: np.ndarray, radius: in
         index, query = stack.pop()
         if not len(index) or not len(query):
             continue
-        if len(set(forest.label[index].tolist()) | set(forest.label[query].tolist())) == 1:
+        one = forest.label[index[0]]
+        if (forest.label[index] == one).all() and (forest.label[query] == one).all():
             continue  # all connected already
         if len(index) * len(query) > LEAF and len(index) > 1:
             point = fps[index[len(index) // 2]]
@@ -83,9 +86,10 @@ def tree_links(fps: np.ndarray, index: np.ndarray, query: np.ndarray, radius: in
                 middle -= 1
                 inside = near <= middle
             if inside.any() and not inside.all():
-                stack.append((index[inside], query[far <= middle + radius]))
-                stack.append((index[~inside], query[far >= middle + 1 - radius]))
-                continue
+                below, above = query[far <= middle + radius], query[far >= middle + 1 - radius]
+                if len(below) + len(above) < PRUNED * 2 * len(query):  # else the bounds save less than they cost
+                    stack += [(index[inside], below), (index[~inside], above)]
+                    continue
         step = max(1, LEAF // len(index))
         for k in range(0, len(query), step):
             part = query[k : k + step]
