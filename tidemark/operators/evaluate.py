@@ -99,7 +99,8 @@ def dm_moments(differences: DataFrame, horizon: int) -> DataFrame:
     order = W.partitionBy(lit(0)).orderBy("fold", "stay_date")  # one series: a number for each day of the folds
     mean = differences.agg(F.avg("d").alias("m"), F.count("*").alias("n"))
     rows = differences.crossJoin(F.broadcast(mean)).withColumn("x", F.col("d") - F.col("m"))
-    lags = rows.select("n", "m", F.explode(F.array(*[F.struct(lit(k).alias("lag"), (F.col("x") * F.lag("x", k).over(order)).alias("xy")) for k in range(horizon)])).alias("l"))
+    rows = rows.withColumns({f"_{k}": F.col("x") * F.lag("x", k).over(order) for k in range(horizon)})
+    lags = rows.select("n", "m", F.explode(F.array(*[F.struct(lit(k).alias("lag"), F.col(f"_{k}").alias("xy")) for k in range(horizon)])).alias("l"))
     return lags.groupBy(F.col("l.lag").alias("lag"), "n", F.col("m").alias("mean")).agg((F.coalesce(F.sum("l.xy"), lit(0.0)) / F.col("n")).alias("autocovariance")).where("lag < n")
 
 
