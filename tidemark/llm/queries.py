@@ -105,5 +105,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-#: DuckDB's statement of what SQL can express: the turns' digests, which don't depend on the template.
-ORACLE: dict[str, str] = {}
+#: DuckDB's statement of what SQL can express. Turns, digests and lengths of op5 follow from the table and the
+#: template alone; the other operators need hashes, models, alignments or vocabularies that it lacks.
+ORACLE: dict[str, str] = {
+    "op5_chat_formatting": r"""WITH rows_ AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+named AS (SELECT conv_id, turn, CASE WHEN role = 'human' THEN 'user' WHEN role IN ('gpt', 'bot', 'model') THEN 'assistant' ELSE role END AS role, role AS first, text FROM rows_),
+sized AS (SELECT *, length(replace(replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<', '<\'), '[', '[\')) AS role_chars, length(replace(replace(text, '<', '<\'), '[', '[\')) AS text_chars FROM named)
+SELECT conv_id, COUNT(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, first, text)) AS turns_sha256,
+  CAST(SUM(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(COALESCE(string_agg(text, '' ORDER BY turn, first, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(SUM(length('<|turn|>') + role_chars + 1 + text_chars + length('<|end|>') + 1) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id""",
+}
