@@ -83,7 +83,7 @@ def explained(spark: SparkSession, d: str) -> DataFrame:
     return explain.contributions(published(spark, d).withColumn("base_value", lit(50.0)), list(IMPORTANCE), IMPORTANCE)
 
 
-@query(_PUB.rstrip() + ", " + _EXPLAINED + " SELECT property, stay_date, feature, driver, round(contribution, 6) AS contribution FROM ex")
+@query(_PUB.rstrip() + ", " + _EXPLAINED + " SELECT property, stay_date, feature, driver, round(contribution, 6) + 0.0 AS contribution FROM ex")
 def contributions(spark: SparkSession, d: str) -> DataFrame:
     return rounded(explained(spark, d))
 

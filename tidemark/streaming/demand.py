@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 def daily(events: DataFrame, watermark: str = "1 day") -> DataFrame:
     """property, stay_date, events, value: event types by day. events: ts, event_type, value; a stream or a batch."""
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))  # a watermark takes no time without a zone
     rows = events.withWatermark("ts", watermark) if events.isStreaming else events
     made = rows.groupBy(F.window("ts", "1 day").alias("w"), F.col("event_type").alias("property")).agg(F.count("*").alias("events"), F.sum("value").alias("value"))
     return made.select("property", F.to_date("w.start").alias("stay_date"), "events", F.round("value", 4).alias("value"))
