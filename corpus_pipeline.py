@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, langid, near_dedup, secrets_scan
+from tidemark.llm import bpe, decontaminate, langid, secrets_scan, set_join
 from tidemark.llm.common import settle
 from tidemark.llm.queries import table, vocabulary
 
 #: Mean probability below which a document has no sure language.
 LANGUAGE_SCORE = 0.4
-#: Words of a shingle, and bits in which fingerprints of near copies (similarity 0.8 or more) may differ.
-SHINGLE, RADIUS = 5, 8
+#: Words of a shingle. Near copies have a Jaccard index of their shingle sets of 0.8 or more.
+SHINGLE = 5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +26,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near copies stays; rows without an id stay."""
-    found = near_dedup.near_duplicates(docs, SHINGLE, RADIUS)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
+    found = set_join.similar_groups(docs, SHINGLE)
+    kept = found.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return one.union(docs.where("doc_id is null")).select(*docs.columns)
 
