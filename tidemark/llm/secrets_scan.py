@@ -75,10 +75,23 @@ def score(name: str, value: str) -> float:
     return sensitivity(name) * min(1.0, entropy(value) / 3.0 * (0.7 + 0.15 * mixed))
 
 
-def assigned(text: str) -> Iterator[tuple[str, str, list[tuple[int, int]]]]:
-    """(name, literal, its spans): a literal may be joined of several, and a name may stand for
-    literals given to it before (propagated until it is given another value)."""
-    constants: dict[str, tuple[str, list[tuple[int, int]]]] = {}
+def spelled(parts: list) -> tuple[str, list[tuple[int, int]]]:
+    """The literal that parts make up and its spans."""
+    value, spans, stack = [], [], [parts]
+    while stack:
+        x = stack.pop()
+        if isinstance(x, list):
+            stack.extend(reversed(x))
+        else:
+            value.append(x[0]), spans.append((x[1], x[2]))
+    return "".join(value), spans
+
+
+def assigned(text: str) -> Iterator[tuple[str, list]]:
+    """(name, parts of its literal): a literal may be joined of several, and a name may stand for
+    literals given to it before (propagated until it is given another value). A part is (text, start,
+    end) or the parts of an earlier name, by reference: memory is in proportion to the text."""
+    constants: dict[str, tuple[list, bool]] = {}  # parts, and whether they hold any character
     at = 0
     for line in text.split("\n"):
         if CANDIDATE.search(line):
@@ -89,17 +102,19 @@ def assigned(text: str) -> Iterator[tuple[str, str, list[tuple[int, int]]]]:
                 if kind not in ("name", "double", "single") or words[k + 1][0] != "op" or words[k + 1][1] not in ("=", ":", ":=", "=>", "+="):
                     k += 1
                     continue
-                j, value, spans = k + 2, "", []
+                j, parts, filled = k + 2, [], False
                 while j < len(words):
                     kind, word, a, b = words[j]
                     if kind in ("double", "single", "back"):
-                        value, spans = value + word, [*spans, (at + a, at + b)]
+                        parts.append((word, at + a, at + b))
+                        filled = filled or bool(word)
                     elif kind == "name" and word in constants and (j + 1 >= len(words) or words[j + 1][0] == "op" and words[j + 1][1] in "+,;)}"):
-                        value, spans = value + constants[word][0], spans + constants[word][1]
-                    elif kind in ("bare", "name") and not value and words[k + 1][1] in ("=", ":") and (j + 1 >= len(words) or words[j + 1][1] not in ("(", "=", ":")):
+                        parts.append(constants[word][0])
+                        filled = filled or constants[word][1]
+                    elif kind in ("bare", "name") and not filled and words[k + 1][1] in ("=", ":") and (j + 1 >= len(words) or words[j + 1][1] not in ("(", "=", ":")):
                         end = re.compile(r"""[^\s,;"'(){}\[\]]+""").match(line, a)  # an unquoted literal runs to a delimiter
                         if end:
-                            value, spans = end[0], [(at + a, at + end.end())]
+                            parts, filled = [(end[0], at + a, at + end.end())], True
                             while j + 1 < len(words) and words[j + 1][2] < end.end():
                                 j += 1
                     else:
@@ -109,14 +124,12 @@ def assigned(text: str) -> Iterator[tuple[str, str, list[tuple[int, int]]]]:
                         j += 1
                         continue
                     break
-                if spans:
+                if parts:
                     plain = name.lstrip("-")
                     if words[k + 1][1] == "+=" and plain in constants:
-                        value, spans = constants[plain][0] + value, constants[plain][1] + spans
-                    constants[plain] = value, spans
-                    if len(constants) > 10_000:  # the oldest names go out of scope; bounds memory on very long texts
-                        constants.pop(next(iter(constants)))
-                    yield plain, value, spans
+                        parts, filled = [constants[plain][0], *parts], constants[plain][1] or filled
+                    constants[plain] = parts, filled
+                    yield plain, parts
                     k = j
                 else:
                     k += 1
@@ -132,7 +145,10 @@ def scan(text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple[int,
     base = base_spans(text)
     found = set(base)
     if CANDIDATE.search(text):
-        for name, value, spans in assigned(text):
+        for name, parts in assigned(text):
+            if sensitivity(name) < MIN_SCORE:  # no literal scores more than its name
+                continue
+            value, spans = spelled(parts)
             if score(name, value) >= MIN_SCORE:
                 found |= {(a, len(BASE), b) for a, b in spans if b > a}
     return [(a, b, kinds[k]) for a, k, b in base], [(a, b, kinds[k]) for a, k, b in sorted(found)]
