@@ -25,11 +25,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near copies stays; rows without an id stay."""
-    found = set_join.similar_groups(docs, SHINGLE)
-    kept = found.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.union(docs.where("doc_id is null")).select(*docs.columns)
+    """One row of each group of near copies stays: that of the least id, and of the texts of that id
+    within the group the one of the least hash. Rows are judged one by one: an id whose texts are in
+    different groups can stay more than once. Of rows of the same id and text the least stays;
+    rows without an id all stay."""
+    found = set_join.similar_groups(docs, SHINGLE).where("doc_id is not null")
+    kept = found.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("row")).select("row.*")
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.struct(*docs.columns).alias("row"))
+    one = named.join(kept, ["doc_id", "text_hash"], "left_semi").groupBy("doc_id", "text_hash").agg(F.min("row").alias("row"))
+    return one.select("row.*").union(docs.where("doc_id is null")).select(*docs.columns)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

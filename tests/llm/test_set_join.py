@@ -48,3 +48,12 @@ def test_near_copies_by_jaccard(spark, texts, monkeypatch):
     monkeypatch.setattr(set_join, "SAMPLE", 1)
     roots = {r.doc_id: r.root for r in set_join.similar_groups(docs).collect()}
     assert len({(roots[i], w) for i, w in enumerate(want)}) == len(set(want)) == len(set(roots.values()))
+
+
+def test_repeated_ids_of_different_texts(spark):
+    a, b, c = ("alpha beta gamma delta epsilon zeta", "one two three four five six seven", "red orange yellow green blue violet")
+    rows = [(1, a, "en", "s", 1), (1, b, "en", "s", 1), (1, b, "de", "s", 1), (2, b.upper(), "en", "s", 1), (3, a, "en", "s", 1), (3, c, "en", "s", 1), (None, a, "en", "s", 1)]
+    for part in (rows, rows[::-1]):
+        docs = spark.createDataFrame(part, "doc_id long, text string, lang string, source string, n_chars long")
+        kept = {(r.doc_id, r.text, r.lang) for r in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()}
+        assert kept == {(1, a, "en"), (1, b, "de"), (3, c, "en"), (None, a, "en")}
