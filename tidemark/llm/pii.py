@@ -111,7 +111,6 @@ def kind_of(value: Column) -> Column:
     d = digits(value)
     whole = lambda p: value.rlike(f"^(?:{p})$")
     octets = F.forall(F.split(value, r"\."), lambda x: x.cast("int") <= 255)
-    area, exchange = F.substring(F.right(d, lit(10)), 1, 3), F.substring(F.right(d, lit(10)), 4, 3)
     day = F.try_to_date(value, "yyyy-MM-dd")
     ssn_area = F.substring(d, 1, 3)
     compact = F.replace(value, lit(" "), lit(""))
@@ -121,7 +120,7 @@ def kind_of(value: Column) -> Column:
         .when(whole(DATE), F.when((day >= lit(FIRST_DAY).cast("date")) & (day < F.date_add(lit(FIRST_DAY).cast("date"), DAYS)), lit("date")))
         .when(whole(SSN), F.when((ssn_area != "000") & (ssn_area != "666") & (ssn_area < "900") & (F.substring(d, 4, 2) != "00") & (F.substring(d, 6, 4) != "0000"), lit("ssn")))
         .when(whole(IP), F.when(octets, lit("ip")))
-        .when(whole(PHONE), F.when((area >= "200") & (exchange >= "200"), lit("phone")))
+        .when(whole(PHONE), lit("phone"))
         .when(whole(CARD), F.when((F.substring(d, 1, 1) != "0") & (F.pmod(luhn_sum(d), lit(10)) == 0), lit("card")))
     )
 
@@ -180,10 +179,9 @@ def pseudonym(value: Column, key: str, undo: bool = False) -> Column:
     date = staged(feistel_pair(F.floor(days / DATE_HALF), F.pmod(days, lit(DATE_HALF)), DATE_HALF, DATE_HALF, key, "date", undo), lambda p: F.date_add(lit(FIRST_DAY).cast("date"), (p["a"] * DATE_HALF + p["b"]).cast("int")).cast("string"))
     ten = F.right(d, lit(10))
     part = lambda s, at, n: F.substring(s, at, n).cast("long")
-    lines = part(ten, 7, 4)
     phone = staged(
-        feistel_pair((part(ten, 1, 3) - 200) * 100 + F.floor(lines / 100), (part(ten, 4, 3) - 200) * 100 + F.pmod(lines, lit(100)), 80_000, 80_000, key, "phone", undo),
-        lambda p: into(value, F.concat(F.substring(d, lit(1), F.length(d) - 10), (F.floor(p["a"] / 100) + 200).cast("string"), (F.floor(p["b"] / 100) + 200).cast("string"), padded(F.pmod(p["a"], lit(100)), 2), padded(F.pmod(p["b"], lit(100)), 2))),
+        feistel_pair(part(ten, 1, 5), part(ten, 6, 5), 100_000, 100_000, key, "phone", undo),
+        lambda p: into(value, F.concat(F.substring(d, lit(1), F.length(d) - 10), padded(p["a"], 5), padded(p["b"], 5))),
     )
     area = part(d, 1, 3)
     areas = F.when(area > 666, area - 2).otherwise(area - 1)  # 898 areas: 001 to 899 without 666
