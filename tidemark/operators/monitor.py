@@ -146,6 +146,18 @@ def should_retrain(frequency: str, new_records: int, days_since: int, min_histor
 
 
 def memory_rule(records: DataFrame, per_mode: bool) -> DataFrame:
-    """records with previous: the last champion before each record, of its mode or of any."""
-    w = W.partitionBy("mode") if per_mode else W.partitionBy(lit(0))  # a registry: one row for each run
-    return records.withColumn("previous", F.last("champion", True).over(w.orderBy("seq").rowsBetween(W.unboundedPreceding, -1)))
+    """records with previous: the last champion before each record, of its mode or of any. A window holds
+    one range of seq; what the ranges before it end with is carried over one row for each range."""
+    keys = ["mode"] if per_mode else []
+    n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = records.agg(F.percentile_approx("seq", [k / n for k in range(1, n)] or [0.5])).first()[0] or []
+    reached = F.size(F.filter(F.array(*map(lit, sorted(set(bounds)))), lambda x: x <= F.col("seq"))) if bounds else lit(0)
+    rows = records.withColumn("_range", reached)
+    before = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    ends = rows.groupBy(*keys, "_range").agg(F.max_by("champion", F.when(F.col("champion").isNotNull(), F.col("seq"))).alias("_end"))
+    carried = ends.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_range").alias("_at"), F.last("_end", True).over(before(W.partitionBy(*keys or [lit(0)]).orderBy("_range"))).alias("_carried"))
+    own = rows.withColumn("_own", F.last("champion", True).over(before(W.partitionBy(*keys, "_range").orderBy("seq"))))
+    same = F.col("_range") == F.col("_at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return own.join(carried, same, "left").select(*records.columns, F.coalesce("_own", "_carried").alias("previous"))
