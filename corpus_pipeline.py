@@ -28,12 +28,20 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One row of each group of near copies stays: that of the least id, and of the texts of that id
     within the group the one of the least hash. Rows are judged one by one: an id whose texts are in
     different groups can stay more than once. Of rows of the same id and text the least stays;
-    rows without an id all stay."""
+    rows without an id all stay. The rows that go are named by id and hash of the text, so that no text
+    is grouped but those of rows listed more than once."""
+    key = ["doc_id", "text_hash"]
     found = set_join.similar_groups(docs, SHINGLE).where("doc_id is not null")
-    kept = found.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("row")).select("row.*")
+    rows = found.groupBy("root", *key).agg(F.count("*").alias("copies"))
+    stays = rows.groupBy("root").agg(F.min(F.struct(*key)).alias("row"))
+    judged = rows.join(stays, "root").select(*key, "copies", (F.struct(*key) == F.col("row")).alias("stays"))
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.struct(*docs.columns).alias("row"))
-    one = named.join(kept, ["doc_id", "text_hash"], "left_semi").groupBy("doc_id", "text_hash").agg(F.min("row").alias("row"))
-    return one.select("row.*").union(docs.where("doc_id is null")).select(*docs.columns)
+    kept = named.join(judged.where("not stays or copies > 1").select(*key), key, "left_anti").select("row.*")
+    listed = judged.where("stays and copies > 1").select(*key)
+    if listed.isEmpty():
+        return kept
+    once = named.join(listed, key, "left_semi").groupBy(*key).agg(F.min("row").alias("row"))
+    return kept.union(once.select("row.*"))
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
