@@ -8,21 +8,24 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows of an Arrow batch. Texts can be a hundred thousand characters long, so the default of
-#: 10,000 rows could be a gigabyte in a Python worker.
-BATCH_ROWS = 256
+#: Rows and bytes of an Arrow batch. Texts can be megabytes long, so rows alone bound nothing.
+BATCH_ROWS, BATCH_BYTES = 256, 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound what a Python worker holds at once."""
+    """Bound what a Python worker gets at once (settings of the session; one row may still be larger)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir; a temporary one where that is unset (tests)."""
+    """The folder that all executors see: spark.checkpoint.dir. Where that is unset, a temporary one if all runs in
+    this process (tests); on a cluster that raises, as executors wouldn't see each other's files."""
     set_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if set_dir:
         return set_dir.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is unset: it must name a folder that all executors share")
     known = spark.conf.get("spark.tidemark.dir", None)
     if not known:
         known = "file://" + tempfile.mkdtemp(prefix="tidemark-")

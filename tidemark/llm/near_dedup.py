@@ -1,22 +1,26 @@
 """Near-duplicate removal: SimHash fingerprints searched through vantage-point partitions.
 
 Plan. Equal fingerprints collapse first (a partial aggregation, so a text copied into a third
-of all rows is one row afterwards). Two fingerprints within `radius` bits agree entirely on one of
-`radius + 1` blocks of bits at least, so each block has a vantage-point partition of its own: a
-fingerprint's shard is the list of its block's Hamming distances to a few vantage points, and
-by the triangle bound |d(x,v) - d(y,v)| <= d(x,y) = 0 partners in that block share the shard.
-A shard of more than `shard_rows` fingerprints is cut again by the distance of the whole
+of all rows is one row afterwards). The bits are cut into radius + agree blocks, of which two fingerprints
+within `radius` bits agree on `agree` at least; each choice of so many blocks is a vantage-point
+partition of its own. Its vantage points are zero and the blocks' unit words: by the triangle bound
+|d(x,v) - d(y,v)| <= d(x,y) = 0 partners have all distances in common, and the list of these
+distances says no more and no less than the blocks' bits, which are therefore the shard's name. `agree`
+follows the number of fingerprints, so that a shard of unrelated ones stays small at any size.
+A shard of more than `piece_rows` fingerprints is cut again by the distance of the whole
 fingerprint to a vantage point of its own: rings of radius + 1 distances, where a fingerprint
-near a ring's lower edge also queries the ring below. Inside a piece a vantage-point tree prunes
-branches by the same bound, and every surviving pair is compared exactly. Pieces return a
-spanning forest instead of all pairs, so a dense group costs rows in proportion to its
-members. Components are then joined across pieces with alternating large-star and small-star
-rounds, each written to the shared folder.
+near a ring's lower edge also queries the ring below. A ring that is still too large is dealt over pairs
+of salts, so no piece holds more than about two times piece_rows, and every pair meets in one.
+Inside a large piece a vantage-point tree prunes branches by the same bound; every surviving pair is
+compared exactly. Pieces return a spanning forest instead of all pairs, so a dense group costs rows
+in proportion to its members. Components are then joined across pieces with alternating large-star
+and small-star rounds, each written to the shared folder.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +33,12 @@ from .simhash import fingerprint64
 LEAF = 1 << 16
 #: A node is split while its two sides keep less than this share of the queries, on average.
 PRUNED = 0.9
-#: Vantage points of a block: fixed pseudo-random words, cut to the block's width.
-VANTAGE = [int(x) for x in np.random.default_rng(7).integers(0, 1 << 62, 4)]
+#: Fingerprints that a shard of unrelated ones holds on average, at most.
+SHARD_ROWS = 500
+#: Pieces up to this many rows are compared side by side, without a tree.
+SMALL = 64
+#: Nodes with more links than this, and than this share of all links, are joined by broadcast: 200,000 of them at most.
+HEAVY, HEAVY_SHARE = 256, 1e-5
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
@@ -97,95 +105,133 @@ def tree_links(fps: np.ndarray, index: np.ndarray, query: np.ndarray, radius: in
             forest.join(part[i], index[j])
 
 
-def piece_links(fps: np.ndarray, home: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """The spanning forest of one piece: fingerprints at home are compared with all others in it."""
+def piece_links(fps: np.ndarray, index: np.ndarray, query: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """The spanning forest of one piece: fingerprints of the index are compared with those of the query."""
     forest, order = Forest(len(fps)), np.arange(len(fps))
-    tree_links(fps, order[home], order, radius, forest)
+    tree_links(fps, order[index], order[query], radius, forest)
     linked = forest.label != order
     return fps[linked], fps[forest.label[linked]]
 
 
-def links(nodes: DataFrame, radius: int = 4, shard_rows: int = 20_000) -> DataFrame:
-    """u, v: links that connect all distinct fingerprints (nodes.fp) exactly as all pairs within
-    radius bits would. An empty frame gives none."""
-    spark, blocks = nodes.sparkSession, radius + 1
-    cuts = [round(64 * b / blocks) for b in range(blocks + 1)]
+def neighbour_links(fps: np.ndarray, piece: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links within small pieces, many pieces at once: each row with the one k places on, while that is of its piece."""
+    u, v, at = [], [], np.arange(len(fps))
+    for k in range(1, SMALL):
+        at = at[at + k < len(fps)]
+        at = at[piece[at] == piece[at + k]]
+        if not len(at):
+            break
+        near = at[np.bitwise_count(fps[at] ^ fps[at + k]) <= radius]
+        u.append(fps[near]), v.append(fps[near + k])
+    return (np.concatenate(u), np.concatenate(v)) if u else (fps[:0], fps[:0])
+
 
-    def shard(b: int):
-        mask = (1 << (cuts[b + 1] - cuts[b])) - 1
-        block = F.shiftrightunsigned("fp", cuts[b]).bitwiseAND(F.lit(mask))
-        key = F.lit(b).cast("long")
-        for v in VANTAGE:
-            key = key * 32 + F.bit_count(block.bitwiseXOR(F.lit(v & mask)))
-        return key
-
-    spread = nodes.select("fp", F.explode(F.array(*[shard(b) for b in range(blocks)])).alias("shard"))
-    crowded = spread.groupBy("shard").agg(F.count("*").alias("rows"), F.min("fp").alias("point")).where(F.col("rows") > shard_rows)
-    ring = F.bit_count(F.col("fp").bitwiseXOR(F.col("point")))
-    width = radius + 1
+def pieces(nodes: DataFrame, radius: int, piece_rows: int, agree: int) -> DataFrame:
+    """shard, band, a, b, index, query, fp: the pieces in which the distinct fingerprints (nodes.fp) are compared."""
+    blocks = radius + agree
+    cuts = [round(64 * b / blocks) for b in range(blocks + 1)]
+    mask = lambda t: sum(((1 << (cuts[b + 1] - cuts[b])) - 1) << cuts[b] for b in t)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    tables = [F.xxhash64(F.lit(n), F.col("fp").bitwiseAND(F.lit(signed(mask(t))))) for n, t in enumerate(combinations(range(blocks), agree))]
+    spread = nodes.select("fp", F.explode(F.array(*tables)).alias("shard"))
+    crowded = spread.groupBy("shard").agg(F.count("*").alias("rows"), F.min("fp").alias("point")).where(F.col("rows") > piece_rows)
+    ring, width = F.bit_count(F.col("fp").bitwiseXOR(F.col("point"))), radius + 1
     band = F.floor(ring / width).cast("int")
-    own = F.struct(band.alias("band"), F.lit(True).alias("home"))
-    below = F.struct((band - 1).alias("band"), F.lit(False).alias("home"))
-    cut = spread.join(crowded, "shard", "left").select(
-        "shard", "fp",
-        F.explode(
-            F.when(F.col("point").isNull(), F.array(F.struct(F.lit(-1).alias("band"), F.lit(True).alias("home"))))
-            .when((band > 0) & (ring - band * width < radius), F.array(own, below))
-            .otherwise(F.array(own))
-        ).alias("piece"),
-    ).select("shard", "piece.band", "piece.home", "fp")
-    small = spark.conf.get("spark.sql.shuffle.partitions")
-    dealt = cut.repartition(int(small), "shard", "band").sortWithinPartitions("shard", "band")
+    bands = F.when(F.col("point").isNull(), F.array(F.lit(-1))).when((band > 0) & (ring - band * width < radius), F.array(band, band - 1)).otherwise(F.array(band))
+    cut = spread.join(crowded, "shard", "left").select("shard", "fp", F.explode(bands).alias("band"))
+    sizes = cut.groupBy("shard", "band").count().where(F.col("count") > piece_rows)
+    salts = F.coalesce(F.ceil(F.col("count") / piece_rows), F.lit(1)).cast("int")
+    dealt = cut.join(sizes, ["shard", "band"], "left").withColumn("salts", salts).withColumn("salt", F.pmod(F.xxhash64("fp"), F.col("salts")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("salts") - 1), lambda j: F.struct(F.least("salt", j).alias("a"), F.greatest("salt", j).alias("b")))
+    return dealt.select("shard", "band", "fp", "salt", F.explode(pairs).alias("p")).select("shard", "band", "p.a", "p.b", (F.col("salt") == F.col("p.a")).alias("index"), (F.col("salt") == F.col("p.b")).alias("query"), "fp")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
 
-        def links_of(rows: np.ndarray) -> pa.RecordBatch:
-            u, v = piece_links(rows["fp"].view(np.uint64), rows["home"], radius)
-            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
+def blocks_that_agree(n: int, radius: int) -> int:
+    """How many of radius + agree blocks must agree for shards of about SHARD_ROWS of n unrelated fingerprints."""
+    return next((k for k in range(1, 5) if n / SHARD_ROWS <= 2.0 ** (64 * k // (radius + k))), 4)
+
 
-        kind = np.dtype([("shard", np.int64), ("band", np.int64), ("home", bool), ("fp", np.int64)])
+def links(nodes: DataFrame, radius: int = 4, piece_rows: int = 20_000, agree: int | None = None) -> DataFrame:
+    """u, v: links that connect all distinct fingerprints (nodes.fp) exactly as all pairs within
+    radius bits would. An empty frame gives none."""
+    spark = nodes.sparkSession
+    found = pieces(nodes, radius, piece_rows, agree or blocks_that_agree(nodes.count(), radius))
+    key = ["shard", "band", "a", "b"]
+    dealt = found.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *key).sortWithinPartitions(*key)
+    kind = np.dtype([("shard", np.int64), ("band", np.int32), ("a", np.int32), ("b", np.int32), ("index", bool), ("query", bool), ("fp", np.int64)])
+
+    def compared(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Links of whole pieces that lie side by side in rows."""
+        new = np.ones(len(rows), bool)
+        new[1:] = np.logical_or.reduce([rows[k][1:] != rows[k][:-1] for k in key])
+        begins = np.flatnonzero(new)
+        sizes, piece, fps = np.diff(np.append(begins, len(rows))), np.cumsum(new) - 1, rows["fp"].view(np.uint64)
+        small = (sizes <= SMALL)[piece]
+        out = [neighbour_links(fps[small], piece[small], radius)]
+        for k in np.flatnonzero(sizes > SMALL):
+            part = slice(begins[k], begins[k] + sizes[k])
+            out.append(piece_links(fps[part], rows["index"][part], rows["query"][part], radius))
+        u, v = (np.concatenate(x).view(np.int64) for x in zip(*out))
+        if len(u):
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
         for b in batches:
             rows = np.empty(b.num_rows, kind)
             for k, name in enumerate(kind.names):
                 rows[name] = b.column(k).to_numpy(zero_copy_only=False)
-            edges = np.flatnonzero((rows["shard"][1:] != rows["shard"][:-1]) | (rows["band"][1:] != rows["band"][:-1])) + 1
-            parts = np.split(rows, edges)
-            for part in parts:
-                if not len(part):
-                    continue
-                if held and (held[-1][-1]["shard"], held[-1][-1]["band"]) != (part[0]["shard"], part[0]["band"]):
-                    if (whole := np.concatenate(held)).size > 1:
-                        yield links_of(whole)
-                    held = []
-                held.append(part)
-        if held and (whole := np.concatenate(held)).size > 1:
-            yield links_of(whole)
+            held.append(rows)
+            count += len(rows)
+            if count < piece_rows:
+                continue
+            whole = np.concatenate(held)  # all but the last piece, which may go on
+            last = len(whole) - 1
+            apart = np.flatnonzero(np.logical_or.reduce([whole[k] != whole[k][last] for k in key]))
+            cut = apart[-1] + 1 if len(apart) else 0
+            if cut:
+                yield from compared(whole[:cut])
+            held, count = [whole[cut:]], len(whole) - cut
+        if held and count:
+            yield from compared(np.concatenate(held))
 
     return dealt.mapInArrow(run, "u long, v long")
 
 
+def lowest(rows: DataFrame, count: int, keep: str) -> DataFrame:
+    """rows (u, v) with m, the least of u's v (keep: and u itself). Nodes of many links, such as a group's root, are
+    few (at most 1 / HEAVY_SHARE of them for each end of a link), so they are joined by broadcast; the others by their node."""
+    low = rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    if keep == "own":
+        low = low.withColumn("m", F.least("u", "m"))
+    heavy = max(HEAVY, int(count * HEAVY_SHARE))
+    many = F.broadcast(low.where(F.col("n") > heavy).drop("n"))
+    few = low.where(F.col("n") <= heavy).drop("n")
+    return rows.join(many, "u").unionByName(rows.join(many.select("u"), "u", "left_anti").join(few, "u"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root (the smallest node of its component) of every node of edges (u, v), by large-star
     and small-star rounds until nothing changes. Nodes without links aren't in it."""
     spark = edges.sparkSession
     now, path = settle(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     state = None
+    measure = [F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))]
+    count = now.count()
     while True:
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        star = large.join(low, "u")
-        small = star.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        small = small.where("u <> v").distinct()
-        after, newer = settle(small, "links")
+        large = lowest(both, 2 * count, "own").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.distinct()  # now each row points down
+        star = lowest(large, 2 * count, "least")
+        low = large.groupBy("u").agg(F.min("v").alias("v"))
+        small = star.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low)
+        after, newer = settle(small.where("u <> v").distinct(), "links")
         discard(spark, path)
         now, path = after, newer
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(seen) == state:
+        seen = tuple(now.agg(*measure).first())
+        if seen == state:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        state = tuple(seen)
+        state, count = seen, seen[0]
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
@@ -201,6 +247,6 @@ def cluster(fps: DataFrame, radius: int) -> DataFrame:
     nodes, _ = settle(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = components(links(nodes.select("fp"), radius))
     named = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    lowest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    known = named.join(lowest, "root").select("fp", "component_id")
+    lowest_id = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    known = named.join(lowest_id, "root").select("fp", "component_id")
     return fps.join(known, "fp").select("doc_id", "fp", "component_id")

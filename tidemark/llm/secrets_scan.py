@@ -3,7 +3,9 @@
 The lexer reads source and configuration syntax line by line: `name = "literal"`, `name: literal`,
 `"name": "literal"`, `export NAME=literal`, `--name=literal`, string concatenation and names
 that stand for earlier literals. A literal is scored by how sensitive its target's name is and
-by its own spread of characters; spans from `MIN_SCORE` on are reported.
+by its own spread of characters; spans from `MIN_SCORE` on are reported. A name that stands for others
+refers to them and keeps a digest of bounded size of the whole value, so that time and memory follow the text's
+length even where its values double with each line.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -33,9 +36,34 @@ SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 0.9, "passphrase": 1.0, "pas
 PLACEHOLDERS = re.compile(r"(?i)^(x+|\*+|\.+|-+|changeme|example|placeholder|none|null|true|false|undefined|todo|test|password|secret|token|your[-_ ].*|<.*>|\$\{.*\}|\{\{.*\}\}|%\(.*\)s|%[A-Za-z_]+%)$")
 MIN_SCORE = 0.6
 MIN_LITERAL = 8
-#: A word of a line: name, string, operator.
-LEX = re.compile(r"""(?P<name>--?[A-Za-z][\w.-]*|[A-Za-z_$][\w.$-]*(?:\[\s*(?:"[^"\n]*"|'[^'\n]*')\s*\])?)|"(?P<double>(?:[^"\\\n]|\\.)*)"|'(?P<single>(?:[^'\\\n]|\\.)*)'|`(?P<back>[^`\n]*)`|(?P<op>:=|=>|==|!=|<=|>=|\+=|[=:+,;(){}\[\]])|(?P<bare>[^\s"'`=:+,;(){}\[\]]+)""")
+#: Characters of a value's beginning and end that its digest keeps.
+ENDS = 64
+#: A word of a line: name, string, operator. A quote that nothing closes is a word of its own: none of
+#: its kind closes further on either, so the lexers of the rest of the line don't look for one.
+NAME, OPERATOR, BARE = r"""(?P<name>--?[A-Za-z][\w.-]*|[A-Za-z_$][\w.$-]*(?:\[\s*(?:"[^"\n]*"|'[^'\n]*')\s*\])?)""", r"(?P<op>:=|=>|==|!=|<=|>=|\+=|[=:+,;(){}\[\]])", r"""(?P<bare>[^\s"'`=:+,;(){}\[\]]+)"""
+STRINGS = {'"': r'"(?P<double>(?:[^"\\\n]|\\.)*)"', "'": r"'(?P<single>(?:[^'\\\n]|\\.)*)'", "`": "`(?P<back>[^`\n]*)`"}
 CANDIDATE = re.compile(r"[=:]")
+UNQUOTED = re.compile(r"""[^\s,;"'(){}\[\]]+""")
+
+
+@cache
+def lexer(quotes: str) -> re.Pattern:
+    """Words of a line in which only these quotes may still close."""
+    return re.compile("|".join([NAME, *[STRINGS[q] for q in quotes], OPERATOR, BARE, *(["(?P<open>[" + quotes + "])"] if quotes else [])]))
+
+
+def lex(line: str) -> list[tuple[str, str, int, int]]:
+    """(kind, word, start, end)."""
+    out, quotes, at = [], "\"'`", 0
+    while True:
+        for m in lexer(quotes).finditer(line, at):
+            kind = m.lastgroup
+            if kind == "open":
+                quotes, at = quotes.replace(m[0], ""), m.end()
+                break
+            out.append((kind, m[kind], m.start(kind), m.end(kind)))
+        else:
+            return out
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -61,60 +89,98 @@ def sensitivity(name: str) -> float:
     return 1 - miss
 
 
-def entropy(value: str) -> float:
-    """Bits for each character."""
-    n = len(value)
-    return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) if n else 0.0
+class Value:
+    """A literal (text, start, end) or the values it is joined of, and a digest of the whole: length, share of
+    each character (of non-ASCII ones by their last eight bits), spaces (four at most), first and last characters."""
+
+    __slots__ = ("parts", "span", "length", "shares", "spaces", "head", "tail", "reported")
+
+    def __init__(self, text: str = "", start: int = 0, end: int = 0, parts: list[Value] | None = None):
+        self.parts, self.span, self.reported = parts, (start, end), False
+        if parts is None:
+            self.length, self.spaces, self.head, self.tail = float(len(text)), min(4, text.count(" ")), text[:ENDS], text[ENDS:][-ENDS:]
+            self.shares = Counter(c if c < "\x80" else chr(0x100 | ord(c) & 255) for c in text)
+            for c in self.shares:
+                self.shares[c] /= self.length
+            return
+        self.length = min(1e300, sum(p.length for p in parts))
+        self.spaces = min(4, sum(p.spaces for p in parts))
+        self.head, self.tail, self.shares = "", "", Counter()
+        for p in parts:
+            whole = self.head + self.tail + p.head if len(self.head) < ENDS else self.head
+            self.tail = (self.tail + p.head + p.tail)[-ENDS:] if len(self.head) >= ENDS else (whole[ENDS:] + p.tail)[-ENDS:]
+            self.head = whole[:ENDS]
+            for c, share in p.shares.items():
+                self.shares[c] += share * p.length / self.length if self.length else 0.0
+
+    def digest(self) -> str:
+        """The value, its middle cut down to the characters that occur nowhere else if it is long."""
+        if self.length <= 2 * ENDS:
+            return self.head + self.tail
+        return self.head + "".join(sorted(set(self.shares) - set(self.head) - set(self.tail))) + self.tail
+
+    def entropy(self) -> float:
+        """Bits for each character."""
+        return -sum(p * math.log2(p) for p in self.shares.values() if p > 0)
+
+    def spans(self) -> Iterator[tuple[int, int]]:
+        """The spans of its literals that haven't been asked for before: each is given once in all."""
+        stack = [self]
+        while stack:
+            x = stack.pop()
+            if x.reported:
+                continue
+            x.reported = True
+            if x.parts is None:
+                yield x.span
+            else:
+                stack.extend(x.parts)
 
 
-def score(name: str, value: str) -> float:
+def score(name: str, value: Value) -> float:
     """Sensitivity of the name, times how random the literal looks."""
-    if len(value) < MIN_LITERAL or PLACEHOLDERS.match(value) or value.count(" ") > 3:
+    if value.length < MIN_LITERAL or value.spaces > 3 or PLACEHOLDERS.match(value.digest()):
         return 0.0
-    mixed = sum(bool(re.search(p, value)) for p in (r"[a-z]", r"[A-Z]", r"\d", r"[^\w\s]"))
-    return sensitivity(name) * min(1.0, entropy(value) / 3.0 * (0.7 + 0.15 * mixed))
+    mixed = sum(any(map(test, value.shares)) for test in (ascii_lower, ascii_upper, str.isdigit, other_sign))
+    return sensitivity(name) * min(1.0, value.entropy() / 3.0 * (0.7 + 0.15 * mixed))
 
 
-def spelled(parts: list) -> tuple[str, list[tuple[int, int]]]:
-    """The literal that parts make up and its spans."""
-    value, spans, stack = [], [], [parts]
-    while stack:
-        x = stack.pop()
-        if isinstance(x, list):
-            stack.extend(reversed(x))
-        else:
-            value.append(x[0]), spans.append((x[1], x[2]))
-    return "".join(value), spans
+def ascii_lower(c: str) -> bool:
+    return "a" <= c <= "z"
+
+
+def ascii_upper(c: str) -> bool:
+    return "A" <= c <= "Z"
 
 
-def assigned(text: str) -> Iterator[tuple[str, list]]:
-    """(name, parts of its literal): a literal may be joined of several, and a name may stand for
-    literals given to it before (propagated until it is given another value). A part is (text, start,
-    end) or the parts of an earlier name, by reference: memory is in proportion to the text."""
-    constants: dict[str, tuple[list, bool]] = {}  # parts, and whether they hold any character
+def other_sign(c: str) -> bool:
+    return c < "\x80" and not c.isalnum() and c != "_" and not c.isspace()
+
+
+def assigned(text: str) -> Iterator[tuple[str, Value]]:
+    """(name, its literal): a literal may be joined of several, and a name may stand for literals
+    given to it before (propagated until it is given another value)."""
+    constants: dict[str, Value] = {}
     at = 0
     for line in text.split("\n"):
         if CANDIDATE.search(line):
-            words = [(m.lastgroup, m[m.lastgroup], m.start(m.lastgroup), m.end(m.lastgroup)) for m in LEX.finditer(line)]
+            words = lex(line)
             k = 0
             while k + 1 < len(words):
                 kind, name, *_ = words[k]
                 if kind not in ("name", "double", "single") or words[k + 1][0] != "op" or words[k + 1][1] not in ("=", ":", ":=", "=>", "+="):
                     k += 1
                     continue
-                j, parts, filled = k + 2, [], False
+                j, parts = k + 2, []
                 while j < len(words):
                     kind, word, a, b = words[j]
                     if kind in ("double", "single", "back"):
-                        parts.append((word, at + a, at + b))
-                        filled = filled or bool(word)
+                        parts.append(Value(word, at + a, at + b))
                     elif kind == "name" and word in constants and (j + 1 >= len(words) or words[j + 1][0] == "op" and words[j + 1][1] in "+,;)}"):
-                        parts.append(constants[word][0])
-                        filled = filled or constants[word][1]
-                    elif kind in ("bare", "name") and not filled and words[k + 1][1] in ("=", ":") and (j + 1 >= len(words) or words[j + 1][1] not in ("(", "=", ":")):
-                        end = re.compile(r"""[^\s,;"'(){}\[\]]+""").match(line, a)  # an unquoted literal runs to a delimiter
-                        if end:
-                            parts, filled = [(end[0], at + a, at + end.end())], True
+                        parts.append(constants[word])
+                    elif kind in ("bare", "name") and not any(p.length for p in parts) and words[k + 1][1] in ("=", ":") and (j + 1 >= len(words) or words[j + 1][1] not in ("(", "=", ":")):
+                        if end := UNQUOTED.match(line, a):  # an unquoted literal runs to a delimiter
+                            parts = [Value(end[0], at + a, at + end.end())]
                             while j + 1 < len(words) and words[j + 1][2] < end.end():
                                 j += 1
                     else:
@@ -127,9 +193,9 @@ def assigned(text: str) -> Iterator[tuple[str, list]]:
                 if parts:
                     plain = name.lstrip("-")
                     if words[k + 1][1] == "+=" and plain in constants:
-                        parts, filled = [constants[plain][0], *parts], constants[plain][1] or filled
-                    constants[plain] = parts, filled
-                    yield plain, parts
+                        parts = [constants[plain], *parts]
+                    constants[plain] = parts[0] if len(parts) == 1 else Value(parts=parts)
+                    yield plain, constants[plain]
                     k = j
                 else:
                     k += 1
@@ -145,12 +211,9 @@ def scan(text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple[int,
     base = base_spans(text)
     found = set(base)
     if CANDIDATE.search(text):
-        for name, parts in assigned(text):
-            if sensitivity(name) < MIN_SCORE:  # no literal scores more than its name
-                continue
-            value, spans = spelled(parts)
-            if score(name, value) >= MIN_SCORE:
-                found |= {(a, len(BASE), b) for a, b in spans if b > a}
+        for name, value in assigned(text):
+            if sensitivity(name) >= MIN_SCORE and score(name, value) >= MIN_SCORE:  # no literal scores more than its name
+                found |= {(a, len(BASE), b) for a, b in value.spans() if b > a}
     return [(a, b, kinds[k]) for a, k, b in base], [(a, b, kinds[k]) for a, k, b in sorted(found)]
 
 

@@ -1,13 +1,19 @@
-"""Groups of texts whose sets of word shingles overlap: an exact Jaccard join by prefixes.
-
-Plan. Texts of equal shingle sets collapse into one class first. If two sets of sizes m and n reach a
-Jaccard index of 4/5, they share at least four fifths of the larger one, so under any one order of
+"""Near copies by SimHash and, beyond its reach, by the shingles themselves.
+
+Plan. Texts of equal shingle sets collapse into one class first. The classes' SimHash fingerprints are
+searched through vantage-point partitions as near_dedup does, and what lies within `radius` bits is
+verified on the whole sets. But of texts that share four fifths of their shingles, 64-bit
+fingerprints differ in 9.7 bits on average and in 17 for one of a hundred: a radius that no
+partition can prune. What is left is therefore found exactly by prefixes: if two sets of sizes m and n
+reach a Jaccard index of 4/5, they share at least four fifths of the larger one, so under any one order of
 shingles the first floor(n / 5) + 1 of each hold a common one: only classes that meet in such a
-shingle are compared, and none is missed; how many they meet in bounds what they can share. The order puts frequent shingles last, so that a line on
-many pages brings few texts together; frequencies are estimated from a sample, which changes the cost
-but not the result. Classes that meet are first compared with the least of their shingle, which
-joins a dense group in rows proportional to its members; then with all that they meet of other
-groups, which finds what the first step leaves. Every link is verified on the whole sets.
+shingle are compared, and none is missed; how many they meet in bounds what they can share. The order puts
+frequent shingles last, so that a line on many pages brings few texts together; frequencies are
+estimated from a sample, which changes the cost but not the result.
+
+Classes that meet are first compared with a few others of their shingle, chosen anew by hash in each of some
+rounds, which joins a dense group in rows proportional to its members; then with all that they meet of
+other groups, which finds what the rounds leave. Every link is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -20,11 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .common import discard, settle, small_batches
-from .near_dedup import components
-from .simhash import shingle_hashes, words
+from .near_dedup import components, links
+from .simhash import of_hashes, shingle_hashes, words
 
 #: One of so many texts is sampled for the order; shingles on so many sampled texts go last, at most so many of them.
 SAMPLE, FREQUENT, FREQUENT_ROWS = 16, 8, 200_000
+#: Rounds of comparing each class with so many others of each of its shingles.
+ROUNDS, OTHERS = 2, 4
 
 
 def shingle_set(text: str | None, n: int) -> np.ndarray:
@@ -50,7 +58,7 @@ def frequent(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefixes(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, text_hash, class (of equal shingle sets), size of the set, prefix of it, for each row."""
+    """doc_id, text_hash, class (of equal shingle sets), size of the set, its fingerprint, prefix of it, for each row."""
     spark = docs.sparkSession
     small_batches(spark)
     known = spark.sparkContext.broadcast(frequent(docs, n))
@@ -58,7 +66,7 @@ def prefixes(docs: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, ranks = known.value
         for b in batches:
-            kinds, sizes, firsts = [], [], []
+            kinds, sizes, fps, firsts = [], [], [], []
             for t in b.column(2).to_pylist():
                 s = shingle_set(t, n)
                 rank = np.zeros(len(s), np.int64)
@@ -66,13 +74,13 @@ def prefixes(docs: DataFrame, n: int) -> DataFrame:
                     at = np.minimum(np.searchsorted(last, s), len(last) - 1)
                     rank = np.where(last[at] == s, ranks[at], 0)
                 first = s[np.lexsort((s, rank))[: len(s) // 5 + 1]]
-                kinds.append(xxhash.xxh64_intdigest(s.tobytes())), sizes.append(len(s)), firsts.append(first.view(np.int64))
-            made = [pa.array(np.array(kinds, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *made], ["doc_id", "text_hash", "class", "size", "prefix"])
+                kinds.append(xxhash.xxh64_intdigest(s.tobytes())), sizes.append(len(s)), fps.append(of_hashes(s)), firsts.append(first.view(np.int64))
+            made = [pa.array(np.array(kinds, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(firsts, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *made], ["doc_id", "text_hash", "class", "size", "fp", "prefix"])
 
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    return rows.mapInArrow(run, "doc_id long, text_hash long, class long, size int, prefix array<long>")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, class long, size int, fp long, prefix array<long>")
 
 
 def whole_sets(docs: DataFrame, chosen: DataFrame, n: int) -> DataFrame:
@@ -110,25 +118,62 @@ def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, n: int) -> Data
     found, _ = settle(near.select("u", "v"), "near")
     discard(docs.sparkSession, one)
     discard(docs.sparkSession, two)
-    return found
+    return found  # the links: few rows, which the caller's plan reads again
+
+
+def fingerprint_pairs(classes: DataFrame, radius: int) -> DataFrame:
+    """u, v of classes (class, size, fp) whose fingerprints links within radius bits join: a forest, not all pairs."""
+    first = classes.groupBy("fp").agg(F.min("class").alias("first"))
+    equal = classes.join(first, "fp").where("class <> first").select(F.col("class").alias("u"), F.col("first").alias("v"))
+    end = lambda k: first.select(F.col("fp").alias(k), F.col("first").alias(f"{k}_class"))
+    close = links(first.select("fp"), radius).join(end("u"), "u").join(end("v"), "v")
+    return equal.union(close.select(F.col("u_class").alias("u"), F.col("v_class").alias("v")))
+
+
+def with_roots(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """met (s, class, size) with the root of each class so far, of the shingles in which different roots meet."""
+    every = W.partitionBy("s")
+    named = met.join(roots, met["class"] == roots.node, "left").select("s", "class", "size", F.coalesce("root", "class").alias("root"))
+    return named.withColumns({"low": F.min("root").over(every), "high": F.max("root").over(every)}).where("low <> high").drop("low", "high")
+
 
+def round_pairs(named: DataFrame, turn: int) -> DataFrame:
+    """Meetings of each class with the OTHERS next ones of its shingle. The order by hash changes with each turn but is
+    one for all shingles, so two classes that are close in it meet in all that they share."""
+    order = W.partitionBy("s").orderBy(F.xxhash64("class", F.lit(turn)), "class")
+    other = F.array_compact(F.array(*[F.lead(F.struct("class", "size", "root"), k).over(order) for k in range(1, OTHERS + 1)]))
+    met = named.withColumn("others", other).select("s", "class", "size", "root", F.explode("others").alias("o")).where("root <> o.root")
+    # the greater class is u, so that a pair has one name
+    a, b = F.struct("class", "size"), F.struct("o.class", "o.size")
+    return met.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).select(F.col("a.class").alias("u"), F.col("b.class").alias("v"), F.col("a.size").alias("u_size"), F.col("b.size").alias("v_size"))
 
-def similar_groups(docs: DataFrame, n: int = 5) -> DataFrame:
+
+def similar_groups(docs: DataFrame, n: int = 5, radius: int = 4) -> DataFrame:
     """doc_id, text_hash, root of each row of docs: rows share a root if links of a Jaccard index of at
     least 4/5 between their sets of n-word shingles join them. Texts without words form one group."""
-    small_batches(docs.sparkSession)
-    rows, _ = settle(prefixes(docs, n), "prefixes")
+    spark, used = docs.sparkSession, []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        made, path = settle(df, name)
+        used.append(path)
+        return made
+
+    small_batches(spark)
+    rows = keep(prefixes(docs, n), "prefixes")
+    classes = keep(rows.groupBy("class").agg(F.min("size").alias("size"), F.min("fp").alias("fp")), "classes")
+    linked = verified(keep(fingerprint_pairs(classes, radius), "close"), rows, docs, n)
     spread = rows.select(F.explode("prefix").alias("s"), "class", "size").distinct()
     every = W.partitionBy("s")
-    met = spread.withColumns({"least": F.min(F.struct("class", "size")).over(every), "most": F.max("class").over(every)}).where("least.class <> most")
-    met, path = settle(met.select("s", "class", "size", "least"), "met")
-    stars = met.where("class <> least.class").select(F.col("class").alias("u"), F.col("least.class").alias("v"), F.col("size").alias("u_size"), F.col("least.size").alias("v_size"))
-    first = verified(likely(stars), rows, docs, n)
-    roots = components(first)
-    named = met.join(roots, met["class"] == roots.node, "left").select("s", "class", "size", F.coalesce("root", "class").alias("root"))
-    named = named.withColumns({"low": F.min("root").over(every), "high": F.max("root").over(every)}).where("low <> high")
+    met = spread.withColumns({"low": F.min("class").over(every), "high": F.max("class").over(every)}).where("low <> high").drop("low", "high")
+    met = keep(met, "met")
+    for turn in range(ROUNDS):
+        found = verified(likely(round_pairs(with_roots(met, components(linked)), turn)), rows, docs, n)
+        linked = keep(linked.union(found), "links")
+    named = with_roots(met, components(linked))
     a, b = (named.select("s", F.col("class").alias(k), F.col("size").alias(f"{k}_size"), F.col("root").alias(f"{k}_root")) for k in "uv")
-    second = verified(likely(a.join(b, "s").where("u_root <> v_root and u > v")), rows, docs, n)
-    found = components(first.union(second))
-    discard(docs.sparkSession, path)
-    return rows.join(found, rows["class"] == found.node, "left").select("doc_id", "text_hash", F.coalesce("root", "class").alias("root"))
+    rest = verified(likely(a.join(b, "s").where("u_root <> v_root and u > v")), rows, docs, n)
+    found = components(linked.union(rest))
+    out = keep(rows.join(found, rows["class"] == found.node, "left").select("doc_id", "text_hash", F.coalesce("root", "class").alias("root")), "groups")
+    for path in used[:-1]:
+        discard(spark, path)
+    return out

@@ -44,10 +44,14 @@ def votes(hashes: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
     return (counts.reshape(lanes, 256) @ BYTE_BITS).ravel()
 
 
-def fingerprint64(text: str | None, n: int) -> int:
-    """A bit is set if more than half of the shingle hashes have it; zero if there are no words."""
-    hashes = shingle_hashes(words(text), n)
+def of_hashes(hashes: np.ndarray) -> int:
+    """A bit is set if more than half of the hashes have it; zero if there are none."""
     if not len(hashes):
         return 0
     bits = (votes(hashes) * 2 > len(hashes)).astype(np.uint8)
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
+
+
+def fingerprint64(text: str | None, n: int) -> int:
+    """The fingerprint of a text's n-word shingles, repeats included; zero if there are no words."""
+    return of_hashes(shingle_hashes(words(text), n))
