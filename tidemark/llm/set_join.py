@@ -31,8 +31,8 @@ from .simhash import of_hashes, shingle_hashes, words
 
 #: One of so many texts is sampled for the order; shingles on so many sampled texts go last, at most so many of them.
 SAMPLE, FREQUENT, FREQUENT_ROWS = 16, 8, 200_000
-#: Rounds of comparing each class with so many others of each of its shingles.
-ROUNDS, OTHERS = 2, 4
+#: Rounds, at most, of comparing each class with so many others of each of its shingles.
+ROUNDS, OTHERS = 4, 4
 
 
 def shingle_set(text: str | None, n: int) -> np.ndarray:
@@ -161,18 +161,27 @@ def similar_groups(docs: DataFrame, n: int = 5, radius: int = 4) -> DataFrame:
     small_batches(spark)
     rows = keep(prefixes(docs, n), "prefixes")
     classes = keep(rows.groupBy("class").agg(F.min("size").alias("size"), F.min("fp").alias("fp")), "classes")
-    linked = verified(keep(fingerprint_pairs(classes, radius), "close"), rows, docs, n)
+    found = verified(keep(fingerprint_pairs(classes, radius), "close"), rows, docs, n)
     spread = rows.select(F.explode("prefix").alias("s"), "class", "size").distinct()
     every = W.partitionBy("s")
     met = spread.withColumns({"low": F.min("class").over(every), "high": F.max("class").over(every)}).where("low <> high").drop("low", "high")
     met = keep(met, "met")
-    for turn in range(ROUNDS):
-        found = verified(likely(round_pairs(with_roots(met, components(linked)), turn)), rows, docs, n)
-        linked = keep(linked.union(found), "links")
-    named = with_roots(met, components(linked))
-    a, b = (named.select("s", F.col("class").alias(k), F.col("size").alias(f"{k}_size"), F.col("root").alias(f"{k}_root")) for k in "uv")
-    rest = verified(likely(a.join(b, "s").where("u_root <> v_root and u > v")), rows, docs, n)
-    found = components(linked.union(rest))
+    stars = found
+    for turn in range(ROUNDS + 1):
+        roots = components(stars)
+        named = keep(with_roots(met, roots), "named")
+        met = named.drop("root")
+        if named.isEmpty():
+            break
+        if turn == 0 or turn < ROUNDS and not found.isEmpty():
+            found = verified(likely(round_pairs(named, turn)), rows, docs, n)
+            stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found)
+            continue
+        a, b = (named.select("s", F.col("class").alias(k), F.col("size").alias(f"{k}_size"), F.col("root").alias(f"{k}_root")) for k in "uv")
+        rest = verified(likely(a.join(b, "s").where("u_root <> v_root and u > v")), rows, docs, n)
+        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(rest))
+        break
+    found = roots
     out = keep(rows.join(found, rows["class"] == found.node, "left").select("doc_id", "text_hash", F.coalesce("root", "class").alias("root")), "groups")
     for path in used[:-1]:
         discard(spark, path)
