@@ -1,22 +1,25 @@
 """Main text of web pages: site templates are the element subtrees that recur on a host.
 
-Pass 1 parses each page, hashes the subtrees outside its article and counts, in Spark, on how
-many different pages of a host each hash occurs. Pass 2 parses again and deletes subtrees whose
-hash recurs, and those that say what they are (navigation, footers, adverts, forms, comments...).
-Paragraphs inside an article or main element are never deleted for recurring: a passage
-that many pages quote is text, not template.
+Pass 1 parses each page and hashes the subtrees of its block elements: those outside the main element or
+article, and inside it those that aren't prose. Spark counts on how many different pages of a host each hash
+occurs and how many the host has; a subtree on a large share of them is template. Pass 2 parses again
+and deletes the page's subtrees that are. What counts can't show (an advert with a text of its own, any page of
+a host of few pages) falls to element and class names: navigation, footers, adverts, forms, comments.
+Paragraphs, headings and other prose inside the main element are never deleted for recurring: a passage that many
+pages quote is text, not template; outside it, long prose goes only if nearly all pages of the host have it.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import settle, small_batches
 
@@ -25,16 +28,23 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title noscript template iframe xmp".split())
 BLOCKS = set("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
 SKIP = set("head nav header footer aside form menu script style noscript template iframe object svg canvas button select textarea input dialog xmp title".split())
-#: Words of class, id or role that mark what isn't main text (fixed values).
+#: Words of class, id or role that mark what isn't main text, and words that turn such a mark into another's (fixed values).
 MARKS = set("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead footer sidebar aside related recommended widget share sharing social cookie cookies consent notice notices alert popup modal newsletter subscribe subscription signup login search pagination pager comment comments respond reply replies discussion disqus toolbar contentinfo complementary".split())
+NOT_MARKS = {"has", "with", "no", "without", "not", "non", "layout"}
 ENDS_P = BLOCKS - {"caption", "legend", "option", "optgroup", "html", "body", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "summary"}
 #: An opening tag closes open ones of these, up to the nearest barrier.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"}), "option": ({"option"}, {"select"})}
+#: Elements of running text: prose however short, if most of it isn't links.
+PROSE = set("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th figcaption caption".split())
 TAG = re.compile(r"<(?:!--(.*?)(?:-->|\Z)|(/?)([A-Za-z][^\s/>]*)([^'\">]*(?:(?:\"[^\"]*\"|'[^']*')[^'\">]*)*|[^>]*)>|[!?][^>]*(?:>|\Z))", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-RAW_ENDS = {tag: re.compile(rf"</{tag}[^>]*>", re.I) for tag in RAW}
-#: A page without an article has at least this many pages of its host agree before a subtree goes.
-MIN_PAGES = 5
+RAW_ENDS = {tag: re.compile(rf"</{tag}", re.I) for tag in RAW}
+#: A template is on this share of its host's different pages and on so many at least; long prose outside the main element on
+#: nearly all of them. Prose inside it has so many words outside links; long prose so many.
+MIN_PAGES, SHARE, PROSE_SHARE = 5, 0.3, 0.8
+PROSE_WORDS, LONG_WORDS = 12, 50
+#: Pages with more copies than this, and than this share of all, get their list by broadcast: 10,000 lists at most.
+COPIES, COPIES_SHARE = 256, 1e-4
 
 
 class Node:
@@ -45,25 +55,34 @@ class Node:
 
 
 def marks_of(attributes: str) -> tuple:
+    """Names in class, id and role, lower-cased; `hidden` for what isn't shown."""
     if not attributes or attributes.isspace():
         return ()
     found = []
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         value = (a or b or c).lower()
-        found += ["hidden"] if name.lower() == "hidden" or (name.lower() == "aria-hidden" and value == "true") else re.split(r"[^a-z0-9]+", value)
+        found += ["hidden"] if name.lower() == "hidden" or (name.lower() == "aria-hidden" and value == "true") else value.split()
     return tuple(found)
 
 
 def parse(page: str) -> Node:
-    """A forgiving tree: unclosed elements end with their parent, stray end tags are dropped."""
+    """A forgiving tree: unclosed elements end with their parent, stray end tags are dropped. One pass
+    forward: behind the last > no tag is looked for, and a tag that isn't open isn't searched."""
     root = Node("#root")
-    stack, at, n = [root], 0, len(page)
+    stack, at, n, last = [root], 0, len(page), page.rfind(">")
+    opened: Counter[str] = Counter()
+
+    def close(k: int) -> None:
+        for x in stack[k:]:
+            opened[x.tag] -= 1
+        del stack[k:]
+
     while at < n:
-        m = TAG.search(page, at)
+        m = TAG.search(page, at) if at <= last or page.find("<!", at) >= 0 or page.find("<?", at) >= 0 else None
         if m is None:
-            cut = page.find("<", at)
+            cut = next((x.start() for x in re.finditer(r"<[A-Za-z/!?]", page[at:])), -1)
             # markup that the page's end cuts off isn't text
-            rest = page[at:] if cut < 0 or not re.match(r"<[A-Za-z/!?]", page[cut : cut + 2]) else page[at:cut]
+            rest = page[at:] if cut < 0 else page[at : at + cut]
             if rest:
                 stack[-1].children.append(entities.unescape(rest))
             break
@@ -74,110 +93,174 @@ def parse(page: str) -> Node:
             continue
         tag = m[3].lower()
         if m[2]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if opened[tag]:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
             continue
-        if tag in ENDS_P:
+        if tag in ENDS_P and opened["p"]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p":
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k].tag in BLOCKS:
                     break
-        if tag in CLOSES:
+        if tag in CLOSES and any(opened[x] for x in CLOSES[tag][0]):
             ended, barrier = CLOSES[tag]
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in barrier:
                     break
                 if stack[k].tag in ended:
-                    del stack[k:]
+                    close(k)
                     break
         node = Node(tag, marks_of(m[4]))
         stack[-1].children.append(node)
         if tag in RAW:
             end = RAW_ENDS[tag].search(page, at)
-            at = end.end() if end else n
+            stop = page.find(">", end.end()) if end else -1
+            at = stop + 1 if stop >= 0 else n
         elif tag not in VOID and not m[4].rstrip().endswith("/"):
             stack.append(node)
+            opened[tag] += 1
     return root
 
 
+def marked(name: str) -> bool:
+    """Whether a class, id or role names what isn't main text: `ad`, `site-footer`, `comments_list`, but not
+    `has-sidebar`, `layout-with-header` or `no-comments`, which speak of the page around it."""
+    parts = set(re.split(r"[^a-z0-9]+", name))
+    return not MARKS.isdisjoint(parts) and NOT_MARKS.isdisjoint(parts)
+
+
 def unwanted(node: Node) -> bool:
-    return node.tag in SKIP or "hidden" in node.marks or not MARKS.isdisjoint(node.marks) and node.tag not in ("html", "body", "article", "main")
+    return node.tag in SKIP or "hidden" in node.marks or node.tag not in ("html", "body", "article", "main") and any(map(marked, node.marks))
 
 
-def find_main(root: Node) -> list[Node]:
-    """The outermost article elements, else main elements, outside unwanted ones; [] if there are none."""
-    for wanted in ("article", "main"):
-        found, stack = [], [root]
-        while stack:
-            node = stack.pop()
-            if node.tag == wanted:
-                found.append(node)
-            elif not unwanted(node):
-                stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
-        if found:
-            return found
-    return []
-
-
-def digest(node: Node, into: list[int], main: set[int]) -> int:
-    """A subtree's hash: its tags, marks and words. Those outside main content go to `into`.
-    Iterative, as broken pages can nest thousands deep."""
-    order, stack = [], [node]
-    while stack:
-        x = stack.pop()
-        order.append(x)
-        stack.extend(c for c in x.children if isinstance(c, Node) and id(c) not in main)
-    hashes: dict[int, int] = {}
-    for x in reversed(order):
-        h = xxhash.xxh64(f"{x.tag} {' '.join(x.marks)}".encode("utf-8", "surrogatepass"))
-        inner = False
-        for c in x.children:
-            if isinstance(c, str):
-                h.update(" ".join(c.split()).encode("utf-8", "surrogatepass"))
-            elif id(c) in main:
-                inner = True
-            else:
-                h.update(hashes[id(c)].to_bytes(8, "little"))
-        hashes[id(x)] = h.intdigest()
-        if not inner and x.tag not in ("#root", "html", "head", "body") and x.tag in BLOCKS:
-            into.append(hashes[id(x)])
-        x.marks = (*x.marks, hashes[id(x)])
-    return hashes[id(node)]
-
-
-def blocks(roots: list[Node], template: set[int]) -> list[str]:
-    """Text of the wanted elements in page order, one string for each block."""
-    out: list[str] = []
-    part: list[str] = []
-
-    def close() -> None:
-        if text := " ".join("".join(part).split()):
-            out.append(text)
-        part.clear()
-
-    for root in roots:
-        stack: list = [root]
+class Page:
+    """A parsed page: nodes in order, and for each the words of its text, of those in links, its hash, whether
+    it is in the main element. Iterative, as broken pages can nest thousands deep."""
+
+    def __init__(self, page: str):
+        self.root = parse(page)
+        self.nodes, self.parent, stack = [], [], [(self.root, -1)]
         while stack:
-            x = stack.pop()
-            if x is None:
-                close()
-            elif isinstance(x, str):
-                part.append(x)
-            elif x is root or not (unwanted(x) or x.marks and x.marks[-1] in template):
-                if x.tag == "br":
-                    part.append(" ")
-                elif x.tag in BLOCKS:
-                    close()
-                    stack.append(None)
-                    stack.extend(reversed(x.children))
+            x, up = stack.pop()
+            k = len(self.nodes)
+            self.nodes.append(x), self.parent.append(up)
+            stack.extend((c, k) for c in reversed(x.children) if isinstance(c, Node))
+        n = len(self.nodes)
+        self.words, self.linked, self.shown, self.hash = [0] * n, [0] * n, [0] * n, [0] * n
+        children: list[list[int]] = [[] for _ in range(n)]
+        for k in range(1, n):
+            children[self.parent[k]].append(k)
+        for k in range(n - 1, -1, -1):
+            x, inner = self.nodes[k], iter(children[k])
+            h, own = xxhash.xxh64(f"{x.tag} {' '.join(x.marks)}".encode("utf-8", "surrogatepass")), 0
+            for c in x.children:
+                if isinstance(c, str):
+                    found = c.split()
+                    own += len(found)
+                    h.update(" ".join(found).encode("utf-8", "surrogatepass"))
                 else:
-                    stack.extend(reversed(x.children))
-        close()
-    return out
+                    i = next(inner)
+                    self.words[k] += self.words[i]
+                    self.linked[k] += self.linked[i]
+                    self.shown[k] += self.shown[i]
+                    h.update(self.hash[i].to_bytes(8, "little"))
+            self.words[k] += own
+            self.linked[k] = self.words[k] if x.tag == "a" else self.linked[k]
+            self.shown[k] = 0 if k and unwanted(x) and x.tag not in ("form", "header", "aside") else self.shown[k] + own
+            self.hash[k] = h.intdigest()
+        self.anchors = self._anchors()
+        self.around = set()  # what holds the main element is never unwanted
+        for k in self.anchors:
+            while k >= 0:
+                self.around.add(k)
+                k = self.parent[k]
+        self.inside = [False] * n
+        for k in range(n):
+            self.inside[k] = k in self.anchors or (k > 0 and self.inside[self.parent[k]])
+
+    def _outermost(self, tag: str) -> list[int]:
+        """Elements of this name that show words and aren't in another of that name, nor in an unwanted part, forms and headers aside."""
+        barred = [False] * len(self.nodes)
+        out = []
+        for k, x in enumerate(self.nodes):
+            up = self.parent[k]
+            barred[k] = k > 0 and (barred[up] or self.nodes[up].tag == tag or x.tag in SKIP - {"form", "header", "aside"} or "hidden" in x.marks)
+            if x.tag == tag and not barred[k] and self.shown[k]:
+                out.append(k)
+        return out
+
+    def _anchors(self) -> set[int]:
+        """The main elements, else the article of most words and those that are no mere teasers beside it; none if there is
+        neither. An article in a marked part (related, comments) is only taken if no other is there."""
+        if found := self._outermost("main"):
+            return set(found)
+        found = self._outermost("article")
+        clear = [k for k in found if not self._in_marked(k)] or found
+        most = max((self.shown[k] for k in clear), default=0)
+        return {k for k in clear if self.shown[k] * 4 >= most or not self._in_marked(k)}
+
+    def _in_marked(self, k: int) -> bool:
+        own = {self.parent[k]}
+        k = self.parent[k]
+        while k > 0:
+            x = self.nodes[k]
+            if any(map(marked, x.marks)) and self.shown_share(k) < 0.5:
+                return True
+            k = self.parent[k]
+            own.add(k)
+        return False
+
+    def shown_share(self, k: int) -> float:
+        """Share of the page's words that this element holds."""
+        return self.words[k] / self.words[0] if self.words[0] else 0.0
+
+    def prose(self, k: int) -> bool:
+        """Running text rather than a part of the site's frame."""
+        if self.linked[k] * 2 > self.words[k]:
+            return False
+        return self.nodes[k].tag in PROSE or self.words[k] - self.linked[k] >= PROSE_WORDS
+
+    def candidates(self) -> dict[int, bool]:
+        """Hash of each subtree that may be template -> whether it is long prose."""
+        out = {}
+        for k, x in enumerate(self.nodes):
+            if k and x.tag in BLOCKS and x.tag not in ("html", "head", "body") and k not in self.around and self.words[k] and not (self.inside[k] and self.prose(k)):
+                out[self.hash[k]] = self.words[k] - self.linked[k] >= LONG_WORDS
+        return out
+
+    def blocks(self, template: set[int]) -> list[str]:
+        """Text of the main elements (of all, if there is none) in page order without template and unwanted
+        parts, one string for each block."""
+        out: list[str] = []
+        part: list[str] = []
+
+        def close() -> None:
+            if text := " ".join("".join(part).split()):
+                out.append(text)
+            part.clear()
+
+        kids: list[list[int]] = [[] for _ in self.nodes]
+        for k in range(1, len(self.nodes)):
+            kids[self.parent[k]].append(k)
+        for root in sorted(self.anchors) or [0]:
+            stack: list = [root]
+            while stack:
+                k = stack.pop()
+                if k is None:
+                    close()
+                elif isinstance(k, str):
+                    part.append(k)
+                elif k == root or not (k not in self.around and (unwanted(self.nodes[k]) or (self.hash[k] in template and self.nodes[k].tag in BLOCKS and not (self.inside[k] and self.prose(k))))):
+                    x, inner = self.nodes[k], iter(kids[k])
+                    if x.tag == "br":
+                        part.append(" ")
+                    elif x.tag in BLOCKS:
+                        close()
+                        stack.append(None)
+                    stack.extend(reversed([c if isinstance(c, str) else next(inner) for c in x.children]))
+            close()
+        return out
 
 
 def host(url: str | None) -> str:
@@ -186,101 +269,60 @@ def host(url: str | None) -> str:
     return (m[1].lower().removeprefix("www.")) if m else ""
 
 
-def signed(values: list[int]) -> np.ndarray:
-    return np.array(values, np.uint64).view(np.int64)
+def host_column(url: str) -> Column:
+    """`host` as a column."""
+    return F.regexp_replace(F.lower(F.coalesce(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))), r"^www\.", "")
 
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """host_hash, subtree: subtrees outside articles on at least min_pages different pages of a
-    host. Pages with the same html count once, or a page listed often would be its own template."""
-    small_batches(pages.sparkSession)
+def keyed(pages: DataFrame) -> DataFrame:
+    """page_id, url, html, host and content (hashes of both, signed)."""
+    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
+    return rows.withColumns({"host": F.xxhash64(host_column("url")), "content": F.xxhash64("html")})
+
+
+def subtrees(rows: DataFrame) -> DataFrame:
+    """host, content, subtree, long of each different page's candidates, and one row with subtree null for the page itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hosts, contents, found = [], [], []
-            for url, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if not page:
-                    continue
-                root, hashes = parse(page), []
-                main = find_main(root)
-                digest(root, hashes, {id(x) for x in main})
-                h, c = xxhash.xxh64_intdigest(host(url)), xxhash.xxh64_intdigest(page.encode("utf-8", "surrogatepass"))
-                for x in set(hashes):
-                    hosts.append(h), contents.append(c), found.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(x)) for x in (hosts, contents, found)], ["host_hash", "content", "subtree"])
+            hosts, contents, found, long = [], [], [], []
+            for h, c, page in zip(*[x.to_pylist() for x in b.columns]):
+                for x, y in {None: False, **Page(page).candidates()}.items():
+                    hosts.append(h), contents.append(c), found.append(x if x is None else x - (1 << 64) if x >> 63 else x), long.append(y)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((hosts, contents, found, long), (pa.int64(), pa.int64(), pa.int64(), pa.bool_()))], ["host", "content", "subtree", "long"])
 
-    seen = pages.select(F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, "host_hash long, content long, subtree long")
-    return seen.distinct().groupBy("host_hash", "subtree").count().where(F.col("count") >= min_pages).select("host_hash", "subtree")
+    return rows.where("html <> ''").select("host", "content", "html").mapInArrow(run, "host long, content long, subtree long, long boolean").distinct()
 
 
-#: Template subtrees that are broadcast, at most (16 bytes each); more are dealt to the pages by a join.
-BROADCAST_ROWS = 500_000
+def templates(seen: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """host, subtree: what is on a large share of its host's different pages. Pages with the same html count once, or a
+    page listed often would be its own template."""
+    counts = seen.groupBy("host", "subtree").agg(F.count("*").alias("n"), F.max("long").alias("long")).where(F.col("n") >= min_pages)
+    every = counts.where("subtree is null").select("host", F.col("n").alias("every"))
+    share = F.when(F.col("long"), PROSE_SHARE).otherwise(SHARE)
+    return counts.where("subtree is not null").join(every, "host").where(F.col("n") >= share * F.col("every")).select("host", "subtree")
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, url, text. Null or empty html gives an empty text; a null url counts as a host of its
-    own; repeated rows come back as often; other columns aren't read."""
-    spark = pages.sparkSession
-    small_batches(spark)
-    known, _ = settle(templates(pages, min_pages), "templates")
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    schema = "page_id long, url string, text string"
-
-    def texts(urls: list, htmls: list, template) -> list[str]:
-        out = []
-        for k, page in enumerate(htmls):
-            if not page:
-                out.append("")
-                continue
-            root = parse(page)
-            main = find_main(root)
-            drop = template(k, urls[k])
-            if drop and not main:
-                digest(root, [], set())
-                out.append("\n\n".join(blocks([root], drop)))
-            else:
-                out.append("\n\n".join(blocks(main or [root], set())))
-        return out
+    own; repeated rows come back as often; other columns aren't read; an empty table gives no rows.
 
-    if known.count() <= BROADCAST_ROWS:
-        by_host: dict[int, set[int]] = {}
-        for r in known.toLocalIterator():
-            by_host.setdefault(r["host_hash"] % (1 << 64), set()).add(r["subtree"] % (1 << 64))
-        sent = spark.sparkContext.broadcast(by_host)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                made = texts(b.column(1).to_pylist(), b.column(2).to_pylist(), lambda k, url: sent.value.get(xxhash.xxh64_intdigest(host(url)), set()))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(made, pa.string())], ["page_id", "url", "text"])
-
-        return rows.mapInArrow(run, schema)
+    Each different page's own templates come to it as a list, joined by host and content. Contents with
+    many copies are few, and their lists are broadcast, so that no task gathers the copies of a page."""
+    small_batches(pages.sparkSession)
+    rows = keyed(pages)
+    seen, _ = settle(subtrees(rows), "subtrees")
+    lists, _ = settle(seen.join(templates(seen, min_pages), ["host", "subtree"], "left_semi").groupBy("host", "content").agg(F.collect_list("subtree").alias("drops")), "drops")
+    key = ["host", "content"]
+    copies = rows.groupBy(*key).count()
+    many = F.broadcast(settle(copies.where(F.col("count") > F.greatest(F.lit(COPIES), F.lit(rows.count() * COPIES_SHARE))).select(*key), "copies")[0])
+    light = rows.join(many, key, "left_anti").join(lists, key, "left")
+    heavy = rows.join(F.broadcast(many.join(lists, key, "left")), key)
 
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            content, hosts, found = [], [], []
-            for url, page in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                own: list[int] = []
-                if page and not find_main(root := parse(page)):
-                    digest(root, own, set())
-                for x in set(own):
-                    content.append(xxhash.xxh64_intdigest(page.encode("utf-8", "surrogatepass"))), hosts.append(xxhash.xxh64_intdigest(host(url))), found.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(x)) for x in (content, hosts, found)], ["content", "host_hash", "subtree"])
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            drops = [{x % (1 << 64) for x in d or []} for d in b.column(3).to_pylist()]
-            made = texts(b.column(1).to_pylist(), b.column(2).to_pylist(), lambda k, url, d=drops: d[k])
+            made = ["\n\n".join(Page(page).blocks({x % (1 << 64) for x in drops or ()})) if page else "" for page, drops in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(made, pa.string())], ["page_id", "url", "text"])
 
-    # Only the pages without an article need their list: their own subtrees that are templates.
-    own = rows.mapInArrow(hashes, "content long, host_hash long, subtree long").distinct()
-    lists = own.join(known, ["host_hash", "subtree"], "left_semi").groupBy("content", "host_hash").agg(F.collect_list("subtree").alias("drops"))
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            c = [xxhash.xxh64_intdigest((p or "").encode("utf-8", "surrogatepass")) for p in b.column(2).to_pylist()]
-            h = [xxhash.xxh64_intdigest(host(u)) for u in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(signed(c)), pa.array(signed(h))], ["page_id", "url", "html", "content", "host_hash"])
-
-    keyed = rows.mapInArrow(keys, "page_id long, url string, html string, content long, host_hash long")
-    return keyed.join(lists, ["content", "host_hash"], "left").select("page_id", "url", "html", "drops").mapInArrow(joined, schema)
+    columns = ["page_id", "url", "html", "drops"]
+    return light.select(*columns).unionByName(heavy.select(*columns)).mapInArrow(run, "page_id long, url string, text string")

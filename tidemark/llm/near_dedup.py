@@ -215,23 +215,20 @@ def components(edges: DataFrame) -> DataFrame:
     and small-star rounds until nothing changes. Nodes without links aren't in it."""
     spark = edges.sparkSession
     now, path = settle(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    state = None
-    measure = [F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))]
     count = now.count()
     while True:
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = lowest(both, 2 * count, "own").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()  # now each row points down
-        star = lowest(large, 2 * count, "least")
-        low = large.groupBy("u").agg(F.min("v").alias("v"))
-        small = star.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low)
+        large = lowest(both, 2 * count, "own").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        star = lowest(large, 2 * count, "least")  # each row points down now
+        small = star.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(star.select("u", F.col("m").alias("v")))
         after, newer = settle(small.where("u <> v").distinct(), "links")
         discard(spark, path)
         now, path = after, newer
-        seen = tuple(now.agg(*measure).first())
-        if seen == state:
+        # done if each node has one link and it leads to a node without any
+        ends = now.select("u", F.lit(1).alias("out")).union(now.select(F.col("v").alias("u"), F.lit(1 << 32).alias("out")).distinct()).groupBy("u").agg(F.sum("out").alias("out"))
+        open_ends, count = ends.agg(F.count_if(~F.col("out").isin(1, 1 << 32)), F.sum(F.col("out") % (1 << 32))).first()
+        if not open_ends:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        state, count = seen, seen[0]
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:

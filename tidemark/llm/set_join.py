@@ -11,9 +11,9 @@ shingle are compared, and none is missed; how many they meet in bounds what they
 frequent shingles last, so that a line on many pages brings few texts together; frequencies are
 estimated from a sample, which changes the cost but not the result.
 
-Classes that meet are first compared with a few others of their shingle, chosen anew by hash in each of some
-rounds, which joins a dense group in rows proportional to its members; then with all that they meet of
-other groups, which finds what the rounds leave. Every link is verified on the whole sets.
+Classes that meet are first compared with a few others of their shingle, then with more of those that are not yet
+in their group, both chosen by hash, which joins a dense group in rows proportional to its members; at last with
+all that they meet of other groups, which finds what the rounds leave. Every link is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ from .simhash import of_hashes, shingle_hashes, words
 
 #: One of so many texts is sampled for the order; shingles on so many sampled texts go last, at most so many of them.
 SAMPLE, FREQUENT, FREQUENT_ROWS = 16, 8, 200_000
-#: Rounds, at most, of comparing each class with so many others of each of its shingles.
-ROUNDS, OTHERS = 4, 4
+#: Classes of a shingle that are compared in the rounds before the last one, about: those of one hash.
+ROUNDS = (8, 128)
 
 
 def shingle_set(text: str | None, n: int) -> np.ndarray:
@@ -96,13 +96,13 @@ def whole_sets(docs: DataFrame, chosen: DataFrame, n: int) -> DataFrame:
     return one.mapInArrow(run, "class long, shingles array<long>")
 
 
-def likely(meetings: DataFrame) -> DataFrame:
+def likely(met: DataFrame) -> DataFrame:
     """u, v of meetings (u, v, u_size, v_size; one row for each shingle that both prefixes hold) that can
     reach 4/5. All common shingles up to the lesser of the prefixes' ends are in both prefixes, so
     the whole sets share no more than those that met and what is behind that prefix."""
     behind = lambda n: n - F.floor(n / 5) - 1
     m, n = F.col("u_size"), F.col("v_size")
-    counted = meetings.where(F.least(m, n) * 5 >= F.greatest(m, n) * 4).groupBy("u", "v", "u_size", "v_size").count()
+    counted = met.where(F.least(m, n) * 5 >= F.greatest(m, n) * 4).groupBy("u", "v", "u_size", "v_size").count()
     return counted.where((F.col("count") + F.greatest(behind(m), behind(n))) * 9 >= (m + n) * 4).select("u", "v")
 
 
@@ -111,13 +111,12 @@ def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, n: int) -> Data
     pairs, one = settle(pairs, "pairs")
     wanted = pairs.select(F.col("u").alias("class")).union(pairs.select("v")).distinct()
     chosen = rows.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("text_hash").alias("text_hash"))
-    sets, two = settle(whole_sets(docs, chosen, n), "sets")
+    sets = whole_sets(docs, chosen, n)
     side = lambda k: sets.select(F.col("class").alias(k), F.col("shingles").alias(f"{k}_set"))
     both = F.size(F.array_intersect("u_set", "v_set"))
     near = pairs.join(side("u"), "u").join(side("v"), "v").where(both * 9 >= (F.size("u_set") + F.size("v_set")) * 4)
     found, _ = settle(near.select("u", "v"), "near")
     discard(docs.sparkSession, one)
-    discard(docs.sparkSession, two)
     return found  # the links: few rows, which the caller's plan reads again
 
 
@@ -137,15 +136,17 @@ def with_roots(met: DataFrame, roots: DataFrame) -> DataFrame:
     return named.withColumns({"low": F.min("root").over(every), "high": F.max("root").over(every)}).where("low <> high").drop("low", "high")
 
 
-def round_pairs(named: DataFrame, turn: int) -> DataFrame:
-    """Meetings of each class with the OTHERS next ones of its shingle. The order by hash changes with each turn but is
-    one for all shingles, so two classes that are close in it meet in all that they share."""
-    order = W.partitionBy("s").orderBy(F.xxhash64("class", F.lit(turn)), "class")
-    other = F.array_compact(F.array(*[F.lead(F.struct("class", "size", "root"), k).over(order) for k in range(1, OTHERS + 1)]))
-    met = named.withColumn("others", other).select("s", "class", "size", "root", F.explode("others").alias("o")).where("root <> o.root")
-    # the greater class is u, so that a pair has one name
-    a, b = F.struct("class", "size"), F.struct("o.class", "o.size")
-    return met.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).select(F.col("a.class").alias("u"), F.col("b.class").alias("v"), F.col("a.size").alias("u_size"), F.col("b.size").alias("v_size"))
+def meetings(named: DataFrame, turn: int, about: int | None) -> DataFrame:
+    """u, v, u_size, v_size: classes of different roots that meet in a shingle, u the greater. about: only those whose
+    hashes agree in as many bits as leave about so many classes of the shingle; the hash changes with each
+    turn but is one for all shingles, so two classes that agree in it meet in nearly all that they share."""
+    if about is None:
+        named = named.withColumn("part", F.lit(0).cast("long"))
+    else:
+        bits = F.greatest(F.lit(0), F.ceil(F.log2(F.count("*").over(W.partitionBy("s")) / about)))
+        named = named.withColumn("bits", bits).withColumn("part", F.xxhash64("class", F.lit(turn)).bitwiseAND((F.pow(F.lit(2.0), F.col("bits")) - 1).cast("long")))
+    a, b = (named.select("s", "part", F.col("class").alias(k), F.col("size").alias(f"{k}_size"), F.col("root").alias(f"{k}_root")) for k in "uv")
+    return a.join(b, ["s", "part"]).where("u_root <> v_root and u > v").select("u", "v", "u_size", "v_size")
 
 
 def similar_groups(docs: DataFrame, n: int = 5, radius: int = 4) -> DataFrame:
@@ -161,26 +162,19 @@ def similar_groups(docs: DataFrame, n: int = 5, radius: int = 4) -> DataFrame:
     small_batches(spark)
     rows = keep(prefixes(docs, n), "prefixes")
     classes = keep(rows.groupBy("class").agg(F.min("size").alias("size"), F.min("fp").alias("fp")), "classes")
-    found = verified(keep(fingerprint_pairs(classes, radius), "close"), rows, docs, n)
     spread = rows.select(F.explode("prefix").alias("s"), "class", "size").distinct()
     every = W.partitionBy("s")
     met = spread.withColumns({"low": F.min("class").over(every), "high": F.max("class").over(every)}).where("low <> high").drop("low", "high")
-    met = keep(met, "met")
-    stars = found
-    for turn in range(ROUNDS + 1):
-        roots = components(stars)
-        named = keep(with_roots(met, roots), "named")
-        met = named.drop("root")
-        if named.isEmpty():
-            break
-        if turn == 0 or turn < ROUNDS and not found.isEmpty():
-            found = verified(likely(round_pairs(named, turn)), rows, docs, n)
-            stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found)
-            continue
-        a, b = (named.select("s", F.col("class").alias(k), F.col("size").alias(f"{k}_size"), F.col("root").alias(f"{k}_root")) for k in "uv")
-        rest = verified(likely(a.join(b, "s").where("u_root <> v_root and u > v")), rows, docs, n)
-        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(rest))
-        break
+    named, stars = keep(met.withColumn("root", F.col("class")), "met"), None
+    for turn, about in enumerate((*ROUNDS, None)):
+        pairs = likely(meetings(named, turn, about))
+        found = verified(pairs if stars is not None else pairs.union(fingerprint_pairs(classes, radius)), rows, docs, n)
+        roots = components(found if stars is None else stars.union(found))
+        stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
+        if about is not None:
+            named = keep(with_roots(named.drop("root"), roots), "named")
+            if named.isEmpty():
+                break
     found = roots
     out = keep(rows.join(found, rows["class"] == found.node, "left").select("doc_id", "text_hash", F.coalesce("root", "class").alias("root")), "groups")
     for path in used[:-1]:
