@@ -9,8 +9,7 @@ from tidemark.llm import chat, decontaminate, html_text, queries, secrets_scan
 
 
 def text_of(page):
-    root = html_text.parse(page)
-    return html_text.blocks(html_text.find_main(root) or [root], set())
+    return html_text.Page(page).blocks(set())
 
 
 def test_blocks():
@@ -20,24 +19,77 @@ def test_blocks():
     assert text_of("<div>" * 5000 + "deep" + "</div>" * 5000) == ["deep"]
 
 
+def test_hostile_pages():
+    for page in ("<a " * 340_000, "<a " * 340_000 + ">", "<script>" + "</script " * 120_000, "<a \"'" * 200_000, "<!--" * 250_000, "<div " * 200_000):
+        assert text_of(page) == []
+
+
+def test_wrappers_and_teasers():
+    assert text_of("<div class='site has-sidebar'><article><p>kept</p></article></div>") == ["kept"]
+    assert text_of("<div class='no-comments layout-with-header'><p>kept</p></div><div class='site-footer'>gone</div>") == ["kept"]
+    assert text_of("<main><article>one</article><article>two</article><p>own text</p></main>") == ["one", "two", "own text"]
+    assert text_of("<body><div class='related'><article>teaser</article></div><article>the real text of this page</article>") == ["the real text of this page"]
+    assert text_of("<form><div><article>in a form</article></div></form>") == ["in a form"]
+
+
 def test_templates(spark):
     body = lambda i: f"<body><div><p>Follow our paper</p></div><div><p>story number {i} is here</p></div><div>All rights kept</div></body>"
-    pages = [(i, f"https://a.example/{i}", body(i)) for i in range(6)] + [(i, "https://b.example/x", body(i)) for i in range(10, 12)] + [(20, None, None), (21, "x", ""), (22, "https://a.example/1", body(1)), (22, "https://a.example/1", body(1))]
-    frame = spark.createDataFrame([(*p, "t", "h") for p in pages], "page_id long, url string, html string, text string, host_hash string")
-    for limit in (500_000, 0):
-        html_text.BROADCAST_ROWS, kept = limit, html_text.BROADCAST_ROWS
-        rows = html_text.extract(frame).collect()
-        html_text.BROADCAST_ROWS = kept
-        got = {r.page_id: r.text for r in rows}
-        assert len(rows) == len(pages) and got[3] == "story number 3 is here" and got[22] == "story number 1 is here"
-        assert got[10] == "Follow our paper\n\nstory number 10 is here\n\nAll rights kept" and got[20] == got[21] == ""
+    pages = [(i, f"https://a.example/{i}", body(i)) for i in range(6)] + [(i, "https://b.example/x", body(i)) for i in range(10, 12)] + [(20, None, None), (21, "x", ""), (22, "https://a.example/1", body(1)), (22, "https://a.example/1", body(1)), (None, None, body(1))]
+    frame = spark.createDataFrame([(*p, "t", "h", "c") for p in pages], "page_id long, url string, html string, text string, host string, content string")
+    rows = html_text.extract(frame).collect()
+    got = {r.page_id: r.text for r in rows}
+    assert len(rows) == len(pages) and got[3] == "story number 3 is here" and got[22] == "story number 1 is here"
+    assert got[10] == "Follow our paper\n\nstory number 10 is here\n\nAll rights kept" and got[20] == got[21] == ""
     assert html_text.extract(frame.limit(0)).collect() == []
 
 
-def test_articles_keep_passages_that_recur(spark):
-    page = lambda i: f"<article><p>the same licence on every page</p><p>own {i}</p></article>"
-    frame = spark.createDataFrame([(i, "https://a.example/", page(i)) for i in range(9)], "page_id long, url string, html string")
-    assert {r.text for r in html_text.extract(frame).collect()} == {f"the same licence on every page\n\nown {i}" for i in range(9)}
+def test_many_copies_of_a_page(spark):
+    body = lambda i: f"<div>Frame of the site</div><p>story {i}</p>"
+    pages = [(i, "https://a.example/", body(i)) for i in range(6)] + [(100 + i, "https://a.example/", body(0)) for i in range(300)]
+    rows = html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert len(rows) == 306 and {r.text for r in rows if r.page_id >= 100} == {"story 0"}
+
+
+def test_templates_decide_inside_and_outside_the_article(spark):
+    """Elements without a telling name: what recurs on the host and isn't prose goes, and stays on a host where it doesn't recur."""
+    share = "<div><a href='#'>Send to a friend</a></div>"
+    page = lambda i, inner, outer: f"<body><article><p>the same licence on every page</p>{inner}<p>own {i}</p></article>{outer}</body>"
+    plain = lambda i, inner: f"<body><div>{inner}<p>own {i}</p></div><div>Town paper since 1901</div></body>"
+    pages = [(i, "https://a.example/", page(i, share, "")) for i in range(9)] + [(i, "https://b.example/", page(i, share if i == 10 else "", "")) for i in range(10, 30)]
+    pages += [(i, "https://c.example/", plain(i, "<section>Tip of the day</section>")) for i in range(40, 50)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got[3] == "the same licence on every page\n\nown 3"
+    assert got[10] == "the same licence on every page\n\nSend to a friend\n\nown 10"
+    assert got[41] == "own 41"
+
+
+def test_few_pages_of_many_do_not_make_a_template(spark):
+    quote = "<p>a paragraph that some pages quote</p>"
+    pages = [(i, "https://a.example/", f"<div><p>page {i}</p>{quote if i < 10 else ''}</div>") for i in range(60)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got[2] == "page 2\n\na paragraph that some pages quote" and got[50] == "page 50"
+
+
+def plain_templates(pages):
+    """The rule of `templates` by counting in Python: (host, subtree) pairs."""
+    of, hosts = {}, {}
+    for url, page in {(html_text.host(u), p) for _, u, p in pages if p}:
+        hosts[url] = hosts.get(url, 0) + 1
+        for x, long in html_text.Page(page).candidates().items():
+            n, was = of.get((url, x), (0, False))
+            of[url, x] = n + 1, was or long
+    return {k for k, (n, long) in of.items() if n >= 5 and n >= (0.8 if long else 0.3) * hosts[k[0]]}
+
+
+def test_extraction_against_a_plain_version(spark, small):
+    rows = spark.read.parquet(f"{small}/pages.parquet").collect()
+    pages = [(r.page_id, r.url, r.html) for r in rows]
+    known = plain_templates(pages)
+    want = {}
+    for i, url, page in pages:
+        want[i] = "\n\n".join(html_text.Page(page).blocks({x for h, x in known if h == html_text.host(url)})) if page else ""
+    got = {r.page_id: r for r in queries.op3_html_extraction(spark, small).collect()}
+    assert {i: r.text for i, r in got.items()} == want and all(r.n_chars == len(r.text) for r in got.values())
 
 
 def test_chats(spark, small):
@@ -73,6 +125,20 @@ def test_layouts(spark):
     }
 
 
+def test_layouts_of_each_record(spark):
+    """One type of message can hold two layouts; a record of none is no turn; texts may all be null."""
+    kind = "id long, turn string, record struct<messages: array<struct<role: string, content: string, `from`: string, value: string>>, x: string>"
+    rows = [(1, "c", ([("user", "a", None, None), ("assistant", "b", None, None)], None)), (2, "c", ([(None, None, "human", "q"), (None, None, "gpt", "r")], None)), (3, "c", (None, "?")), (4, "c", ([("user", None, None, None)], None)), (5, "c", ([], None)), (None, "c", ([("user", "n", None, None)], None))]
+    turns = chat.canonical_turns(spark.createDataFrame(rows, kind), "id")
+    got = {}
+    for r in sorted(turns.collect(), key=lambda r: (r.conv_id or 0, r.turn or 0)):
+        got.setdefault(r.conv_id, []).append((r.layout, r.role, r.text))
+    assert got == {1: [("messages", "user", "a"), ("messages", "assistant", "b")], 2: [("messages_from", "user", "q"), ("messages_from", "assistant", "r")], 3: [(None, "", "")], 4: [("messages", "user", "")], None: [("messages", "user", "n")]}
+    made = {r.conv_id: r.formatted for r in chat.format_chat(turns).collect()}
+    assert set(made) == {1, 2, 4, None} and made[2].count("<|turn|>") == 2
+    assert chat.format_chat(turns.limit(0)).collect() == []
+
+
 def test_pipeline(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     now, counts = docs, [docs.count()]

@@ -21,7 +21,7 @@ from .common import small_batches
 from .pretokens import slices
 
 MAX_VOCAB = 2_000_000
-CACHE = 300_000
+CACHE = 100_000
 #: Bytes up to which a slice is merged by searching all its pairs.
 SHORT = 64
 NO_RANK = 1 << 62
@@ -120,20 +120,30 @@ class Encoder:
 
 
 class Decoder:
+    """The bytes of all tokens side by side, and where each begins in them."""
+
     def __init__(self, ranks: dict[bytes, int]):
         size = max(ranks.values(), default=-1) + 1
-        self.token: list[bytes | None] = [None] * size
-        for token, rank in ranks.items():
-            self.token[rank] = token
-
-    def decode(self, ids) -> bytes:
-        token = self.token
-        return b"".join([token[i] for i in ids])
-
-    def offsets(self, ids) -> list[int]:
-        """The byte at which each token starts."""
-        sizes = np.array([len(self.token[i]) for i in ids], np.int64)
-        return (np.cumsum(sizes) - sizes).tolist()
+        token: list[bytes] = [b""] * size
+        for piece, rank in ranks.items():
+            token[rank] = piece
+        self.length = np.array([len(t) for t in token], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.data = np.frombuffer(b"".join(token), np.uint8)
+
+    def offsets(self, ids: np.ndarray) -> np.ndarray:
+        """The byte at which each token starts in the text."""
+        sizes = self.length[ids]
+        return np.cumsum(sizes) - sizes
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> bytes:
+        """The text's bytes: byte b of it lies in its token as far behind the token's start as b is behind the offset."""
+        if not len(ids):
+            return b""
+        sizes = np.diff(np.append(offsets, offsets[-1] + self.length[ids[-1]]))
+        if (sizes != self.length[ids]).any():
+            raise ValueError("offsets that aren't those of the ids")
+        return self.data[np.repeat(self.start[ids] - offsets, sizes) + np.arange(offsets[-1] + sizes[-1])].tobytes()
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -145,30 +155,29 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = Encoder(ranks.value), Decoder(ranks.value)
         for b in batches:
-            ids = list(encoder.encode(b.column(1).to_pylist()))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([np.frombuffer(x, np.uint32).astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array([decoder.offsets(x) for x in ids], pa.list_(pa.int64()))], ["doc_id", "ids", "offsets"]
-            )
+            ids = [np.frombuffer(x, np.uint32).astype(np.int32) for x in encoder.encode(b.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([decoder.offsets(x) for x in ids], pa.list_(pa.int64()))], ["doc_id", "ids", "offsets"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids array<int>, offsets array<long>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """doc_id, data (the bytes that the ids stand for; null ids: empty)."""
+    """doc_id, data: the bytes that the ids stand for, laid out by their offsets (null: empty). encoded: doc_id, ids, offsets."""
     small_batches(encoded.sparkSession)
     ranks = encoded.sparkSession.sparkContext.broadcast(read_ranks(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(ranks.value)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([decoder.decode(x or []) for x in b.column(1).to_pylist()], pa.binary())], ["doc_id", "data"])
+            made = [decoder.decode(np.array(x or [], np.int64), np.array(o or [], np.int64)) for x, o in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.binary())], ["doc_id", "data"])
 
-    return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, data binary")
+    return encoded.select(F.col("doc_id").cast("long"), "ids", "offsets").mapInArrow(run, "doc_id long, data binary")
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit integers), decoded_sha256:
-    encodes, decodes the ids and digests both in one pass, so the ids never leave the task."""
+    encodes, decodes the ids by their offsets and digests both in one pass, so the ids never leave the task."""
     small_batches(docs.sparkSession)
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
 
@@ -178,8 +187,9 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
             n, of_ids, of_text = [], [], []
             for ids in encoder.encode(b.column(1).to_pylist()):
                 n.append(len(ids))
-                of_ids.append(hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest())
-                of_text.append(hashlib.sha256(decoder.decode(ids)).hexdigest())
+                numbers = np.frombuffer(ids, np.uint32).astype(np.int64)
+                of_ids.append(hashlib.sha256(numbers.astype("<u4").tobytes()).hexdigest())
+                of_text.append(hashlib.sha256(decoder.decode(numbers, decoder.offsets(numbers))).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

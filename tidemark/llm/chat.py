@@ -32,6 +32,8 @@ class Mapping:
 MAPPINGS = (
     Mapping("messages", ("messages[].content", "messages[].role"), messages=("messages", "role", "content")),
     Mapping("conversations", ("conversations[].from", "conversations[].value"), messages=("conversations", "from", "value")),
+    Mapping("messages_from", ("messages[].from", "messages[].value"), messages=("messages", "from", "value")),
+    Mapping("conversations_role", ("conversations[].content", "conversations[].role"), messages=("conversations", "role", "content")),
     Mapping("prompt", ("prompt", "response"), turns=(("user", "prompt"), ("assistant", "response"))),
     Mapping("completion", ("completion", "prompt"), turns=(("user", "prompt"), ("assistant", "completion"))),
     Mapping("instruction", ("instruction", "output"), turns=(("user", "instruction"), ("assistant", "output"))),
@@ -52,14 +54,29 @@ def leaf_paths(kind: T.DataType, prefix: str = "") -> list[str]:
     return [prefix]
 
 
+def filled(value: Column, path: str) -> Column:
+    """Whether the record holds a value at this path; of an array: in any of its elements."""
+    head, array, rest = path.partition("[]")
+    for name in filter(None, head.split(".")):
+        value = value[name]
+    if not array:
+        return value.isNotNull()
+    return F.coalesce(F.exists(value, lambda x: filled(x, rest.removeprefix("."))), lit(False))
+
+
 def schema_fingerprint(record: str, kind: T.StructType) -> Column:
-    """Hash of the sorted leaf paths that hold a value in the struct column `record` (an array's: if it is not null)."""
+    """Hash of the sorted leaf paths at which the struct column `record` holds a value, judged for each record."""
+    found = F.array(*[F.when(filled(F.col(record), p), lit(p)) for p in sorted(leaf_paths(kind))])
+    return F.xxhash64(F.array_join(F.array_compact(found), "\n"))
 
-    def present(path: str) -> Column:
-        return F.col(f"{record}.{path.split('[]')[0]}").isNotNull()
 
-    filled = F.array(*[F.when(present(p), lit(p)) for p in sorted(leaf_paths(kind))])
-    return F.xxhash64(F.array_join(F.array_compact(filled), "\n"))
+def is_empty(record: str, kind: T.StructType) -> Column:
+    """Whether an array of messages is there but has no element, and nothing else is."""
+    arrays = [F.coalesce(F.size(F.col(f"{record}.{f.name}")) == 0, lit(False)) for f in kind.fields if isinstance(f.dataType, T.ArrayType)]
+    some = lit(False)
+    for a in arrays:
+        some = some | a
+    return some & (schema_fingerprint(record, kind) == F.xxhash64(lit("")))
 
 
 def message(role: str, text: str):
@@ -69,8 +86,9 @@ def message(role: str, text: str):
 
 def canonical_turns(records: DataFrame, id_col: str, record: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """conv_id, turn, role, text, layout: the turns of each record by the mapping that its fingerprint
-    selects. Null texts are empty, null roles too; a record of no known layout gives one row with
-    layout null and turn null, so nothing is lost unseen; a record without messages gives no turn."""
+    selects. Null texts are empty, null roles too, also where all texts of a record are null; a record of no known
+    layout gives one row with layout null and turn null, so nothing is lost unseen; a record without messages
+    gives no turn. A null id, repeated and clashing columns pass: only id_col and record are read."""
     kind = records.schema[record].dataType
     names = set(leaf_paths(kind))
     fingerprint = schema_fingerprint(record, kind)
@@ -79,14 +97,17 @@ def canonical_turns(records: DataFrame, id_col: str, record: str = "record", map
     for m in mappings:
         if not set(m.paths) <= names:
             continue
-        key = F.xxhash64(lit("\n".join(sorted(m.paths))))
+        fits = fingerprint == F.xxhash64(lit("\n".join(sorted(m.paths))))
+        if m.messages:
+            fits |= fingerprint == F.xxhash64(lit(f"{m.messages[0]}[].{m.messages[1]}"))  # roles alone: all texts are null
         if m.messages:
             array, role, text = m.messages
             made = F.transform(F.col(f"{record}.{array}"), message(role, text))
         else:
             made = F.array(*[F.struct(lit(r).alias("role"), F.col(f"{record}.{p}").cast("string").alias("text")) for r, p in m.turns])
-        turns = F.when(fingerprint == key, made.cast(turn_type)).otherwise(turns)
-        layout = F.when(fingerprint == key, lit(m.name)).otherwise(layout)
+        turns = F.when(fits, made.cast(turn_type)).otherwise(turns)
+        layout = F.when(fits, lit(m.name)).otherwise(layout)
+    layout = F.when(is_empty(record, kind), lit("empty")).otherwise(layout)
     role = F.coalesce("t.role", lit(""))
     for other, canonical in ROLES.items():
         role = F.when(F.col("t.role") == other, lit(canonical)).otherwise(role)
@@ -115,8 +136,11 @@ def unescape_role(role: Column) -> Column:
 
 def format_chat(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """conv_id, formatted, loss (array of start, end in code points: the escaped texts of loss_role's
-    turns). turns: conv_id, turn, role, text; equal turn numbers are ordered by role and text. Offsets are
-    running sums in a window, so a conversation costs time in proportion to its length."""
+    turns). turns: conv_id, turn, role, text, perhaps layout (rows without one are no turns and left out); equal
+    turn numbers are ordered by role and text. Offsets are running sums in a window, so a conversation costs
+    time in proportion to its length. Null ids form one conversation; an empty table gives no rows."""
+    if "layout" in turns.columns:
+        turns = turns.where("layout is not null")
     head = F.concat(lit(START), escape_role(F.coalesce("role", lit(""))), lit("\n"))
     body = escape(F.coalesce("text", lit("")))
     pieces = turns.select("conv_id", "turn", F.coalesce("role", lit("")).alias("role"), F.length(head).cast("long").alias("lead"), F.length(body).cast("long").alias("size"), F.concat(head, body, lit(END + "\n")).alias("piece"))

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .common import small_batches
 
@@ -25,6 +25,8 @@ FILTERS = 16
 EMBED = 8
 #: Windows the network is trained on, at most: shared out evenly over the languages.
 TRAIN_WINDOWS = 6_000
+#: Texts of each language, at least, however many languages there are.
+EACH = 16
 UNDETERMINED = "und"
 
 
@@ -134,24 +136,26 @@ def remainder(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, train_windows: int = TRAIN_WINDOWS, seed: int = 0) -> ByteNet:
-    """Train on at most train_windows windows of texts with a lang and a remainder other than 1.
-    The sample is by hash of doc_id, at the same expected number for each language (the 64 most
-    frequent ones), one to four windows of each text. Without labelled rows the network has no class and
-    answers `und`."""
-    cut = 4 * WINDOW  # characters brought to the driver for each sampled row
+    """Train on texts with a lang and a remainder other than 1: train_windows of them at most, shared out
+    evenly over the languages, but EACH of every language at least, so none is left out (the network has an output
+    for each). The sample is by hash of doc_id; each text gives one to four windows. Without labelled
+    rows the network has no class and answers `und`."""
+    spark, cut = docs.sparkSession, 4 * WINDOW  # characters brought to the driver for each sampled row
     known = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != "") & (F.coalesce(remainder(F.col("doc_id")), F.lit(1)) != 1)
     )
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(64).collect()
+    counts = known.groupBy("lang").count().collect()  # as many as the network has classes
     if not counts:
         return ByteNet([])
-    each = train_windows // len(counts)
+    each = max(EACH, train_windows // len(counts))
+    # enough by hash that `each` are left with near certainty, then the first `each` of them
+    share = [(r["lang"], min(1 << 30, int((1 << 30) * (each + 6 * each**0.5 + 20) / r["count"]))) for r in counts]
+    limits = F.broadcast(spark.createDataFrame(share, "lang string, top long"))
     lot = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 30))
-    keep = F.lit(False)
-    for r in counts:
-        keep |= (F.col("lang") == r["lang"]) & (lot < min(1 << 30, int((1 << 30) * 1.1 * each / r["count"])))
     start = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed + 1)), F.greatest(F.lit(1), F.length("text") - WINDOW // 2)).cast("int")
-    rows = known.where(keep).select("lang", "doc_id", F.substring(F.col("text"), start + 1, F.lit(cut)).alias("text"), lot.alias("lot")).orderBy("lot", "doc_id").limit(train_windows).collect()
+    drawn = known.join(limits, "lang").where(lot < F.col("top")).select("lang", "doc_id", F.substring(F.col("text"), start + 1, F.lit(cut)).alias("text"), lot.alias("lot"))
+    first = drawn.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("lot", "doc_id", "text"))).where(F.col("n") <= each)
+    rows = first.orderBy("lot", "doc_id", "lang", "text").collect()
     classes = sorted({r["lang"] for r in rows})
     each = max(1, min(4, train_windows // len(rows)))
     parts = [windows(r["text"])[:each] for r in rows]
@@ -192,5 +196,5 @@ def identify(docs: DataFrame, net: ByteNet, reject: float | None = None) -> Data
 
 
 def held_out(doc_id: int) -> bool:
-    """The rule of `remainder` in Python, for tests."""
+    """The rule of `remainder` in Python, for tests: a row without an id is never held out, nor trained on."""
     return zlib.crc32(str(doc_id).encode()) % 3 == 1
