@@ -37,8 +37,8 @@ PRUNED = 0.9
 SHARD_ROWS = 500
 #: Pieces up to this many rows are compared side by side, without a tree.
 SMALL = 64
-#: Nodes with more links than this, and than this share of all links, are joined by broadcast: 200,000 of them at most.
-HEAVY, HEAVY_SHARE = 256, 1e-5
+#: Nodes with more links than this, and than this share of all links, have their rows dealt over so many tasks: 200,000 of them at most.
+HEAVY, HEAVY_SHARE, SALTS = 256, 1e-5, 32
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
@@ -199,15 +199,17 @@ def links(nodes: DataFrame, radius: int = 4, piece_rows: int = 20_000, agree: in
 
 
 def lowest(rows: DataFrame, count: int, keep: str) -> DataFrame:
-    """rows (u, v) with m, the least of u's v (keep: and u itself). Nodes of many links, such as a group's root, are
-    few (at most 1 / HEAVY_SHARE of them for each end of a link), so they are joined by broadcast; the others by their node."""
+    """rows (u, v) with m, the least of u's v (keep "own": and u itself). Nodes of many links, such as a group's root,
+    are few (at most 1 / HEAVY_SHARE of them for each end of a link): their names are broadcast, and their rows
+    are dealt over SALTS tasks each by v."""
     low = rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
     if keep == "own":
         low = low.withColumn("m", F.least("u", "m"))
-    heavy = max(HEAVY, int(count * HEAVY_SHARE))
-    many = F.broadcast(low.where(F.col("n") > heavy).drop("n"))
-    few = low.where(F.col("n") <= heavy).drop("n")
-    return rows.join(many, "u").unionByName(rows.join(many.select("u"), "u", "left_anti").join(few, "u"))
+    heavy = F.col("n") > max(HEAVY, int(count * HEAVY_SHARE))
+    many = F.broadcast(low.where(heavy).select("u", F.lit(True).alias("heavy")))
+    salted = rows.join(many, "u", "left").withColumn("salt", F.when(F.col("heavy"), F.pmod(F.xxhash64("v"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")).drop("heavy")
+    copies = low.select("u", "m", F.explode(F.when(heavy, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt"))
+    return salted.join(copies, ["u", "salt"]).drop("salt")
 
 
 def components(edges: DataFrame) -> DataFrame:
