@@ -11,7 +11,7 @@ shingle are compared, and none is missed; how many they meet in bounds what they
 frequent shingles last, so that a line on many pages brings few texts together; frequencies are
 estimated from a sample, which changes the cost but not the result.
 
-Classes that meet are first compared with some others of their shingle, chosen by hash, which joins a dense group
+Classes that meet are first compared with some others of their shingle, chosen by hash in rounds, which joins a dense group
 in rows proportional to its members; then with all that they meet of other groups, which finds what is
 left. Every link is verified on the whole sets.
 """
@@ -32,7 +32,7 @@ from .simhash import of_hashes, shingle_hashes, words
 #: One of so many texts is sampled for the order; shingles on so many sampled texts go last, at most so many of them.
 SAMPLE, FREQUENT, FREQUENT_ROWS = 16, 8, 200_000
 #: Classes of a shingle that are compared in the rounds before the last one, about: those of one hash.
-ROUNDS = (32,)
+ROUNDS = (8, 128)
 
 
 def shingle_set(text: str | None, n: int) -> np.ndarray:
