@@ -80,7 +80,7 @@ def test_ambiguous_dates(spark):
 
 
 def test_duplicate_rows_fail_the_gate(spark):
-    rows = spark.createDataFrame([("corin", date(2026, 1, 1), 1.0)] * 2, "property string, stay_date date, room_nights double")
+    rows = spark.createDataFrame([("north", date(2026, 1, 1), 1.0)] * 2, "property string, stay_date date, room_nights double")
     issues = quality.demand_issues(rows)
     found = {r["check"]: (r.severity, r.records) for r in issues.collect()}
     assert found == {"duplicate_property_date": ("error", 2)}

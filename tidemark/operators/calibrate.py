@@ -16,8 +16,9 @@ def operative(predictions: DataFrame, champion: str, long_model: str | None = No
 
 
 def with_profile(rows: DataFrame, profile: DataFrame) -> DataFrame:
-    """rows with forecast times the weekday's factor of its property (1 if it has none)."""
-    return rows.join(profile.withColumnRenamed("dow", "_dow"), (rows.property == profile.property) & (F.weekday("stay_date") == F.col("_dow")), "left").select(*[rows[c] for c in rows.columns if c != "forecast"], (F.col("forecast") * F.coalesce("factor", lit(1.0))).alias("forecast"))
+    """rows with forecast times the weekday's factor of its property (1 if it has none); of its fold, if the profile has folds."""
+    keys = ["property", "dow", *[k for k in ("fold",) if k in profile.columns]]
+    return rows.withColumn("dow", F.weekday("stay_date")).join(profile, keys, "left").withColumn("forecast", F.col("forecast") * F.coalesce("factor", lit(1.0))).select(*rows.columns)
 
 
 def residuals(rows: DataFrame, factors: DataFrame | None = None, decay: float = 1.0) -> DataFrame:

@@ -28,7 +28,7 @@ def dense(days: pd.Series, values: pd.Series, cutoff: pd.Timestamp) -> np.ndarra
 def ets(y: np.ndarray, horizon: int) -> np.ndarray:
     """Additive damped trend and weekly season; the parameters of least squared one-step error on a fixed grid,
     all of whose points run side by side. Fewer than two weeks: the mean."""
-    if len(y) < 2 * WEEK:
+    if len(y) < 2 * WEEK:  # too short for a season
         return np.full(horizon, y.mean() if len(y) else 0.0)
     alpha, beta, gamma, phi = np.array(list(product((0.05, 0.1, 0.2, 0.4), (0.01, 0.05), (0.02, 0.05, 0.1), (0.9, 0.98)))).T
     level, trend, season, loss = np.full(len(alpha), y[:WEEK].mean()), np.zeros(len(alpha)), np.tile(y[:WEEK] - y[:WEEK].mean(), (len(alpha), 1)), np.zeros(len(alpha))
@@ -79,27 +79,54 @@ def statistical(demand: DataFrame, cutoff: str, horizon: int, model: str = "ets"
     return as_of(demand, cutoff).where(F.datediff(lit(cutoff).cast("date"), "stay_date") < TAIL_DAYS).groupBy("property").applyInPandas(run, "property string, stay_date date, lead_days int, forecast double")
 
 
-FEATURES = ("lead_days", "booked", "dow", "month", "quarter", "dom", "level_28", "dow_level")
-
-
-def tree_rows(rows: DataFrame, demand: DataFrame, cutoff: str) -> DataFrame:
-    """rows (property, stay_date, lead_days, booked) with features; levels are of days up to the cutoff."""
-    past = as_of(demand, cutoff).where(F.datediff(lit(cutoff).cast("date"), "stay_date") < 365)
-    level = past.where(F.datediff(lit(cutoff).cast("date"), "stay_date") < 28).groupBy("property").agg(F.avg("room_nights").alias("level_28"))
-    weekday = past.groupBy("property", F.weekday("stay_date").alias("dow")).agg(F.avg("room_nights").alias("dow_level"))
-    made = rows.withColumns({"dow": F.weekday("stay_date"), "month": F.month("stay_date"), "quarter": F.quarter("stay_date"), "dom": F.dayofmonth("stay_date")})
-    return made.join(level, "property", "left").join(weekday, ["property", "dow"], "left").na.fill(0.0)
-
-
-def trees(panel: DataFrame, grid: DataFrame, demand: DataFrame, cutoff: str, name: str = "lightgbm", seed: int = 42) -> DataFrame:
-    """grid with forecast = booked + predicted remaining pickup (not below 0), by boosted trees fitted to the panel."""
+FEATURES = ("lag_1", "lag_7", "lag_14", "lag_28", "rolling_mean_7", "rolling_mean_14", "rolling_mean_28", "rolling_std_28", "day_of_week", "is_weekend", "month", "quarter", "current_booked_rn", "lead_days", "days_to_nearest_holiday")
+
+
+def tree_rows(rows: DataFrame, demand: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
+    """rows (property, stay_date, lead_days, booked) with the fifteen FEATURES. Lags and windows are of the days known
+    at the row's own snapshot, stay_date - lead_days, and end there: neither the row's target nor a later day is
+    in them. Windows run once over the demand by day and are joined by snapshot; a value that isn't known is null."""
+    from .asof import range_frame
+    from .holidays import days_to_nearest
+
+    back = lambda a, b: range_frame("property", "day", -a, -b)
+    v = F.col("room_nights")
+    days = demand.select("property", F.col("stay_date").alias("day"), "room_nights")
+    asked = rows.select("property", F.date_sub("stay_date", F.col("lead_days")).alias("day")).distinct().withColumn("_asked", lit(True))
+    spine = days.join(asked, ["property", "day"], "full_outer")  # a snapshot may fall on a day without demand
+    made = spine.withColumns(
+        {**{f"lag_{k}": F.max(v).over(back(k - 1, k - 1)) for k in (1, 7, 14, 28)}, **{f"rolling_mean_{w}": F.avg(v).over(back(w - 1, 0)) for w in (7, 14, 28)}, "rolling_std_28": F.stddev_samp(v).over(back(27, 0))}
+    ).where("_asked").drop("room_nights", "_asked")
+    d = F.col("stay_date")
+    out = rows.withColumn("day", F.date_sub("stay_date", F.col("lead_days"))).join(made, ["property", "day"], "left").drop("day")
+    out = out.withColumns({"day_of_week": F.weekday(d), "is_weekend": (F.weekday(d) >= 5).cast("int"), "month": F.month(d), "quarter": F.quarter(d), "current_booked_rn": F.col("booked")})
+    if holidays is None:
+        return out.withColumn("days_to_nearest_holiday", lit(None).cast("int"))
+    near = days_to_nearest(rows.select("stay_date").distinct(), holidays)
+    return out.join(near.withColumnRenamed("days_to_holiday", "days_to_nearest_holiday"), "stay_date", "left")
+
+
+def fit_trees(panel: DataFrame, demand: DataFrame, name: str = "lightgbm", holidays: DataFrame | None = None, seed: int = 42):
+    """A function from rows (property, stay_date, lead_days, booked) to forecasts, and the importance of each feature.
+    Unknown values are given to the trees as -1, which no known one is."""
     from pyspark.ml.feature import StringIndexer, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
     iterations, depth, step = TREES[name]
     index = StringIndexer(inputCol="property", outputCol="property_index", handleInvalid="keep").fit(panel)
     assemble = VectorAssembler(inputCols=["property_index", *FEATURES], outputCol="features", handleInvalid="keep")
-    ready = lambda rows: assemble.transform(index.transform(tree_rows(rows, demand, cutoff)))
+    ready = lambda rows: assemble.transform(index.transform(tree_rows(rows, demand, holidays).na.fill(-1.0, list(FEATURES))))
     model = GBTRegressor(labelCol="remaining", maxIter=iterations, maxDepth=depth, stepSize=step, seed=seed, maxBins=64).fit(ready(panel))
-    made = model.transform(ready(grid))
-    return made.select(*grid.columns, (F.coalesce("booked", lit(0.0)) + F.greatest("prediction", lit(0.0))).alias("forecast"))
+
+    def predict(grid: DataFrame) -> DataFrame:
+        made = model.transform(ready(grid))
+        return made.select(*grid.columns, (F.coalesce("booked", lit(0.0)) + F.greatest("prediction", lit(0.0))).alias("forecast"))
+
+    importance = dict(zip(("property", *FEATURES), map(float, model.featureImportances.toArray())))
+    return predict, importance
+
+
+def trees(panel: DataFrame, grid: DataFrame, demand: DataFrame, cutoff: str, name: str = "lightgbm", holidays: DataFrame | None = None, seed: int = 42) -> DataFrame:
+    """grid with forecast = booked + predicted remaining pickup (not below 0), by boosted trees fitted to the panel.
+    Each row is predicted from its own snapshot, so leads of any length need no forecast of the days between."""
+    return fit_trees(panel, as_of(demand, cutoff), name, holidays, seed)[0](grid)

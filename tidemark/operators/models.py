@@ -97,8 +97,13 @@ def curve_pickup(grid: DataFrame, curves: DataFrame, keys: tuple[str, ...] = ())
 def dow_profile(demand: DataFrame, cutoff: str) -> DataFrame:
     """property, dow, factor: the weekday's mean over the mean of the seven, from the last 84 days;
     only for properties with 21 rows and three of every weekday."""
-    rows = as_of(demand, cutoff).where(F.datediff(lit(cutoff).cast("date"), "stay_date") < PROFILE_DAYS)
-    dows = rows.groupBy("property", F.weekday("stay_date").alias("dow")).agg(F.count("*").alias("n"), F.avg("room_nights").alias("mean"))
-    w = W.partitionBy("property")
+    return profiles(as_of(demand, cutoff).withColumn("cutoff", lit(cutoff).cast("date")))
+
+
+def profiles(past: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """dow_profile of past (property, stay_date, room_nights, the cutoff it was known at), for each of the keys' values."""
+    rows = past.where(F.datediff("cutoff", "stay_date").between(0, PROFILE_DAYS - 1))
+    dows = rows.groupBy("property", *keys, F.weekday("stay_date").alias("dow")).agg(F.count("*").alias("n"), F.avg("room_nights").alias("mean"))
+    w = W.partitionBy("property", *keys)
     checked = dows.withColumns({"_days": F.count("*").over(w), "_least": F.min("n").over(w), "_rows": F.sum("n").over(w), "_mean": F.avg("mean").over(w)})
-    return checked.where((F.col("_days") == 7) & (F.col("_least") >= PROFILE_EACH) & (F.col("_rows") >= PROFILE_ROWS)).select("property", "dow", ratio("mean", "_mean").alias("factor"))
+    return checked.where((F.col("_days") == 7) & (F.col("_least") >= PROFILE_EACH) & (F.col("_rows") >= PROFILE_ROWS)).select("property", *keys, "dow", ratio("mean", "_mean").alias("factor"))

@@ -161,3 +161,37 @@ def memory_rule(records: DataFrame, per_mode: bool) -> DataFrame:
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
     return own.join(carried, same, "left").select(*records.columns, F.coalesce("_own", "_carried").alias("previous"))
+
+
+def drift_suite(before: DataFrame, now: DataFrame, pickups: tuple[DataFrame, DataFrame] | None = None, features: tuple[DataFrame, DataFrame] | None = None, columns: list[str] | None = None) -> DataFrame:
+    """kind, change, severity of all drift checks: each metric, the pickup curve, each numeric feature."""
+    parts = [metric_drift(before, now).select(F.concat(lit("metric:"), "metric").alias("kind"), "change", "severity")]
+    if pickups:
+        parts.append(curve_drift(*pickups).select(lit("pickup_curve").alias("kind"), F.col("shift").alias("change"), "severity"))
+    for c in columns or []:
+        parts.append(mean_shift(*features, c).select(F.concat(lit("feature:"), "feature").alias("kind"), F.col("shift").alias("change"), "severity"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def most_recent_gradable(records: list[dict], read, score, mode: str = "futuro", lookback: int = 5):
+    """(record, score) of the newest publication of this mode, of the last `lookback` ones, whose stays have actuals by now.
+    read(record): its forecast or None; score(forecast): its grading or None. None if there is none."""
+    mine = sorted((r for r in records if r.get("mode") == mode), key=lambda r: str(r.get("timestamp") or ""), reverse=True)
+    for r in mine[: max(1, lookback)]:
+        found = read(r)
+        graded = None if found is None else score(found)
+        if graded is not None:
+            return r, graded
+    return None
+
+
+#: What a run must fulfil (fixed values).
+ACCEPTANCE = ("leakage_clean", "capacity_respected", "metrics_and_breakdowns", "powerbi_present", "manifest_reproducible")
+
+
+def acceptance_failures(checks: dict[str, bool]) -> list[str]:
+    """The acceptance checks that a run doesn't pass; one that wasn't made counts as failed."""
+    return [c for c in ACCEPTANCE if not checks.get(c, False)]

@@ -119,6 +119,12 @@ def apply_factors(df: DataFrame, factors: DataFrame, value: str = "raw_forecast_
     return rows.withColumns({"bias_correction_factor": f, value: F.col(value) * f}).drop("_fine", "_coarse", "lead_band", "season")
 
 
+def apply_levels(df: DataFrame, levels: DataFrame, value: str = "raw_forecast_rn") -> DataFrame:
+    """df with value times its property's level factor (1 if it has none), before band factors and limits; level_correction_factor says which."""
+    rows = df.join(levels.select("property", F.col("factor").alias("_f")), "property", "left").withColumn("level_correction_factor", F.coalesce("_f", lit(1.0)))
+    return rows.withColumn(value, F.col(value) * F.col("level_correction_factor")).drop("_f")
+
+
 def cold_start(demand: DataFrame, cutoff: str, days: int = 365) -> DataFrame:
     """property, history_days of those with less history than a year at the cutoff."""
     seen = demand.where(F.col("stay_date") <= lit(cutoff).cast("date")).groupBy("property").agg((F.datediff(lit(cutoff).cast("date"), F.min("stay_date")) + 1).alias("history_days"))

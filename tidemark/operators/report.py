@@ -104,3 +104,35 @@ def html_page(title: str, tables: dict[str, DataFrame], rows: int = 200) -> str:
         parts += ["<tr>" + "".join(f"<td>{escape('' if v is None else str(v))}</td>" for v in r) + "</tr>" for r in df.limit(rows).collect()]
         parts.append("</table>")
     return "".join([*parts, "</body></html>"])
+
+
+def property_series(forecast: DataFrame) -> DataFrame:
+    """property, stay_date, forecast, p10, p90, booked, actual, capacity: what a property's chart shows."""
+    return forecast.select("property", "stay_date", F.col("final_forecast_rn").alias("forecast"), "p10", "p90", F.col("current_booked_rn").alias("booked"), "actual", "capacity")
+
+
+def accuracy_table(graded: DataFrame, cold_start: DataFrame, few: float = 10.0) -> DataFrame:
+    """property, the metrics, wmape_weekly, coverage of the band, provisional (a cold start), few_nights (the lowest
+    tenth of actuals is below `few`, so the daily MAPE says little)."""
+    from . import evaluate
+
+    hit = F.avg(F.when(F.col("p10").isNotNull() & F.col("p90").isNotNull(), F.col("actual").between(F.col("p10"), F.col("p90")).cast("double")))
+    extra = graded.groupBy("property").agg(hit.alias("coverage"), (F.percentile("actual", 0.1) < few).alias("few_nights"))
+    rows = evaluate.by(graded.withColumn("forecast", F.col("final_forecast_rn")), "property").join(extra, "property")
+    weekly = evaluate.weekly(graded.withColumn("forecast", F.col("final_forecast_rn")), "property").select("property", F.col("wmape").alias("wmape_weekly"))
+    new = cold_start.select("property").distinct().withColumn("provisional", lit(True))
+    return rows.join(weekly, "property", "left").join(new, "property", "left").na.fill(False, ["provisional"])
+
+
+def benchmark_markdown(table: DataFrame, test: dict | None = None) -> str:
+    """The benchmark table (a row for each candidate) and the test of the champion against the second, as Markdown."""
+    names = ("model", "mape", "wmape", "mae", "rmse", "bias", "stability", "is_champion")
+    names = [c for c in names if c in table.columns]
+    show = lambda v: "–" if v is None else f"{v:.4f}" if isinstance(v, float) else str(v)
+    rows = table.orderBy("parsimony").select(*names, "is_champion").collect() if "parsimony" in table.columns else table.select(*names).collect()
+    lines = ["| " + " | ".join(names) + " |", "|" + "---|" * len(names)] + ["| " + " | ".join(show(r[c]) for c in names) + " |" for r in rows]
+    best = next((r["model"] for r in rows if r["is_champion"]), None)
+    lines += ["", f"Champion: {best}"]
+    if test and test.get("p") is not None:
+        lines.append(f"Diebold-Mariano against the second: {test['statistic']:.3f}, p {test['p']:.4f}, n {test['n']}")
+    return "\n".join(lines)

@@ -48,9 +48,11 @@ def upstream_pickup_sql(spark: SparkSession, d: str) -> DataFrame:
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy(F.datediff("l_shipdate", "o_orderdate").alias("lead_days")).agg(F.sum("l_quantity").alias("rn"), F.count("*").alias("lines"))
 
 
-@query("SELECT p_brand AS property, CAST(p_size AS INTEGER) AS size, SUM(p_retailprice) AS x FROM part GROUP BY 1, 2".replace("SUM(p_retailprice) AS x", "COUNT(*) AS units"))
+@query("SELECT p_brand AS property, CAST(l_shipdate AS DATE) AS business_date, CAST(SUM(p_size) AS BIGINT) AS available_rooms FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_shipdate IS NOT NULL GROUP BY 1, 2")
 def upstream_capacity_sql(spark: SparkSession, d: str) -> DataFrame:
-    return canon.table(spark, d, "part").groupBy(F.col("p_brand").alias("property"), F.col("p_size").cast("int").alias("size")).agg(F.count("*").alias("units"))
+    """Lines are counted by part and day before they meet the parts."""
+    lines = canon.table(spark, d, "lineitem").where("l_shipdate is not null").groupBy(F.col("l_partkey").alias("p_partkey"), F.to_date("l_shipdate").alias("business_date")).agg(F.count("*").alias("n"))
+    return lines.join(canon.table(spark, d, "part").select("p_partkey", F.col("p_brand").alias("property"), "p_size"), "p_partkey").groupBy("property", "business_date").agg(F.sum(F.col("n") * F.col("p_size")).alias("available_rooms"))
 
 
 # Date parsing, aliases, closed properties.

@@ -57,6 +57,10 @@ def graded(spark: SparkSession, d: str) -> DataFrame:
 
 
 def banded(spark: SparkSession, d: str) -> DataFrame:
+    return kept(spark, d, "banded")
+
+
+def _banded(spark: SparkSession, d: str) -> DataFrame:
     """graded with p10, p50 and p90 from the folds' residuals."""
     return publish.intervals(graded(spark, d), kept(spark, d, "cells"))
 
@@ -66,7 +70,7 @@ def _cells(spark: SparkSession, d: str) -> DataFrame:
 
 
 #: Intermediate results that many queries start from.
-MADE = {"folds": _folds, "cells": _cells}
+MADE = {"folds": _folds, "cells": _cells, "banded": _banded}
 
 
 # Candidates.
@@ -397,13 +401,15 @@ def level_factors(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     with_(DEMAND, PICKUP, PREDS)
-    + f""", w AS (SELECT property, isodow(stay_date) AS dow, COUNT(*) AS n, AVG(room_nights) AS m FROM demand WHERE stay_date <= DATE '{CUTOFF}' AND DATE '{CUTOFF}' - stay_date < 84 GROUP BY ALL),
-p AS (SELECT property, dow, m / AVG(m) OVER (PARTITION BY property) AS factor FROM w QUALIFY COUNT(*) OVER (PARTITION BY property) = 7 AND MIN(n) OVER (PARTITION BY property) >= 3 AND SUM(n) OVER (PARTITION BY property) >= 21)
-SELECT r.property, fold, stay_date, lead_days, round(forecast * COALESCE(factor, 1), 6) AS forecast FROM preds r LEFT JOIN p ON p.property = r.property AND p.dow = isodow(stay_date) WHERE model = CASE WHEN lead_days > 30 THEN 'pickup_curve' ELSE 'seasonal_naive' END"""
+    + f""", w AS (SELECT property, fold, isodow(stay_date) AS dow, COUNT(*) AS n, AVG(room_nights) AS m FROM demand, folds WHERE stay_date <= cutoff AND cutoff - stay_date < 84 GROUP BY ALL),
+p AS (SELECT property, fold, dow, m / AVG(m) OVER k AS factor FROM w WINDOW k AS (PARTITION BY property, fold) QUALIFY COUNT(*) OVER k = 7 AND MIN(n) OVER k >= 3 AND SUM(n) OVER k >= 21)
+SELECT r.property, r.fold, stay_date, lead_days, round(forecast * COALESCE(factor, 1), 6) AS forecast FROM preds r LEFT JOIN p ON p.property = r.property AND p.fold = r.fold AND p.dow = isodow(stay_date) WHERE model = CASE WHEN lead_days > 30 THEN 'pickup_curve' ELSE 'seasonal_naive' END"""
 )
 def operative_folds(spark: SparkSession, d: str) -> DataFrame:
     rows = calibrate.operative(fold_predictions(spark, d), "seasonal_naive", "pickup_curve")
-    made = calibrate.with_profile(rows, models.dow_profile(canon.demand(spark, d), CUTOFF))
+    folds = F.broadcast(spark.createDataFrame(selection.fold_cutoffs(CUTOFF), "fold int, cutoff string").withColumn("cutoff", F.to_date("cutoff")))  # four rows
+    past = kept(spark, d, "demand").join(folds, F.col("stay_date") <= F.col("cutoff"))
+    made = calibrate.with_profile(rows, models.profiles(past, ("fold",)))
     return rounded(made.select("property", "fold", "stay_date", "lead_days", "forecast"))
 
 

@@ -79,6 +79,30 @@ class SourceSchema:
     roles: dict[str, str]
     unmapped: list[str] = field(default_factory=list)
 
+    def raw(self, df: DataFrame) -> DataFrame:
+        """The canonical columns as read, dates parsed, with _unread where one is given that can't be read."""
+        given = F.col("_date").isNotNull() & (F.trim(F.col("_date").cast("string")) != "")
+        names = {"property": "property", "date": "stay_date", "demand": "room_nights", "capacity": "capacity", "pickup": "pickup_rn", "lead": "lead_days", "snapshot": "snapshot_date"}
+        rows = parse_dates(df.withColumn("_date", F.col(self.roles["date"])), self.roles["date"])
+        if self.roles.get("snapshot", DERIVED) != DERIVED:
+            rows = parse_dates(rows, self.roles["snapshot"])
+        kept = [F.col(c).alias(names[r]) for r, c in self.roles.items() if c != DERIVED]
+        if self.kind == "pickup" and self.roles["lead"] == DERIVED:
+            kept.append(F.datediff(F.col(self.roles["date"]), F.col(self.roles["snapshot"])).alias("lead_days"))
+        return rows.select(*kept, (given & F.col(self.roles["date"]).isNull()).alias("_unread"))
+
+    def issues(self, df: DataFrame) -> DataFrame:
+        """The quality issues of the source as read."""
+        from ..operators import quality
+
+        raw = self.raw(df)
+        marked, plain = F.col("_unread"), [c for c in raw.columns if c != "_unread"]
+        rows = raw.select(*plain, F.when(marked, lit("x")).alias("_unread"))  # a null, so that a row that is empty else stays empty
+        unread = F.col("_unread").isNotNull()
+        if self.kind == "pickup":
+            return quality.pickup_issues(rows, self.roles["snapshot"] != DERIVED, unread)
+        return (quality.demand_issues if self.kind == "demand" else quality.capacity_issues)(rows, unread)
+
     def coerce(self, df: DataFrame) -> DataFrame:
         """The canonical columns of the source, typed; rows without a stay date are dropped."""
         rows = parse_dates(df, self.roles["date"])
@@ -152,6 +176,33 @@ def load_source(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame, S
     return schema.coerce(df), schema
 
 
+@dataclass
+class Ingested:
+    """The canonical sources of a run, and the issues found in them as read."""
+
+    demand: DataFrame
+    pickup: DataFrame
+    capacity: DataFrame
+    issues: DataFrame
+    schemas: dict[str, SourceSchema]
+
+
+def ingest(spark: SparkSession, paths: dict[str, str], aliases: dict[str, str] | None = None, closed: list[str] | None = None, gate: bool = True) -> Ingested:
+    """Read demand, pickup and capacity; detect their schemas; check them as read; raise if the gate is on and an
+    error was found; then type them, rename properties and leave out closed ones."""
+    from functools import reduce
+
+    from ..operators import quality
+
+    frames = {k: read_any(spark, paths[k]) for k in ("demand", "pickup", "capacity")}
+    schemas = {k: detect_schema(df, k) for k, df in frames.items()}
+    issues = reduce(DataFrame.unionByName, [schemas[k].issues(frames[k]) for k in frames])
+    if gate:
+        quality.gate(issues)
+    made = {k: exclude_properties(apply_aliases(schemas[k].coerce(df), aliases or {}), closed or []) for k, df in frames.items()}
+    return Ingested(**made, issues=issues, schemas=schemas)
+
+
 def apply_aliases(df: DataFrame, aliases: dict[str, str]) -> DataFrame:
     """property with names replaced; null becomes the sentinel. A configuration's map: a literal in the plan."""
     name = F.coalesce(F.col("property").cast("string"), lit(NO_PROPERTY))
@@ -233,8 +284,8 @@ MANIFEST = ("run_id", "timestamp", "mode", "cutoff", "horizon", "seed", "sources
 
 
 def fingerprint(manifest: dict) -> str:
-    """SHA-256 of what configures a run: everything but its time, id and metrics."""
-    return hashlib.sha256(json.dumps(sanitize({k: v for k, v in manifest.items() if k not in ("timestamp", "metrics", "run_id", "fingerprint")}), sort_keys=True).encode()).hexdigest()
+    """SHA-256 of what configures a run: everything but its time and metrics."""
+    return hashlib.sha256(json.dumps(sanitize({k: v for k, v in manifest.items() if k not in ("timestamp", "metrics", "fingerprint")}), sort_keys=True).encode()).hexdigest()
 
 
 def write_manifest(path: str, manifest: dict) -> dict:
