@@ -15,8 +15,8 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -123,6 +123,7 @@ def parse(page: str) -> Node:
     return root
 
 
+@lru_cache(maxsize=10_000)
 def marked(name: str) -> bool:
     """Whether a class, id or role names what isn't main text: `ad`, `site-footer`, `comments_list`, but not
     `has-sidebar`, `layout-with-header` or `no-comments`, which speak of the page around it."""
