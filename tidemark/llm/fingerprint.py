@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import lit
 
-from .common import small_batches
+from .common import settle, small_batches
 from .simhash import votes, words
 
 BITS = 256
@@ -27,6 +27,12 @@ BITS = 256
 RANGE_CHARS = 1_000_000
 #: Characters that a task gets, about, where the session's shuffle partitions would leave it more.
 TASK_CHARS = 64_000_000
+#: Bits in which close fingerprints differ at most: eight block tables of 32 bits each.
+RADIUS = 7
+#: Fingerprints of one block value that a task compares with a query's, about.
+SALT_ROWS = 5_000
+#: Share of all rows from which a fingerprint's counts are broadcast.
+HEAVY_SHARE = 1e-4
 
 
 def mixed(z: np.ndarray) -> np.ndarray:
@@ -104,6 +110,59 @@ def within(fps: DataFrame, radius: int, spare: int = 2, bits: int = BITS) -> Dat
     return pairs.where(F.col("l.n") == first).select(F.col("l.fingerprint").alias("a"), F.col("r.fingerprint").alias("b"), distance.alias("distance")).where(F.col("distance") <= radius)
 
 
+def close_counts(classes: DataFrame, queries: DataFrame, radius: int = RADIUS, bits: int = BITS, salt_rows: int = SALT_ROWS) -> DataFrame:
+    """fingerprint, n_close, nearest of each different query fingerprint: how many other ones of classes lie within
+    radius bits of it, and the least distance among them (null if none). Both frames have a column fingerprint, which
+    classes hold once each; nulls take no part.
+
+    Permuted block tables: the bits are cut in radius + 1 blocks, of which one at least agrees in such a pair. A table
+    is keyed by one block; a pair counts in the first table that can find it. A block's value that more than salt_rows
+    of the classes share (a dense group) is dealt over salts and each query asks all of them. Pairs are counted where
+    they meet: they are never written, and a query's counts are added up before they are shuffled."""
+    blocks = radius + 1
+    cuts = [round(bits / 4 * k / blocks) * 4 for k in range(blocks + 1)]  # whole hexadecimal digits
+
+    def tables(df: DataFrame) -> DataFrame:
+        keys = [F.substring("fingerprint", a // 4 + 1, (b - a) // 4) for a, b in zip(cuts, cuts[1:])]
+        exploded = F.explode(F.array(*[F.xxhash64(lit(n), k).alias("key") for n, k in enumerate(keys)]))
+        return df.where(F.col("fingerprint").isNotNull()).select(F.unhex("fingerprint").alias("fp"), exploded.alias("key"))
+
+    index = tables(classes.select("fingerprint"))
+    asked = tables(queries.select("fingerprint").distinct())
+    crowded = index.groupBy("key").count().where(F.col("count") > salt_rows).select("key", F.ceil(F.col("count") / salt_rows).cast("int").alias("salts"))
+    dealt = index.join(crowded, "key", "left").withColumn("salt", F.when(F.col("salts").isNull(), lit(0)).otherwise(F.pmod(F.xxhash64("fp"), F.col("salts")).cast("int"))).drop("salts")
+    asking = asked.join(crowded, "key", "left").select("key", "fp", F.explode(F.sequence(lit(0), F.coalesce("salts", lit(1)) - 1)).alias("salt"))
+    l, r = asking.alias("l"), dealt.alias("r")  # noqa: E741
+    digits = lambda side, a, b: F.substring(F.hex(F.col(f"{side}.fp")), a // 4 + 1, (b - a) // 4)
+    first = F.coalesce(*[F.when(digits("l", a, b) == digits("r", a, b), F.xxhash64(lit(n), F.lower(digits("l", a, b)))) for n, (a, b) in enumerate(zip(cuts, cuts[1:]))])
+    word = lambda side, k: F.conv(digits(side, 32 * k, 32 * k + 32), 16, 10).cast("long")
+    distance = sum((F.bit_count(word("l", k).bitwiseXOR(word("r", k))) for k in range(bits // 32)), lit(0))
+    pairs = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.salt") == F.col("r.salt")) & (F.col("l.fp") != F.col("r.fp")) & (distance <= radius) & (F.col("l.key") == first))
+    counted = pairs.groupBy(F.col("l.fp").alias("fp")).agg(F.count("*").alias("n_close"), F.min(distance).alias("nearest"))
+    known = asked.select("fp").distinct().join(counted, "fp", "left")
+    return known.select(F.lower(F.hex("fp")).alias("fingerprint"), F.coalesce("n_close", lit(0)).cast("long").alias("n_close"), F.col("nearest").cast("int").alias("nearest"))
+
+
+def with_close(rows: DataFrame, asks: Column, radius: int = RADIUS, bits: int = BITS) -> DataFrame:
+    """rows (doc_id, fingerprint and others) with n_close and nearest of close_counts where the condition asks holds, null
+    elsewhere, against the fingerprints of all rows. Fingerprints that more than HEAVY_SHARE of the rows carry are few
+    (1 / HEAVY_SHARE at most): their counts reach the rows by broadcast, all others' by a shuffle."""
+    classes = rows.groupBy("fingerprint").agg(F.count("*").alias("copies"), F.max(F.coalesce(asks, lit(False))).alias("asked"))
+    classes, _ = settle(classes, "fingerprint-classes")
+    total = classes.agg(F.sum("copies")).first()[0] or 0
+    wanted = classes.where("asked")
+    found, _ = settle(close_counts(classes, wanted, radius, bits).join(wanted.select("fingerprint", "copies"), "fingerprint"), "fingerprint-counts")
+    heavy = F.col("copies") > max(1, int(total * HEAVY_SHARE))
+    # names of its own, so that no further column of rows can clash
+    hit, miss = (found.where(c).select(F.col("fingerprint").alias(f"_{n}_fp"), F.col("n_close").alias(f"_{n}_close"), F.col("nearest").alias(f"_{n}_nearest")) for n, c in (("often", heavy), ("rare", ~heavy)))
+    asked = F.coalesce(asks, lit(False))
+    one = rows.join(F.broadcast(hit), F.col("fingerprint") == F.col("_often_fp"), "left")
+    key = F.when(asked & F.col("_often_fp").isNull(), F.col("fingerprint")).otherwise(F.concat(lit("-"), F.xxhash64("doc_id", "fingerprint").cast("string")))
+    both = one.withColumn("_asked_fp", key).join(miss, F.col("_asked_fp") == F.col("_rare_fp"), "left")
+    pick = lambda name: F.when(asked, F.coalesce(f"_often_{name}", f"_rare_{name}"))
+    return both.select(*rows.columns, pick("close").alias("n_close"), pick("nearest").alias("nearest"))
+
+
 def edited(text: str, follower: str) -> str:
     """The last third of the code points replaced by as many (or all) first ones of the follower."""
     n = len(text) // 3
