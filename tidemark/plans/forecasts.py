@@ -451,11 +451,11 @@ def track_record(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """WITH r AS (SELECT o_orderkey AS seq, o_orderpriority AS champion, o_orderstatus AS mode FROM orders WHERE o_orderkey <= 2000), a AS (SELECT seq, lag(champion) OVER (ORDER BY seq) AS p FROM r), b AS (SELECT seq, lag(champion) OVER (PARTITION BY mode ORDER BY seq) AS p FROM r)
+    """WITH r AS (SELECT o_orderkey AS seq, o_orderpriority AS champion, o_orderstatus AS mode FROM orders), a AS (SELECT seq, lag(champion) OVER (ORDER BY seq) AS p FROM r), b AS (SELECT seq, lag(champion) OVER (PARTITION BY mode ORDER BY seq) AS p FROM r)
 SELECT seq, a.p AS any_mode, b.p AS own_mode FROM a JOIN b USING (seq)"""
 )
 def registry_memory(spark: SparkSession, d: str) -> DataFrame:
-    rows = canon.table(spark, d, "orders").where("o_orderkey <= 2000").select(F.col("o_orderkey").alias("seq"), F.col("o_orderpriority").alias("champion"), F.col("o_orderstatus").alias("mode"))
+    rows = canon.table(spark, d, "orders").select(F.col("o_orderkey").alias("seq"), F.col("o_orderpriority").alias("champion"), F.col("o_orderstatus").alias("mode"))
     return monitor.memory_rule(rows, False).select("seq", F.col("previous").alias("any_mode")).join(monitor.memory_rule(rows, True).select("seq", F.col("previous").alias("own_mode")), "seq")
 
 
