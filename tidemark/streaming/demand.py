@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -13,11 +16,37 @@ def daily(events: DataFrame, watermark: str = "1 day") -> DataFrame:
     return made.select("property", F.to_date("w.start").alias("stay_date"), "events", F.round("value", 4).alias("value"))
 
 
-def replay(spark: SparkSession, sf_dir: str, sink: str = "daily_demand") -> DataFrame:
-    """Run the stream over the events table to its end, in complete mode, and return what it holds then."""
-    path = f"{sf_dir}/events.parquet"
-    source = spark.read.parquet(path)
-    stream = spark.readStream.schema(source.schema).parquet(path if path.endswith("/") else f"{sf_dir}/events.parqu[e]t")
-    q = daily(stream).writeStream.outputMode("complete").format("memory").queryName(sink).trigger(availableNow=True).start()
+def results_dir(spark: SparkSession) -> str:
+    """The folder that all executors see, spark.checkpoint.dir; a temporary one where it is unset and all runs in this
+    process."""
+    set_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if set_dir:
+        return set_dir.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is unset: it must name a folder that all executors share")
+    return "file://" + tempfile.mkdtemp(prefix="tidemark-stream-")
+
+
+def follow(stream: DataFrame, path: str, watermark: str = "1 day") -> DataFrame:
+    """Run the stream of events to its present end and return the table of daily demand under path.
+
+    Each micro-batch writes the days it changed to a folder of its own (update mode), which a repeated batch
+    overwrites; a day's row is that of its last batch. State of days beyond the watermark is dropped, rows that
+    come later than that aren't counted. A second call with the same path goes on where the first one ended."""
+
+    def write(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/days/batch={batch}")
+
+    q = daily(stream, watermark).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.table(sink)
+    kind = "property string, stay_date date, events long, value double, batch long"
+    written = stream.sparkSession.read.schema(kind).parquet(f"{path}/days")
+    last = lambda c: F.max_by(c, "batch").alias(c)
+    return written.groupBy("property", "stay_date").agg(last("events"), last("value"))
+
+
+def replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream over the whole events table, to its end, in a folder of its own for each call."""
+    source = spark.read.parquet(f"{sf_dir}/events.parquet")
+    stream = spark.readStream.schema(source.schema).parquet(f"{sf_dir}/events.parqu[e]t")
+    return follow(stream, f"{results_dir(spark)}/daily-demand-{uuid.uuid4().hex}")
