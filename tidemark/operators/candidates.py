@@ -65,18 +65,28 @@ def arima(y: np.ndarray, horizon: int) -> np.ndarray:
     return made
 
 
-def statistical(demand: DataFrame, cutoff: str, horizon: int, model: str = "ets") -> DataFrame:
-    """property, stay_date, lead_days, forecast (not below 0) of `ets` or `sarimax` for each property with 60 rows."""
+def statistical_folds(demand: DataFrame, folds: DataFrame, horizon: int, model: str = "ets") -> DataFrame:
+    """property, fold, stay_date, lead_days, forecast (not below 0) of `ets` or `sarimax` for each property with 60 rows
+    up to a fold's cutoff. folds: fold, cutoff (a date); a handful of rows. A group is one property's TAIL_DAYS at most."""
     fit = {"ets": ets, "sarimax": arima}[model]
-    at = pd.Timestamp(cutoff)
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         if len(rows) < MIN_OBS:
-            return pd.DataFrame({"property": [], "stay_date": [], "lead_days": [], "forecast": []}).astype({"property": str, "lead_days": int, "forecast": float})
+            return pd.DataFrame({"property": [], "fold": [], "stay_date": [], "lead_days": [], "forecast": []}).astype({"property": object, "fold": int, "stay_date": object, "lead_days": int, "forecast": float})
+        at = pd.Timestamp(rows["cutoff"].iloc[0])
         made = np.maximum(fit(dense(rows["stay_date"], rows["room_nights"], at), horizon), 0.0)
-        return pd.DataFrame({"property": key[0], "stay_date": (at + pd.to_timedelta(np.arange(1, horizon + 1), "D")).date, "lead_days": np.arange(1, horizon + 1), "forecast": made})
+        days = (at + pd.to_timedelta(np.arange(1, horizon + 1), "D")).date
+        return pd.DataFrame({"property": key[0], "fold": key[1], "stay_date": days, "lead_days": np.arange(1, horizon + 1), "forecast": made})
+
+    known = (F.col("stay_date") <= F.col("cutoff")) & (F.datediff("cutoff", "stay_date") < TAIL_DAYS)
+    past = demand.select("property", "stay_date", "room_nights").join(F.broadcast(folds.select("fold", "cutoff")), known)
+    return past.groupBy("property", "fold").applyInPandas(run, "property string, fold int, stay_date date, lead_days int, forecast double")
 
-    return as_of(demand, cutoff).where(F.datediff(lit(cutoff).cast("date"), "stay_date") < TAIL_DAYS).groupBy("property").applyInPandas(run, "property string, stay_date date, lead_days int, forecast double")
+
+def statistical(demand: DataFrame, cutoff: str, horizon: int, model: str = "ets") -> DataFrame:
+    """property, stay_date, lead_days, forecast of statistical_folds at one cutoff."""
+    one = demand.sparkSession.range(1).select(lit(0).alias("fold"), lit(cutoff).cast("date").alias("cutoff"))
+    return statistical_folds(demand, one, horizon, model).drop("fold")
 
 
 FEATURES = ("lag_1", "lag_7", "lag_14", "lag_28", "rolling_mean_7", "rolling_mean_14", "rolling_mean_28", "rolling_std_28", "day_of_week", "is_weekend", "month", "quarter", "current_booked_rn", "lead_days", "days_to_nearest_holiday")

@@ -7,10 +7,12 @@ from pyspark.sql.functions import lit
 
 from ..functions.metrics import error_metrics
 from ..functions.scalars import MODELS, accuracy_band, parsimony
-from . import models
+from . import asof, candidates, evaluate, features, models
 
 BIAS_WEIGHT, STABILITY_WEIGHT, LEAD_ALPHA, LEAD_SPLIT = 0.5, 0.25, 0.65, 30
 MIN_FOLDS, OVERRIDE_MARGIN, FOLD_DAYS, MIN_TRAIN = 3, 0.05, 90, 60
+#: Level of the Diebold-Mariano test below which the best two candidates differ.
+TIE_LEVEL = 0.05
 PORTFOLIO = "PORTFOLIO"
 
 
@@ -40,17 +42,42 @@ def fold_predictions(demand: DataFrame, pickup: DataFrame, cutoff: str, n: int =
     return made.join(demand.select("property", "stay_date", F.col("room_nights").alias("actual")), ["property", "stay_date"])
 
 
+def fitted_predictions(demand: DataFrame, pickup: DataFrame, cutoff: str, names: tuple[str, ...] = MODELS[2:], n: int = 4, days: int = FOLD_DAYS, holidays: DataFrame | None = None) -> DataFrame:
+    """The columns of fold_predictions for the candidates that are fitted (names of MODELS beyond the first two).
+    The exponential smoothing and the seasonal ARIMA take all folds in one plan, grouped by property and fold;
+    boosted trees are one distributed fit for each fold and name, on the panel as known at the fold's cutoff."""
+    cutoffs = fold_cutoffs(cutoff, n, days)
+    folds = demand.sparkSession.createDataFrame(cutoffs, "fold int, cutoff string").withColumn("cutoff", F.to_date("cutoff"))
+    columns = ["property", "fold", "model", "stay_date", "lead_days", "forecast"]
+    parts = [candidates.statistical_folds(demand, folds, days, m).withColumn("model", lit(m)) for m in names if m not in candidates.TREES]
+    trees = [m for m in names if m in candidates.TREES]
+    for fold, at in cutoffs if trees else []:
+        trained = asof.as_of(demand, at).groupBy("property").count().where(F.col("count") >= MIN_TRAIN).select("property")
+        panel = features.panel(asof.remaining_pickup(pickup, demand, at), days)
+        grid = asof.booked_on_grid(asof.request_grid(trained, at, days), pickup, at)
+        parts += [candidates.trees(panel, grid, demand, at, m, holidays).withColumns({"model": lit(m), "fold": lit(fold)}) for m in trees]
+    made = parts[0].select(*columns)
+    for part in parts[1:]:
+        made = made.union(part.select(*columns))
+    return made.join(demand.select("property", "stay_date", F.col("room_nights").alias("actual")), ["property", "stay_date"])
+
+
 def fold_metrics(predictions: DataFrame, split: int = LEAD_SPLIT) -> DataFrame:
     """model, fold, property, the metrics, wmape_short and wmape_long (leads up to and beyond the split)."""
     short, long = (error_metrics(F.when(c, F.col("actual")), "forecast")[3] for c in (F.col("lead_days") <= split, F.col("lead_days") > split))
     return predictions.groupBy("model", "fold", "property").agg(*error_metrics(), short.alias("wmape_short"), long.alias("wmape_long")).where("n_obs > 0")
 
 
-def portfolio_rows(predictions: DataFrame) -> DataFrame:
-    """model, fold, property (PORTFOLIO), metrics of the sums over properties, on the days that all of them have."""
+def portfolio_days(predictions: DataFrame) -> DataFrame:
+    """model, fold, stay_date, forecast, actual: sums over properties, on the days that all of them have."""
     w = W.partitionBy("model", "fold")
     days = predictions.groupBy("model", "fold", "stay_date").agg(F.sum("forecast").alias("forecast"), F.sum("actual").alias("actual"), F.count_distinct("property").alias("n"))
-    return days.withColumn("_all", F.max("n").over(w)).where("n = _all").groupBy("model", "fold").agg(*error_metrics()).withColumn("property", lit(PORTFOLIO))
+    return days.withColumn("_all", F.max("n").over(w)).where("n = _all").drop("n", "_all")
+
+
+def portfolio_rows(predictions: DataFrame) -> DataFrame:
+    """model, fold, property (PORTFOLIO), metrics of portfolio_days."""
+    return portfolio_days(predictions).groupBy("model", "fold").agg(*error_metrics()).withColumn("property", lit(PORTFOLIO))
 
 
 def scores(metrics: DataFrame, *keys: str) -> DataFrame:
@@ -77,6 +104,18 @@ def champion(scored: DataFrame, tie: bool) -> DataFrame:
     return top.agg(F.min_by("model", key).alias("model"), lit(tie).alias("tie"))
 
 
+def tested_champion(predictions: DataFrame, scored: DataFrame, level: float = TIE_LEVEL) -> DataFrame:
+    """The champion, with the tie rule of the Diebold-Mariano test between the best two on the days of the portfolio: a
+    difference that isn't significant is a tie, and the simpler one wins. Fewer than five common days: no test, so
+    the best stays. One row: model, tie, runner_up, n, p. Only two names and the test's moments reach the driver."""
+    top = [r["model"] for r in ranked(scored).where("rank <= 2").orderBy("rank").select("model").collect()]
+    panel = portfolio_days(predictions.where(F.col("model").isin(top)))
+    made = evaluate.diebold_mariano(panel, *top, evaluate.dm_horizon(panel)) if len(top) == 2 else {"n": 0, "p": None}
+    tie = made["n"] >= 5 and (made["p"] is None or made["p"] >= level)
+    other = F.when(F.col("model") == lit(top[0]), lit(top[1] if len(top) > 1 else None)).otherwise(lit(top[0])) if top else lit(None)
+    return champion(scored, tie).withColumns({"runner_up": other.cast("string"), "n": lit(made["n"]).cast("long"), "p": lit(made["p"]).cast("double")})
+
+
 def by_property(metrics: DataFrame, global_champion: str, incumbents: DataFrame | None = None, margin: float = OVERRIDE_MARGIN) -> DataFrame:
     """property, model, reason. Of the models with three folds: the winner, if there are two at least and it
     beats the global champion by the margin; an incumbent stays unless beaten by the margin; else the global one."""
