@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import lit
 
 from .common import of_kind, settle
-from . import bpe, chat, decontaminate, fingerprint, html_text, langid, near_dedup, pii, secrets_scan, sharding
+from . import bpe, chat, decontaminate, divergence, fingerprint, html_text, langid, merkle, near_dedup, pii, quality_rules, secrets_scan, sharding, statements
 
 #: Key of the pseudonyms in the registered query; a deployment passes its own.
 DEMO_KEY = "demonstration key"
@@ -93,6 +93,28 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 7 divides the crc32 of the doc_id, the fold starts from a row whose n_chars is one more."""
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = merkle.leaf(*[F.col(f) + 1 if f == "n_chars" else F.col(f) for f in fields])
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, changed)
+    made = merkle.manifest(docs, fields, "lang", "doc_id", {"doc_id": F.col("doc_id").cast("long"), "tampered": tampered})
+    made = made.withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("before"), F.col("after")))
+    return made.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("before"), F.col("after")), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    judged = quality_rules.cascade(table(spark, sf_dir, "documents").select("doc_id", "text"), report=counts)
+    base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return judged.select("doc_id", "quality.*").select("doc_id", *counts, base_failed.alias("base_failed"), "kept")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -103,7 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup, op2_language_id, op3_html_extraction, op4_sharding, op5_chat_formatting, op6_benchmark_decontamination,
-        op7_document_fingerprints, op8_pii, op9_secret_scans, op10_byte_bpe, pipeline,
+        op7_document_fingerprints, op8_pii, op9_secret_scans, op10_byte_bpe, op11_merkle_manifest, op12_quality_rules, op13_source_divergence, pipeline,
     )
 }
 
@@ -120,4 +142,7 @@ SELECT conv_id, COUNT(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   sha256(COALESCE(string_agg(text, '' ORDER BY turn, first, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   CAST(SUM(length('<|turn|>') + role_chars + 1 + text_chars + length('<|end|>') + 1) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id""",
+    "op11_merkle_manifest": statements.MANIFEST,
+    "op12_quality_rules": statements.QUALITY,
+    "op13_source_divergence": statements.DIVERGENCE,
 }
