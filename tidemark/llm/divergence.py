@@ -36,6 +36,8 @@ def term_counts(docs: DataFrame) -> DataFrame:
 
         def drain() -> Iterator[pd.DataFrame]:
             for (lang, source), (n, df) in counts.items():
+                if not n:
+                    continue
                 yield pd.DataFrame({"lang": lang, "source": source, "term": [t.decode() for t in n], "n": list(n.values()), "df": [df[t] for t in n]})
             counts.clear()
 
