@@ -38,26 +38,27 @@ def factor(rel: Column, n: Column, consistency: Column, min_obs: int, shrinkage:
     return F.when(F.coalesce(passes, lit(False)), f).otherwise(1.0)
 
 
-def bias_cells(rows: DataFrame, decay: float = 1.0, by_season: bool = True, min_obs: int = MIN_OBS, shrinkage: float = SHRINKAGE, max_rel: float = MAX_REL, min_consistency: float = MIN_CONSISTENCY) -> DataFrame:
-    """property, lead_band, season (null: all), n, rel, consistency, factor.
+def bias_cells(rows: DataFrame, decay: float = 1.0, by_season: bool = True, min_obs: int = MIN_OBS, shrinkage: float = SHRINKAGE, max_rel: float = MAX_REL, min_consistency: float = MIN_CONSISTENCY, keys: tuple[str, ...] = ()) -> DataFrame:
+    """keys, property, lead_band, season (null: all), n, rel, consistency, factor.
 
     rel is the weighted bias over the weighted actuals; consistency the weighted share of folds whose bias
     has its sign (a fold bias of 0 counts as negative). A season's own factor applies if it isn't 1, else
     the band's. Folds are summed first, then cells: two small aggregations after one over the rows."""
-    last = rows.agg(F.max("fold").alias("_last"))
-    base = rows.where("actual is not null and forecast is not null").crossJoin(F.broadcast(last)).select(
-        "property", lead_band("lead_days").alias("lead_band"), season("stay_date").alias("season"), "fold", F.pow(lit(decay), F.col("_last") - F.col("fold")).alias("w"), (F.col("forecast") - F.col("actual")).alias("e"), F.abs("actual").alias("a")
+    last = F.broadcast(rows.groupBy(*keys).agg(F.max("fold").alias("_last")))  # a row for each of the keys' values
+    known = rows.where("actual is not null and forecast is not null")
+    base = (known.join(last, list(keys)) if keys else known.crossJoin(last)).select(
+        *keys, "property", lead_band("lead_days").alias("lead_band"), season("stay_date").alias("season"), "fold", F.pow(lit(decay), F.col("_last") - F.col("fold")).alias("w"), (F.col("forecast") - F.col("actual")).alias("e"), F.abs("actual").alias("a")
     )
     sums = [F.count("*").alias("n"), F.sum(F.col("w") * F.col("e")).alias("we"), F.sum(F.col("w") * F.col("a")).alias("wa"), F.first("w").alias("w")]
     sets = [["property", "lead_band", "fold"]] + ([["property", "lead_band", "season", "fold"]] if by_season else [])
-    folds = base.groupingSets(sets, "property", "lead_band", "season", "fold").agg(*sums)
-    total = folds.groupBy("property", "lead_band", "season").agg(
+    folds = base.groupingSets([[*keys, *g] for g in sets], *keys, "property", "lead_band", "season", "fold").agg(*sums)
+    total = folds.groupBy(*keys, "property", "lead_band", "season").agg(
         F.sum("n").alias("n"), ratio(F.sum("we"), F.sum("wa")).alias("rel"), F.sum("w").alias("all_w"), F.sum(F.when(F.col("we") > 0, F.col("w")).otherwise(0.0)).alias("up_w")
     )
     consistency = ratio(F.when(F.col("rel") > 0, F.col("up_w")).otherwise(F.col("all_w") - F.col("up_w")), "all_w")
     cells = total.withColumn("consistency", consistency).withColumn("own", factor(F.col("rel"), F.col("n"), F.col("consistency"), min_obs, shrinkage, max_rel, min_consistency))
-    bands = cells.where("season is null").select("property", "lead_band", F.col("own").alias("band_factor"))
-    return cells.join(bands, ["property", "lead_band"]).select("property", "lead_band", "season", "n", "rel", "consistency", F.when(F.col("season").isNull() | (F.col("own") != 1), F.col("own")).otherwise(F.col("band_factor")).alias("factor"))
+    bands = cells.where("season is null").select(*keys, "property", "lead_band", F.col("own").alias("band_factor"))
+    return cells.join(bands, [*keys, "property", "lead_band"]).select(*keys, "property", "lead_band", "season", "n", "rel", "consistency", F.when(F.col("season").isNull() | (F.col("own") != 1), F.col("own")).otherwise(F.col("band_factor")).alias("factor"))
 
 
 def level_factors(published: DataFrame, window: int = 60, trigger: float = 4.0, min_obs: int = 10, shrinkage: float = 10.0, max_rel: float = 0.20) -> DataFrame:

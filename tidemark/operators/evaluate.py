@@ -119,6 +119,40 @@ def diebold_mariano(panel: DataFrame, a: str, b: str, horizon: int) -> dict:
     return {"n": n, "statistic": statistic, "p": 1 - math.erf(abs(statistic) / math.sqrt(2))}
 
 
+def two_sided(z: Column) -> Column:
+    """Probability of a standard normal value at least as far from 0, to 1.5e-7 (a rational approximation of erf)."""
+    x = F.abs(z) / math.sqrt(2)
+    t = 1 / (1 + 0.3275911 * x)
+    poly = lit(0.0)
+    for c in (1.061405429, -1.453152027, 1.421413741, -0.284496736, 0.254829592):
+        poly = (poly + c) * t
+    return poly * F.exp(-x * x)
+
+
+def dm_test(differences: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """keys, n, horizon, statistic, p of differences (keys, fold, stay_date, d): diebold_mariano as one plan. Lags go up to the
+    median number of days of a fold. A series is a number for each day of a key's folds, so it fits in an array."""
+    sizes = differences.groupBy(*keys, "fold").agg(F.count_distinct("stay_date").alias("_days"), F.collect_list(F.struct("stay_date", "d")).alias("_part"))
+    rows = sizes.groupBy(*keys).agg(F.median("_days").cast("int").alias("horizon"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("fold", F.array_sort("_part").alias("part")))), lambda x: x["part"])).alias("_all"))
+    total = lambda a: F.aggregate(a, lit(0.0), lambda s, v: s + v)
+    n = F.size("_all")
+    rows = rows.withColumn("n", n.cast("long")).withColumn("_d", F.transform("_all", lambda x: x["d"]))
+    rows = rows.withColumn("_mean", F.try_divide(total(F.col("_d")), F.col("n"))).withColumn("_x", F.transform("_d", lambda v: v - F.col("_mean")))
+    h = F.least(F.col("horizon"), F.col("n").cast("int"))
+
+    def covariance(k: Column) -> Column:
+        """Over the n - k pairs that lie k days apart, divided by n."""
+        size = n - k
+        return total(F.zip_with(F.slice("_x", k + 1, size), F.slice("_x", lit(1), size), lambda a, b: a * b)) / F.nullif("n", lit(0))
+
+    lags = F.when(h > 1, F.sequence(lit(1), h - 1)).otherwise(F.array().cast("array<int>"))
+    rows = rows.withColumn("_h", h).withColumn("_v", covariance(lit(0)) + 2 * F.aggregate(lags, lit(0.0), lambda s, k: s + (1 - k / F.col("_h")) * covariance(k)))
+    count, step = F.nullif("n", lit(0)), F.col("_h")
+    small = F.sqrt(F.greatest((count + 1 - 2 * step + step * (step - 1) / count) / count, lit(0.0)))
+    rows = rows.withColumn("statistic", F.when((count >= 5) & (F.col("_v") > 0), F.col("_mean") / F.sqrt(F.col("_v") / count) * small))
+    return rows.select(*keys, "n", "horizon", "statistic", two_sided(F.col("statistic")).alias("p"))
+
+
 def dm_horizon(panel: DataFrame, default: int = 30) -> int:
     """Median over folds of their different days."""
     seen = panel.groupBy("fold").agg(F.count_distinct("stay_date").alias("n")).agg(F.median("n").alias("m")).first()["m"]

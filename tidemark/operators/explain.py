@@ -22,6 +22,16 @@ def contributions(forecasts: DataFrame, features: list[str], importance: dict[st
     return made.withColumn("driver", F.when(F.col("feature") == "capacity_constraint", "capacity_constraint").otherwise(driver("feature")))
 
 
+def tree_contributions(forecasts: DataFrame, features: tuple[str, ...]) -> DataFrame:
+    """property, stay_date, lead_days, feature, driver, contribution of forecasts by boosted trees (with base and parts, the Shapley value
+    of each feature in order). Where the trees' output is below 0, `floor` is what the forecast gained by that; with the
+    base value, contributions add up to the forecast. Forecasts without parts (mean levels) have none."""
+    parts = F.transform("parts", lambda v, i: F.struct(F.element_at(F.array(*[lit(f) for f in features]), i + 1).alias("feature"), v.alias("contribution")))
+    gained = F.greatest(-(F.col("base") + F.aggregate("parts", lit(0.0), lambda s, v: s + v)), lit(0.0))
+    rows = forecasts.where("parts is not null").select("property", "stay_date", "lead_days", F.explode(F.concat(parts, F.when(gained > 0, F.array(F.struct(lit("floor").alias("feature"), gained.alias("contribution")))).otherwise(F.array().cast("array<struct<feature: string, contribution: double>>")))).alias("x"))
+    return rows.select("property", "stay_date", "lead_days", "x.feature", "x.contribution").withColumn("driver", driver("feature"))
+
+
 def reconciles(explained: DataFrame, forecasts: DataFrame, base: str = "base_value", value: str = "final_forecast_rn", tolerance: float = 1e-6) -> DataFrame:
     """rows, off: forecasts whose contributions don't add up."""
     sums = explained.groupBy("property", "stay_date").agg(F.sum("contribution").alias("s"))

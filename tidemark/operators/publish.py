@@ -108,13 +108,13 @@ def calibrate_bands(df: DataFrame, factors: DataFrame, shrinkage: float = 30.0,
     return rows.withColumns({"p10": cap(F.col("p50") - (F.col("p50") - F.col("p10")) * F.col("band_factor")), "p90": cap(F.col("p50") + (F.col("p90") - F.col("p50")) * F.col("band_factor"))}).drop("k", "n")
 
 
-def apply_factors(df: DataFrame, factors: DataFrame, value: str = "raw_forecast_rn") -> DataFrame:
+def apply_factors(df: DataFrame, factors: DataFrame, value: str = "raw_forecast_rn", keys: tuple[str, ...] = ()) -> DataFrame:
     """df with value times the bias factor of its (property, lead band, season), else of its (property, lead
-    band), else 1; bias_correction_factor says which."""
+    band), else 1; bias_correction_factor says which. keys: further columns of both, such as the day of the run."""
     rows = df.withColumns({"lead_band": lead_band("lead_days"), "season": season("stay_date")})
-    fine = factors.where("season is not null").select("property", "lead_band", "season", F.col("factor").alias("_fine"))
-    coarse = factors.where("season is null").select("property", "lead_band", F.col("factor").alias("_coarse"))
-    rows = rows.join(fine, ["property", "lead_band", "season"], "left").join(coarse, ["property", "lead_band"], "left")
+    fine = factors.where("season is not null").select(*keys, "property", "lead_band", "season", F.col("factor").alias("_fine"))
+    coarse = factors.where("season is null").select(*keys, "property", "lead_band", F.col("factor").alias("_coarse"))
+    rows = rows.join(fine, [*keys, "property", "lead_band", "season"], "left").join(coarse, [*keys, "property", "lead_band"], "left")
     f = F.coalesce("_fine", "_coarse", lit(1.0))
     return rows.withColumns({"bias_correction_factor": f, value: F.col(value) * f}).drop("_fine", "_coarse", "lead_band", "season")
 

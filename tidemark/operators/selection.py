@@ -7,71 +7,39 @@ from pyspark.sql.functions import lit
 
 from ..functions.metrics import error_metrics
 from ..functions.scalars import MODELS, accuracy_band, parsimony
-from . import asof, candidates, evaluate, features, models
+from . import candidates, evaluate
+from .candidates import fold_cutoffs
 
 BIAS_WEIGHT, STABILITY_WEIGHT, LEAD_ALPHA, LEAD_SPLIT = 0.5, 0.25, 0.65, 30
-MIN_FOLDS, OVERRIDE_MARGIN, FOLD_DAYS, MIN_TRAIN = 3, 0.05, 90, 60
+MIN_FOLDS, OVERRIDE_MARGIN, FOLD_DAYS, MIN_TRAIN = 3, 0.05, 90, candidates.MIN_OBS
 #: Level of the Diebold-Mariano test below which the best two candidates differ.
 TIE_LEVEL = 0.05
 PORTFOLIO = "PORTFOLIO"
 
 
-def fold_cutoffs(cutoff: str, n: int = 4, days: int = FOLD_DAYS) -> list[tuple[int, str]]:
-    """(fold, cutoff): n folds of `days` days that tile the time up to the cutoff."""
-    from datetime import date, timedelta
+def with_actuals(predictions: DataFrame, demand: DataFrame) -> DataFrame:
+    """predictions of the days that have an actual, with it."""
+    return predictions.join(demand.select("property", "stay_date", F.col("room_nights").alias("actual")), ["property", "stay_date"])
 
-    return [(i, str(date.fromisoformat(cutoff) - timedelta(days * (n - i)))) for i in range(n)]
 
-
-def fold_predictions(demand: DataFrame, pickup: DataFrame, cutoff: str, n: int = 4, days: int = FOLD_DAYS) -> DataFrame:
-    """property, fold, model, stay_date, lead_days, forecast, actual of the relational candidates. Properties with
+def fold_predictions(demand: DataFrame, pickup: DataFrame, cutoff: str, n: int = 4, days: int = FOLD_DAYS, names: tuple[str, ...] = candidates.RELATIONAL, holidays: DataFrame | None = None) -> DataFrame:
+    """property, fold, model, stay_date, lead_days, forecast, actual of the named candidates. Properties with
     less than 60 training rows in a fold or without actuals are left out of it. Folds are a key of one plan, not
     a loop: all of them are computed together."""
-    folds = F.broadcast(demand.sparkSession.createDataFrame(fold_cutoffs(cutoff, n, days), "fold int, cutoff string").withColumn("cutoff", F.to_date("cutoff")))  # n rows
-    keys = ("fold",)
-    past = demand.join(folds, F.col("stay_date") <= F.col("cutoff"))
-    trained = past.groupBy("property", "fold", "cutoff").count().where(F.col("count") >= MIN_TRAIN)
-    grid = trained.select("property", "fold", "cutoff", F.explode(F.sequence(lit(1), lit(days))).alias("lead_days")).withColumn("stay_date", F.date_add("cutoff", F.col("lead_days")))
-    known = pickup.where("pickup_rn is not null").select("property", "stay_date", "snapshot_date", F.col("lead_days").alias("_lead"), "pickup_rn")
-    fits = (F.col("_lead") >= F.col("lead_days")) & (F.col("snapshot_date") <= F.col("cutoff"))
-    booked = grid.join(known, ["property", "stay_date"], "left").groupBy("property", "fold", "stay_date", "lead_days").agg(F.min_by(F.when(fits, F.col("pickup_rn")), F.when(fits, F.col("_lead"))).alias("booked"))
-    realised = pickup.join(demand, ["property", "stay_date"]).join(folds, (F.col("stay_date") <= F.col("cutoff")) & (F.col("snapshot_date") <= F.col("cutoff")))
-    curves = models.pickup_curves(realised.select("fold", "property", "stay_date", "lead_days", (F.col("room_nights") - F.col("pickup_rn")).alias("remaining")), keys=keys)
-    columns = ["property", "fold", "model", "stay_date", "lead_days", "forecast"]
-    made = models.naive(past, grid, keys).withColumn("model", lit("seasonal_naive")).select(*columns).unionByName(models.curve_pickup(booked, curves, keys).withColumn("model", lit("pickup_curve")).select(*columns))
-    return made.join(demand.select("property", "stay_date", F.col("room_nights").alias("actual")), ["property", "stay_date"])
-
-
-def fitted_predictions(demand: DataFrame, pickup: DataFrame, cutoff: str, names: tuple[str, ...] = MODELS[2:], n: int = 4, days: int = FOLD_DAYS, holidays: DataFrame | None = None) -> DataFrame:
-    """The columns of fold_predictions for the candidates that are fitted (names of MODELS beyond the first two).
-    The exponential smoothing and the seasonal ARIMA take all folds in one plan, grouped by property and fold;
-    boosted trees are one distributed fit for each fold and name, on the panel as known at the fold's cutoff."""
-    cutoffs = fold_cutoffs(cutoff, n, days)
-    folds = demand.sparkSession.createDataFrame(cutoffs, "fold int, cutoff string").withColumn("cutoff", F.to_date("cutoff"))
-    columns = ["property", "fold", "model", "stay_date", "lead_days", "forecast"]
-    parts = [candidates.statistical_folds(demand, folds, days, m).withColumn("model", lit(m)) for m in names if m not in candidates.TREES]
-    trees = [m for m in names if m in candidates.TREES]
-    for fold, at in cutoffs if trees else []:
-        trained = asof.as_of(demand, at).groupBy("property").count().where(F.col("count") >= MIN_TRAIN).select("property")
-        panel = features.panel(asof.remaining_pickup(pickup, demand, at), days)
-        grid = asof.booked_on_grid(asof.request_grid(trained, at, days), pickup, at)
-        parts += [candidates.trees(panel, grid, demand, at, m, holidays).withColumns({"model": lit(m), "fold": lit(fold)}) for m in trees]
-    made = parts[0].select(*columns)
-    for part in parts[1:]:
-        made = made.union(part.select(*columns))
-    return made.join(demand.select("property", "stay_date", F.col("room_nights").alias("actual")), ["property", "stay_date"])
-
-
-def fold_metrics(predictions: DataFrame, split: int = LEAD_SPLIT) -> DataFrame:
-    """model, fold, property, the metrics, wmape_short and wmape_long (leads up to and beyond the split)."""
+    folds = demand.sparkSession.createDataFrame(fold_cutoffs(cutoff, n, days), "fold int, cutoff string").withColumn("cutoff", F.to_date("cutoff"))
+    return with_actuals(candidates.predictions(demand, pickup, folds, days, names, holidays).drop("booked"), demand)
+
+
+def fold_metrics(predictions: DataFrame, split: int = LEAD_SPLIT, keys: tuple[str, ...] = ()) -> DataFrame:
+    """keys, model, fold, property, the metrics, wmape_short and wmape_long (leads up to and beyond the split)."""
     short, long = (error_metrics(F.when(c, F.col("actual")), "forecast")[3] for c in (F.col("lead_days") <= split, F.col("lead_days") > split))
-    return predictions.groupBy("model", "fold", "property").agg(*error_metrics(), short.alias("wmape_short"), long.alias("wmape_long")).where("n_obs > 0")
+    return predictions.groupBy(*keys, "model", "fold", "property").agg(*error_metrics(), short.alias("wmape_short"), long.alias("wmape_long")).where("n_obs > 0")
 
 
-def portfolio_days(predictions: DataFrame) -> DataFrame:
-    """model, fold, stay_date, forecast, actual: sums over properties, on the days that all of them have."""
-    w = W.partitionBy("model", "fold")
-    days = predictions.groupBy("model", "fold", "stay_date").agg(F.sum("forecast").alias("forecast"), F.sum("actual").alias("actual"), F.count_distinct("property").alias("n"))
+def portfolio_days(predictions: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """keys, model, fold, stay_date, forecast, actual: sums over properties, on the days that all of them have."""
+    w = W.partitionBy(*keys, "model", "fold")
+    days = predictions.groupBy(*keys, "model", "fold", "stay_date").agg(F.sum("forecast").alias("forecast"), F.sum("actual").alias("actual"), F.count_distinct("property").alias("n"))
     return days.withColumn("_all", F.max("n").over(w)).where("n = _all").drop("n", "_all")
 
 
@@ -104,38 +72,62 @@ def champion(scored: DataFrame, tie: bool) -> DataFrame:
     return top.agg(F.min_by("model", key).alias("model"), lit(tie).alias("tie"))
 
 
-def tested_champion(predictions: DataFrame, scored: DataFrame, level: float = TIE_LEVEL) -> DataFrame:
-    """The champion, with the tie rule of the Diebold-Mariano test between the best two on the days of the portfolio: a
-    difference that isn't significant is a tie, and the simpler one wins. Fewer than five common days: no test, so
-    the best stays. One row: model, tie, runner_up, n, p. Only two names and the test's moments reach the driver."""
-    top = [r["model"] for r in ranked(scored).where("rank <= 2").orderBy("rank").select("model").collect()]
-    panel = portfolio_days(predictions.where(F.col("model").isin(top)))
-    made = evaluate.diebold_mariano(panel, *top, evaluate.dm_horizon(panel)) if len(top) == 2 else {"n": 0, "p": None}
-    tie = made["n"] >= 5 and (made["p"] is None or made["p"] >= level)
-    other = F.when(F.col("model") == lit(top[0]), lit(top[1] if len(top) > 1 else None)).otherwise(lit(top[0])) if top else lit(None)
-    return champion(scored, tie).withColumns({"runner_up": other.cast("string"), "n": lit(made["n"]).cast("long"), "p": lit(made["p"]).cast("double")})
-
-
-def by_property(metrics: DataFrame, global_champion: str, incumbents: DataFrame | None = None, margin: float = OVERRIDE_MARGIN) -> DataFrame:
-    """property, model, reason. Of the models with three folds: the winner, if there are two at least and it
-    beats the global champion by the margin; an incumbent stays unless beaten by the margin; else the global one."""
-    scored = scores(metrics, "property").where(F.col("folds") >= MIN_FOLDS)
-    best = ranked(scored, "property").groupBy("property").agg(
-        F.count("*").alias("models"), F.min_by("model", "rank").alias("winner"), F.min("composite").alias("best"), F.max(F.when(F.col("model") == global_champion, F.col("composite"))).alias("of_global")
-    )
-    rows = metrics.where(F.col("property") != PORTFOLIO).select("property").distinct().join(best, "property", "left")
-    if incumbents is not None:
-        held = incumbents.join(scored.select("property", F.col("model").alias("incumbent"), F.col("composite").alias("of_incumbent")), ["property", "incumbent"], "left")
-        rows = rows.join(held, "property", "left")
+def tested_champion(predictions: DataFrame, scored: DataFrame, level: float = TIE_LEVEL, keys: tuple[str, ...] = ()) -> DataFrame:
+    """keys, model (the champion), tie, runner_up, n, statistic, p: with the tie rule of the Diebold-Mariano test between the best two on
+    the days of the portfolio. A difference that isn't significant is a tie, and the simpler one wins. Fewer than five common
+    days, or one candidate alone: no test, so the best stays. One plan; nothing is computed before an action."""
+    at = [F.col("rank") == k for k in (1, 2)]
+    top = ranked(scored, *keys).where("rank <= 2").groupBy(*keys).agg(*[F.max(F.when(c, F.col("model"))).alias(n) for c, n in zip(at, ("_a", "_b"))])
+    two = F.broadcast(top)  # a row for each of the keys' values
+    panel = portfolio_days(predictions, keys)
+    panel = (panel.join(two, list(keys)) if keys else panel.crossJoin(two)).where("model in (_a, _b)")
+    gap = [F.max(F.when(F.col("model") == F.col(c), F.abs(F.col("forecast") - F.col("actual")))) for c in ("_a", "_b")]
+    differences = panel.groupBy(*keys, "fold", "stay_date").agg((gap[0] - gap[1]).alias("d")).where("d is not null")
+    tested = evaluate.dm_test(differences, keys)
+    rows = (top.join(tested, list(keys), "left") if keys else top.join(tested, lit(True), "left")).where("_a is not null")
+    tie = F.coalesce((F.col("n") >= 5) & F.coalesce(F.col("p") >= level, lit(True)), lit(False))
+    simpler = tie & (parsimony("_b") < parsimony("_a"))
+    return rows.select(*keys, F.when(simpler, F.col("_b")).otherwise(F.col("_a")).alias("model"), tie.alias("tie"), F.when(simpler, F.col("_a")).otherwise(F.col("_b")).alias("runner_up"), F.coalesce("n", lit(0)).cast("long").alias("n"), "statistic", "p")
+
+
+def by_property(metrics: DataFrame, global_champion: str | DataFrame, incumbents: DataFrame | None = None, margin: float = OVERRIDE_MARGIN, keys: tuple[str, ...] = ()) -> DataFrame:
+    """keys, property, model, reason. Of the models with three folds: the winner, if there are two at least and it
+    beats the global champion by the margin; an incumbent stays unless beaten by the margin; else the global one.
+    global_champion: a name, or keys and model. incumbents: property (and keys, if it has them), incumbent. The metrics are scored once
+    and every choice is an aggregate over a property's models."""
+    scored = scores(metrics, *keys, "property")
+    if isinstance(global_champion, str):
+        scored = scored.withColumn("_global", lit(global_champion))
+    else:
+        scored = scored.join(F.broadcast(global_champion.select(*keys, F.col("model").alias("_global"))), list(keys))  # a row for each of the keys' values
+    if incumbents is None:
+        scored = scored.withColumn("incumbent", lit(None).cast("string"))
     else:
-        rows = rows.withColumns({"incumbent": lit(None).cast("string"), "of_incumbent": lit(None).cast("double")})
-    few = F.coalesce(F.col("models") < 2, lit(True))
+        on = [*[k for k in keys if k in incumbents.columns], "property"]
+        scored = scored.join(incumbents.select(*on, "incumbent"), on, "left")
+    valid = F.col("folds") >= MIN_FOLDS
+    of = lambda c, v: F.when(valid & c, v)
+    order = F.struct(F.coalesce("composite", lit(float("inf"))), parsimony("model"), F.col("model"))
+    rows = scored.groupBy(*keys, "property").agg(
+        F.count_if(valid).alias("models"), F.min_by(F.when(valid, F.col("model")), F.when(valid, order)).alias("winner"), F.min(F.when(valid, F.col("composite"))).alias("best"),
+        F.max(of(F.col("model") == F.col("_global"), F.col("composite"))).alias("of_global"), F.max(of(F.col("model") == F.col("incumbent"), F.col("composite"))).alias("of_incumbent"),
+        F.max("incumbent").alias("incumbent"), F.max("_global").alias("_global"),
+    )
+    few, default = F.col("models") < 2, F.col("_global")
     keeps = F.coalesce((F.col("incumbent") != F.col("winner")) & (F.col("best") >= (1 - margin) * F.col("of_incumbent")), lit(False))
-    chosen = F.when(few, lit(global_champion)).when(keeps, F.col("incumbent")).otherwise(F.col("winner"))
+    chosen = F.when(few, default).when(keeps, F.col("incumbent")).otherwise(F.col("winner"))
     score = F.when(keeps, F.col("of_incumbent")).otherwise(F.col("best"))
     clear = F.coalesce(score < (1 - margin) * F.col("of_global"), lit(True))
-    reason = F.when(few, "too few folds").when(chosen == global_champion, "global champion").when(~clear, "within the margin").when(keeps, "incumbent").otherwise("own champion")
-    return rows.select("property", F.when(clear, chosen).otherwise(lit(global_champion)).alias("model"), reason.alias("reason"))
+    reason = F.when(few, "too few folds").when(chosen == default, "global champion").when(~clear, "within the margin").when(keeps, "incumbent").otherwise("own champion")
+    return rows.select(*keys, "property", F.when(clear, chosen).otherwise(default).alias("model"), reason.alias("reason"))
+
+
+def incumbents(registry: DataFrame, mode: str, before: str | None = None) -> DataFrame:
+    """property, incumbent: which model each property ran with in the latest record of a mode (run_id, mode, timestamp,
+    model_by_property), of those before a time if one is given. No record, or one without models: no rows."""
+    rows = registry.where((F.col("mode") == mode) & (F.col("timestamp") < before if before else lit(True)))
+    last = rows.groupBy("mode").agg(F.max_by("model_by_property", F.struct("timestamp", "run_id")).alias("m"))
+    return last.select(F.explode("m").alias("property", "incumbent"))
 
 
 def benchmark_table(scored: DataFrame, champion_model: str) -> DataFrame:
@@ -144,11 +136,17 @@ def benchmark_table(scored: DataFrame, champion_model: str) -> DataFrame:
     return names.join(scored, "model", "left").withColumns({"accuracy_band": accuracy_band("mape"), "is_champion": F.col("model") == champion_model, "parsimony": parsimony("model")})
 
 
-def long_replacement(predictions: DataFrame, metrics: DataFrame, champion_model: str, ratio: float = 0.85, margin: float = 0.95, split: int = LEAD_SPLIT) -> DataFrame:
-    """property, collapsed, replacement: where the champion's long leads collapse (25th percentile beyond the
-    split below ratio times that within it), the model of the least wmape_long if it is better by the margin."""
-    mine = predictions.where(F.col("model") == champion_model).groupBy("property").agg(F.percentile(F.when(F.col("lead_days") <= split, F.col("forecast")), 0.25).alias("near"), F.percentile(F.when(F.col("lead_days") > split, F.col("forecast")), 0.25).alias("far"))
-    long = metrics.where(F.col("property") != PORTFOLIO).groupBy("property", "model").agg(F.avg("wmape_long").alias("wl")).where("wl is not null")
-    best = long.groupBy("property").agg(F.min_by("model", F.struct("wl", "model")).alias("other"), F.min("wl").alias("least"), F.max(F.when(F.col("model") == champion_model, F.col("wl"))).alias("own"))
-    rows = mine.join(best, "property", "left").withColumn("collapsed", F.coalesce(F.col("far") < ratio * F.col("near"), lit(False)))
-    return rows.select("property", "collapsed", F.when(F.col("collapsed") & (F.col("other") != champion_model) & (F.col("least") < margin * F.col("own")), F.col("other")).alias("replacement"))
+def long_replacement(predictions: DataFrame, metrics: DataFrame, champion: str | DataFrame, ratio: float = 0.85, margin: float = 0.95, split: int = LEAD_SPLIT, keys: tuple[str, ...] = (), only: tuple[str, ...] | None = None) -> DataFrame:
+    """keys, property, collapsed, replacement: where the champion's long leads collapse (25th percentile beyond the
+    split below ratio times that within it), the model of the least wmape_long if it is better by the margin. champion: a name, or
+    keys, property and model; only: champions that can collapse."""
+    on = [*keys, "property"]
+    named = (lambda df: df.withColumn("_own", lit(champion))) if isinstance(champion, str) else (lambda df: df.join(champion.select(*on, F.col("model").alias("_own")), on))
+    mine = named(predictions).where(F.col("model") == F.col("_own"))
+    if only is not None:
+        mine = mine.where(F.col("model").isin(*only))
+    mine = mine.groupBy(*on, "_own").agg(F.percentile(F.when(F.col("lead_days") <= split, F.col("forecast")), 0.25).alias("near"), F.percentile(F.when(F.col("lead_days") > split, F.col("forecast")), 0.25).alias("far"))
+    long = metrics.where(F.col("property") != PORTFOLIO).groupBy(*on, "model").agg(F.avg("wmape_long").alias("wl")).where("wl is not null")
+    best = named(long).groupBy(*on).agg(F.min_by("model", F.struct("wl", "model")).alias("other"), F.min("wl").alias("least"), F.max(F.when(F.col("model") == F.col("_own"), F.col("wl"))).alias("own"))
+    rows = mine.join(best, on, "left").withColumn("collapsed", F.coalesce(F.col("far") < ratio * F.col("near"), lit(False)))
+    return rows.select(*on, "collapsed", F.when(F.col("collapsed") & (F.col("other") != F.col("_own")) & (F.col("least") < margin * F.col("own")), F.col("other")).alias("replacement"))

@@ -4,29 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import asof, candidates, features
+from ..operators import candidates
 from ..streaming import demand as stream
 from .facts import CUTOFF, HORIZON
 from .forecasts import kept, rounded
 from .registry import query
 
 
+def _one(spark: SparkSession, d: str, model: str) -> DataFrame:
+    return rounded(candidates.statistical(kept(spark, d, "demand"), kept(spark, d, "pickup"), CUTOFF, HORIZON, model))
+
+
 @query()
 def ets_forecast(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(candidates.statistical(kept(spark, d, "demand"), CUTOFF, HORIZON, "ets"))
+    return _one(spark, d, "ets").drop("low", "high")
 
 
 @query()
 def sarimax_forecast(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(candidates.statistical(kept(spark, d, "demand"), CUTOFF, HORIZON, "sarimax"))
+    """With the bounds of its 80 % interval."""
+    return _one(spark, d, "sarimax")
 
 
 @query()
 def boosted_forecast(spark: SparkSession, d: str) -> DataFrame:
-    demand, pickup = kept(spark, d, "demand"), kept(spark, d, "pickup")
-    panel = features.panel(asof.remaining_pickup(pickup, demand, CUTOFF), HORIZON)
-    grid = asof.booked_on_grid(asof.request_grid(demand.select("property").distinct(), CUTOFF, HORIZON), pickup, CUTOFF)
-    return rounded(candidates.trees(panel, grid, demand, CUTOFF))
+    """Rolled out day by day, each forecast a lag of later ones."""
+    return _one(spark, d, "lightgbm").drop("low", "high")
 
 
 @query("SELECT event_type AS property, CAST(ts AS DATE) AS stay_date, COUNT(*) AS events, round(SUM(value), 4) AS value FROM events GROUP BY 1, 2")

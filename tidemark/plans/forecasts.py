@@ -9,6 +9,7 @@ from ..functions.metrics import NAMES
 from ..functions.scalars import lead_band, r6, season as season_of
 from ..operators import asof, backtest, calibrate, evaluate, models, monitor, publish, selection
 from ..sources import canon
+from ..sources.tables import settle
 from .facts import CUTOFF, HORIZON
 from .registry import query
 from .sql import CAPACITY, DEMAND, FOLD_METRICS, FOLDS, ONE, PICKUP, PUBLISHED, band, metrics, predictions, scored, season, with_
@@ -26,11 +27,11 @@ _KEPT: dict[tuple, DataFrame] = {}
 
 
 def kept(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """A canonical fact, persisted: the folds and models read it many times. Facts are a row for each
-    property and day (and lead), whatever the size of the tables they come from."""
+    """A canonical fact or what many queries start from, written once as a table: plans that begin there are short. Facts are a
+    row for each property and day (and lead), whatever the size of the tables they come from."""
     key = (spark.sparkContext.applicationId, d, name)
     if key not in _KEPT:
-        _KEPT[key] = (MADE.get(name) or getattr(canon, name))(spark, d).persist()
+        _KEPT[key] = settle((MADE.get(name) or getattr(canon, name))(spark, d), f"kept-{name}")
     return _KEPT[key]
 
 
@@ -321,7 +322,8 @@ def property_selection(spark: SparkSession, d: str) -> DataFrame:
   CASE WHEN mape IS NULL THEN 'no data' WHEN mape < 10 THEN 'excellent' WHEN mape < 20 THEN 'acceptable' WHEN mape < 25 THEN 'reasonable if seasonal' ELSE 'outside the references' END AS accuracy_band
 FROM (VALUES ('seasonal_naive', 0), ('pickup_curve', 1), ('ets', 2), ('sarimax', 3), ('lightgbm', 4), ('xgboost', 5), ('catboost', 6)) m(model, parsimony) LEFT JOIN sc USING (model)"""
 )
-def benchmark_table(spark: SparkSession, d: str) -> DataFrame:
+def benchmark_relational(spark: SparkSession, d: str) -> DataFrame:
+    """The table with the two relational candidates run and the others not."""
     scored_ = selection.scores(selection.fold_metrics(fold_predictions(spark, d)))
     return rounded(selection.benchmark_table(scored_, "seasonal_naive").select("model", "parsimony", "wmape", "stability_range", "is_champion", "accuracy_band"))
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..sources.tables import shared_dir
+
 
 def daily(events: DataFrame, watermark: str = "1 day") -> DataFrame:
     """property, stay_date, events, value: event types by day. events: ts, event_type, value; a stream or a batch."""
@@ -16,17 +17,6 @@ def daily(events: DataFrame, watermark: str = "1 day") -> DataFrame:
     return made.select("property", F.to_date("w.start").alias("stay_date"), "events", F.round("value", 4).alias("value"))
 
 
-def results_dir(spark: SparkSession) -> str:
-    """The folder that all executors see, spark.checkpoint.dir; a temporary one where it is unset and all runs in this
-    process."""
-    set_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if set_dir:
-        return set_dir.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir is unset: it must name a folder that all executors share")
-    return "file://" + tempfile.mkdtemp(prefix="tidemark-stream-")
-
-
 def follow(stream: DataFrame, path: str, watermark: str = "1 day") -> DataFrame:
     """Run the stream of events to its present end and return the table of daily demand under path.
 
@@ -49,4 +39,4 @@ def replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream over the whole events table, to its end, in a folder of its own for each call."""
     source = spark.read.parquet(f"{sf_dir}/events.parquet")
     stream = spark.readStream.schema(source.schema).parquet(f"{sf_dir}/events.parqu[e]t")
-    return follow(stream, f"{results_dir(spark)}/daily-demand-{uuid.uuid4().hex}")
+    return follow(stream, f"{shared_dir(spark)}/daily-demand-{uuid.uuid4().hex}")
