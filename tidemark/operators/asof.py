@@ -60,18 +60,36 @@ def remaining_pickup(pickup: DataFrame, demand: DataFrame, cutoff: str) -> DataF
     return known.join(as_of(demand, cutoff), ["property", "stay_date"]).select("property", "stay_date", "lead_days", "booked", (F.col("room_nights") - F.col("booked")).alias("remaining"))
 
 
-def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, values: list[str]) -> DataFrame:
-    """left with the values of the last right row of the same keys at or before its time (null if none).
+def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, values: list[str], ranges: int | None = None) -> DataFrame:
+    """left with the values of the last right row of the same keys at or before its time (null if none, or if a key or the
+    time is null). Several right rows of one time: any of them.
 
-    Both sides are put in one ordered stream per key and the last value is carried forward: one sort, no
-    pairs. A key with many rows is one ordered stream; give a coarser part of the time in `keys` to cut it."""
-    from pyspark.sql import Window as W
+    Both sides are put in one ordered stream and the last value is carried forward: no pairs. The stream of a key is cut into
+    ranges of time (as many as there are shuffle partitions, if none are given), so a key with half of all rows is
+    the work of many tasks; one row for each key and range carries the value on."""
+    from .ordered import RANGE, carried_last, in_ranges
 
     value = F.struct(*[F.col(v) for v in values])
+    there = F.col(right_time).isNotNull()
+    for k in keys:
+        there = there & F.col(k).isNotNull()
     l = left.select(*keys, F.col(left_time).alias("_t"), lit(1).alias("_side"), F.struct(*[F.col(c) for c in left.columns]).alias("_l"), lit(None).cast(right.select(value.alias("v")).schema["v"].dataType).alias("_r"))  # noqa: E741
-    r = right.select(*keys, F.col(right_time).alias("_t"), lit(0).alias("_side"), lit(None).cast(l.schema["_l"].dataType).alias("_l"), value.alias("_r"))
-    w = W.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(W.unboundedPreceding, 0)
-    return l.unionByName(r).withColumn("_last", F.last("_r", ignorenulls=True).over(w)).where("_side = 1").select("_l.*", *[F.col(f"_last.{v}").alias(v) for v in values])
+    r = right.where(there).select(*keys, F.col(right_time).alias("_t"), lit(0).alias("_side"), lit(None).cast(l.schema["_l"].dataType).alias("_l"), value.alias("_r"))
+    times = left.select(F.col(left_time).alias("_t")).union(right.select(F.col(right_time).alias("_t")))
+    stream = in_ranges(l.unionByName(r), "_t", ranges, times)
+    found = carried_last(stream, keys, ["_t", "_side"], "_r").where("_side = 1")
+    return found.select("_l.*", *[F.when(F.col("_t").isNotNull(), F.col(f"last.{v}")).alias(v) for v in values]).drop(RANGE)
+
+
+def asof_cutoffs(right: DataFrame, keys: list[str], time: str, values: list[str], cutoffs: DataFrame) -> DataFrame:
+    """keys, cutoff, values: the last row of each key known at each of a few cutoffs, all in one aggregation. cutoffs: one column,
+    cutoff; its rows are counted and must be 1,000 at most, as each row of right meets those after it."""
+    n = cutoffs.limit(1001).count()
+    if n > 1000:
+        raise ValueError("more than 1,000 cutoffs: join them as rows by asof_join")
+    known = right.join(F.broadcast(cutoffs.select("cutoff")), F.col(time) <= F.col("cutoff"))
+    last = known.groupBy(*keys, "cutoff").agg(F.max_by(F.struct(*[F.col(v) for v in values]), F.struct(F.col(time), *[F.col(v) for v in values])).alias("_v"))
+    return last.select(*keys, "cutoff", *[F.col(f"_v.{v}").alias(v) for v in values])
 
 
 def range_frame(partition: str, date: str, low: int, high: int):

@@ -24,8 +24,10 @@ def with_profile(rows: DataFrame, profile: DataFrame) -> DataFrame:
 def residuals(rows: DataFrame, factors: DataFrame | None = None, decay: float = 1.0) -> DataFrame:
     """property, lead_band, season, residual (forecast * factor - actual), weight (decay to the power of the folds since)."""
     out = rows.withColumns({"lead_band": lead_band("lead_days"), "season": season("stay_date")})
-    if factors is not None:
-        out = out.join(factors.where("season is null").select("property", "lead_band", "factor"), ["property", "lead_band"], "left").withColumn("forecast", F.col("forecast") * F.coalesce("factor", lit(1.0)))
+    if factors is not None:  # the season's factor, else the band's: the same as the point is corrected by
+        fine = factors.where("season is not null").select("property", "lead_band", "season", F.col("factor").alias("_fine"))
+        coarse = factors.where("season is null").select("property", "lead_band", F.col("factor").alias("_coarse"))
+        out = out.join(fine, ["property", "lead_band", "season"], "left").join(coarse, ["property", "lead_band"], "left").withColumn("forecast", F.col("forecast") * F.coalesce("_fine", "_coarse", lit(1.0)))
     last = out.agg(F.max("fold").alias("_last"))
     return out.crossJoin(F.broadcast(last)).select("property", "lead_band", "season", (F.col("forecast") - F.col("actual")).alias("residual"), F.pow(lit(decay), F.col("_last") - F.col("fold")).alias("weight"))
 

@@ -39,7 +39,7 @@ def occupancy(df: DataFrame) -> DataFrame:
 
 
 def reconcile(forecast: DataFrame, portfolio: DataFrame | None = None) -> DataFrame:
-    """stay_date, bottom_up, portfolio, gap: property sums against an independent portfolio forecast (missing: 0)."""
+    """stay_date, bottom_up, portfolio, gap: property sums against an independent portfolio forecast (missing: 0). `reconciled` sums it up."""
     up = forecast.groupBy("stay_date").agg(F.sum("final_forecast_rn").alias("bottom_up"))
     if portfolio is None:
         return up.withColumns({"portfolio": F.col("bottom_up"), "gap": lit(0.0)})
@@ -47,6 +47,13 @@ def reconcile(forecast: DataFrame, portfolio: DataFrame | None = None) -> DataFr
     return both.withColumn("gap", F.col("portfolio") - F.col("bottom_up"))
 
 
+def reconciled(days: DataFrame) -> DataFrame:
+    """total_bottom_up, total_portfolio, total_gap, gap_pct (share of the properties' total, 0 if that is 0), days_off (gaps of more
+    than half a night): one row over `reconcile`."""
+    g = days.agg(F.sum("bottom_up").alias("total_bottom_up"), F.sum("portfolio").alias("total_portfolio"), F.sum("gap").alias("total_gap"), F.count_if(F.abs("gap") > 0.5).alias("days_off"))
+    return g.withColumn("gap_pct", F.coalesce(F.abs(ratio("total_gap", "total_bottom_up")), lit(0.0)))
+
+
 def with_capacity(df: DataFrame, capacity: DataFrame, cutoff: str, default: float = 100.0) -> DataFrame:
     """df with capacity: the date's largest known one, else the property's median up to the cutoff, else default."""
     day = capacity.groupBy("property", "stay_date").agg(F.max("capacity").alias("_day"))
@@ -60,20 +67,54 @@ def residual_cells(residuals: DataFrame) -> DataFrame:
     return sets.agg(F.count("residual").alias("n"), F.percentile("residual", LOW).alias("q10"), F.percentile("residual", HIGH).alias("q90"), F.grouping_id().alias("level"))
 
 
+LADDER = ((0, ["property", "lead_band", "season"]), (1, ["property", "lead_band"]), (3, ["property"]), (5, ["lead_band"]), (7, []))
+
+
+def weighted_cells(residuals: DataFrame, ranges: int | None = None) -> DataFrame:
+    """residual_cells with weights: values sit at the middle of their cumulative weight, as a share of the last one's, and are interpolated;
+    where all weights of a cell are equal it is the usual linear quantile. Nulls and weights of 0 don't count.
+
+    Each residual is put into its cell of all five levels at once; cumulative weights are taken by ranges of the residual, so the
+    cell of all of them is the work of many tasks, and the two values around a quantile are found by partial aggregation."""
+    from .ordered import in_ranges, running_sum
+
+    keys = ["level", "property", "lead_band", "season"]
+    part = lambda level, on: F.struct(lit(level).cast("long").alias("level"), *[(F.col(k) if k in on else lit(None).cast("string")).alias(k) for k in keys[1:]])
+    known = in_ranges(residuals.where("residual is not null and weight > 0"), "residual", ranges)
+    rows = known.select("residual", "weight", "_range", F.explode(F.array(*[part(level, on) for level, on in LADDER])).alias("c")).select("c.*", "residual", "weight", "_range")
+    placed = running_sum(rows, keys, "residual", ["weight"], "weight").withColumn("m", F.col("upto") - F.col("weight") / 2)
+    ends = placed.groupBy(*keys).agg(F.count("*").alias("n"), F.min("m").alias("_first"), F.max("m").alias("_last"), (F.min("weight") == F.max("weight")).alias("_even"))
+    same = F.col("l.level") == F.col("r.level")
+    for k in keys[1:]:
+        same = same & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    both = placed.alias("l").join(ends.alias("r"), same).select("l.*", "n", "_first", "_last", "_even")
+    p = F.coalesce(F.when(F.col("_even"), ratio(F.col("m") - F.col("_first"), F.col("_last") - F.col("_first"))).otherwise(ratio("m", "_last")), lit(0.0))
+    both = both.withColumn("p", p)
+    point = F.struct("p", F.col("residual").alias("v"))
+    ends_of = [f(F.when(c, point)).alias(f"_{x}{i}") for i, share in enumerate((LOW, HIGH)) for x, f, c in (("a", F.max, F.col("p") <= share), ("b", F.min, F.col("p") >= share))]
+    found = both.groupBy(*keys, "n").agg(*ends_of)
+
+    def between(i: int, share: float) -> Column:
+        a, b = F.col(f"_a{i}"), F.col(f"_b{i}")
+        mixed = a["v"] + (b["v"] - a["v"]) * F.coalesce(ratio(lit(share) - a["p"], b["p"] - a["p"]), lit(0.0))
+        return F.when(a.isNull(), b["v"]).when(b.isNull(), a["v"]).otherwise(mixed)
+
+    return found.select(*keys[1:], "n", between(0, LOW).alias("q10"), between(1, HIGH).alias("q90"), "level")
+
+
 def intervals(df: DataFrame, cells: DataFrame, min_residuals: int = MIN_RESIDUALS) -> DataFrame:
     """df with p10, p50, p90 (p50 is the point): from the first level with enough residuals of (property, band,
     season), (property, band), property, band, all. p10 <= p50 <= p90 within 0 and the capacity; no residuals: null."""
     rows = df.withColumns({"lead_band": lead_band("lead_days"), "season": season("stay_date")})
-    ladder = ((0, ["property", "lead_band", "season"]), (1, ["property", "lead_band"]), (3, ["property"]), (5, ["lead_band"]), (7, []))
     picks = []
-    for level, keys in ladder:
+    for level, keys in LADDER:
         cell = cells.where((F.col("level") == level) & (F.col("n") >= min_residuals)).select(*keys, F.struct("q10", "q90").alias(f"_q{level}"))
         rows = rows.join(cell, keys, "left") if keys else rows.join(F.broadcast(cell), lit(True), "left")
         picks.append(F.col(f"_q{level}"))
     q, point = F.coalesce(*picks), F.col("final_forecast_rn")
     inside = lambda c: F.least(F.greatest(c, lit(0.0)), F.coalesce(F.col("capacity"), c))
     low, high = inside(point - q["q90"]), inside(point - q["q10"])
-    return rows.withColumns({"p10": F.when(q.isNotNull(), F.least(low, point)), "p50": point, "p90": F.when(q.isNotNull(), F.greatest(high, point)), "interval_missing": q.isNull()}).drop("lead_band", "season", *[f"_q{k}" for k, _ in ladder])
+    return rows.withColumns({"p10": F.when(q.isNotNull(), F.least(low, point)), "p50": point, "p90": F.when(q.isNotNull(), F.greatest(high, point)), "interval_missing": q.isNull()}).drop("lead_band", "season", *[f"_q{k}" for k, _ in LADDER])
 
 
 def weighted_quantiles(df: DataFrame, keys: list[str], value: str, weight: str, share: float) -> DataFrame:
