@@ -26,8 +26,9 @@ def facts(spark, last=START + timedelta(DAYS)):
 
 
 def test_a_replayed_run_reads_nothing_later(spark):
-    whole, chosen = replay.replay(*facts(spark)[:2], facts(spark)[2], RUNS, days=30)
-    cut, _ = replay.replay(*facts(spark, date(2024, 9, 1))[:2], facts(spark)[2], RUNS[:1], days=30)
+    made = replay.replay(*facts(spark)[:2], facts(spark)[2], RUNS, days=30)
+    whole, chosen = made.published, made.chosen
+    cut = replay.replay(*facts(spark, date(2024, 9, 1))[:2], facts(spark)[2], RUNS[:1], days=30).published
     key = lambda df: {(str(r.as_of), r.property, r.stay_date): (r.model_name, round(r.final_forecast_rn, 6), round(r.capacity, 6)) for r in df.collect()}
     a, b = key(whole), key(cut)
     assert b and {k: v for k, v in a.items() if k[0] == RUNS[0]} == b

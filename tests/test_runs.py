@@ -1,6 +1,5 @@
-"""Sources as read, the registry and deliverables, leakage of the trees' features, decisions without a query."""
+"""Sources as read, leakage of the trees' features, decisions without a query."""
 
-import json
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -37,24 +36,7 @@ def test_gaps_and_repeats_in_one_pass(spark):
     assert got == {"duplicate_property_date": ("error", 2, 1), "zero_capacity": ("warning", 2, 1), "missing_dates": ("warning", 2, 2), "unexpected_capacity_change": ("warning", 3, 3), "negative_capacity": ("error", 1, 1)}
 
 
-def test_registry_and_manifest(tmp_path):
-    path = str(tmp_path / "runs" / "registry.json")
-    assert files.load_registry(path) == []
-    files.append_record(path, {"run_id": "1", "mode": "futuro", "metrics": {("a", 1): float("nan")}, "at": date(2026, 1, 1)})
-    files.append_record(path, {"run_id": "2", "mode": "verification"})
-    assert [r["run_id"] for r in files.load_registry(path)] == ["1", "2"] and files.load_registry(path)[0]["metrics"] == {"a|1": None}
-    assert files.latest_record(files.load_registry(path), "futuro")["run_id"] == "1" and files.latest_record([], "x") is None
-    (tmp_path / "broken.json").write_text("{")
-    assert files.load_registry(str(tmp_path / "broken.json")) == []
-    manifest = dict.fromkeys(files.MANIFEST, "x")
-    made = files.write_manifest(str(tmp_path / "m.json"), manifest)
-    assert json.loads((tmp_path / "m.json").read_text()) == made and files.same_configuration(made, manifest | {"metrics": "y", "timestamp": "z"})
-    assert not files.same_configuration(made, manifest | {"seed": 1})
-    with pytest.raises(ValueError):
-        files.write_manifest(str(tmp_path / "n.json"), {"run_id": "x"})
-
-
-def test_events_and_deliverables(spark, tmp_path):
+def test_events(spark, tmp_path):
     assert files.load_events(spark, str(tmp_path / "none.csv")) is None
     (tmp_path / "e.csv").write_text("evento,fecha,hotel\nFair,2026-01-05,\nGala,2026-02-01,North\n")
     assert sorted((r.event_name, r.event_date, r.property) for r in files.load_events(spark, str(tmp_path / "e.csv")).collect()) == [("Fair", date(2026, 1, 5), None), ("Gala", date(2026, 2, 1), "North")]
@@ -62,10 +44,6 @@ def test_events_and_deliverables(spark, tmp_path):
     with pytest.raises(ValueError):
         files.load_events(spark, str(tmp_path / "bad.csv"))
     one = spark.createDataFrame([(1,)], "x int")
-    with pytest.raises(ValueError):
-        files.write_deliverables(str(tmp_path / "run"), {"forecast": one})
-    assert len(files.write_deliverables(str(tmp_path / "run"), dict.fromkeys(files.DELIVERABLES, one))) == 10
-    assert files.read_published(spark, str(tmp_path / "run")).count() == 1 and files.read_published(spark, str(tmp_path / "no")) is None
     with pytest.raises(ValueError):
         files.merge_checked(one, one.union(one), ["x"])
 

@@ -86,12 +86,29 @@ def no_future_reads(snapshots: DataFrame) -> Column:
     return F.count_if(F.col("last_history") > F.col("cutoff")).alias("future_reads")
 
 
-def suite(features: DataFrame, cutoff: str, split: dict, dates: tuple[str, ...] = ("stay_date",)) -> None:
-    """Raise LeakageError listing all that the checks find."""
+def findings(
+    features: DataFrame, cutoff: str, split: dict, dates: tuple[str, ...] = ("stay_date",), train: DataFrame | None = None, validation: DataFrame | None = None, whole: dict | None = None, windows: tuple[tuple[str, int, str], ...] = ()
+) -> list[str]:
+    """All that the checks find, in words; none for a clean run. train and validation: their days must follow one another.
+    whole: feature -> (full frame, function that makes it, keys), for features that may have been made from later rows too. windows:
+    (feature, width, statistic) of stored rolling values that may be centred on their day."""
     found = split_problems(split)
     for c in dates:
         late = features.where(F.col(c) > lit(cutoff).cast("date")).count()
         found += [f"{late} rows with {c} after {cutoff}"] if late else []
-    found += [f"{r['feature']} holds its own target" for r in scan_rolling(features).where("includes_target").collect()]
+    if train is not None and validation is not None and temporal_order(train, validation).first()["ordered"] is False:
+        found.append("validation days aren't after training days")
+    for feature, (full, make, keys) in (whole or {}).items():
+        if whole_data_feature(full, cutoff, make, feature, keys).first()["leaks"]:
+            found.append(f"{feature} knows rows after {cutoff}")
+    for feature, width, stat in windows:
+        if centred(features, feature, width, stat).first()["includes_future"]:
+            found.append(f"{feature} is centred on its day")
+    return found + [f"{r['feature']} holds its own target" for r in scan_rolling(features).where("includes_target").collect()]
+
+
+def suite(features: DataFrame, cutoff: str, split: dict, **more) -> None:
+    """Raise LeakageError listing all that `findings` finds."""
+    found = findings(features, cutoff, split, **more)
     if found:
         raise LeakageError("; ".join(found))

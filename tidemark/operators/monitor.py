@@ -188,6 +188,51 @@ def most_recent_gradable(records: list[dict], read, score, mode: str = "futuro",
     return None
 
 
+def coverage_alerts(coverage: DataFrame, nominal: float = 0.80, slack: float = 0.075, min_obs: int = 30) -> DataFrame:
+    """property, n, coverage, nominal, direction (under or over) of properties whose band holds too few or too many actuals; coverage: that
+    of `evaluate.coverage`. Fewer than min_obs graded days raise no alert."""
+    rows = coverage.where((F.col("level") == "property") & (F.col("n") >= min_obs) & (F.abs(F.col("coverage") - nominal) > slack))
+    return rows.select("property", "n", "coverage", lit(nominal).alias("nominal"), F.when(F.col("coverage") < nominal, "under").otherwise("over").alias("direction"))
+
+
+def retraining_state(history: DataFrame, previous: dict | None, today: str, frequency: str = "monthly", min_history: int = 365) -> dict:
+    """What is new since the last training that the registry knows (its training_end is the high-water mark), and whether to train
+    again: days_since_last, new_records, history_days, has_previous_run, previous_run_id, retrain, reason."""
+    from datetime import date
+
+    from ..sources.store import new_since
+
+    previous = previous or {}
+    seen = new_since(history, previous.get("training_end")).first()
+    days = 0
+    if previous.get("timestamp"):
+        days = max(0, (date.fromisoformat(today[:10]) - date.fromisoformat(str(previous["timestamp"])[:10])).days)
+    due, reason = should_retrain(frequency, seen["new_records"], days, min_history, seen["span_days"])
+    return {"days_since_last": days, "new_records": seen["new_records"], "history_days": seen["span_days"], "has_previous_run": bool(previous.get("timestamp")), "previous_run_id": previous.get("run_id"), "retrain": due, "reason": reason}
+
+
+def monitoring_block(history: DataFrame, metrics: dict, cutoff: str, today: str, metrics_source: str, previous: dict | None = None, coverage: DataFrame | None = None, frequency: str = "monthly", min_history: int = 365, shown: int = 50) -> dict:
+    """The monitoring part of a run: outliers (all counted, the largest `shown` listed), alerts of demand drift by property, of
+    metric drift against the previous run (only if its metrics come from the same kind of evaluation) and of bands that
+    cover too little or too much, and the state of retraining. history: demand up to the cutoff."""
+    found = outliers(history)
+    block: dict = {"n_outliers": found.count(), "outliers": [r.asDict() for r in found.orderBy(F.desc(F.abs("zscore")), "property", "stay_date").limit(shown).collect()]}
+    notable = F.col("severity").isin("warning", "alert")
+    alerts = [{"metric": f"demand_psi:{r['property']}", "severity": r["severity"], "current": r["psi"]} for r in demand_drift(history, cutoff).where(notable).collect()]  # a row for each property
+    same = bool(previous) and previous.get("metrics_source") == metrics_source
+    if same:
+        one = lambda m: history.sparkSession.createDataFrame([tuple(float(m[k]) if m.get(k) is not None else None for k in THRESHOLDS)], ", ".join(f"{k} double" for k in THRESHOLDS))
+        alerts += [{"metric": r["metric"], "severity": r["severity"], "reference": r["reference"], "current": r["current"]} for r in metric_drift(one(previous.get("metrics") or {}), one(metrics)).where(notable).collect()]
+    if coverage is not None:
+        alerts += [{"metric": f"interval_coverage:{r['property']}", "severity": "warning", "reference": r["nominal"], "current": r["coverage"]} for r in coverage_alerts(coverage).collect()]
+    return block | {"compared_with": previous.get("run_id") if same else None, "n_drift_alerts": len(alerts), "drift_alerts": alerts, "retraining": retraining_state(history, previous, today, frequency, min_history)}
+
+
+def vintage_identity(window_start: str, mode: str) -> str:
+    """A vintage is told by its mode and the first day that it publishes, so a run repeated on one cutoff is one vintage."""
+    return f"{mode}:{window_start}"
+
+
 #: What a run must fulfil (fixed values).
 ACCEPTANCE = ("leakage_clean", "capacity_respected", "metrics_and_breakdowns", "powerbi_present", "manifest_reproducible")
 
@@ -195,3 +240,18 @@ ACCEPTANCE = ("leakage_clean", "capacity_respected", "metrics_and_breakdowns", "
 def acceptance_failures(checks: dict[str, bool]) -> list[str]:
     """The acceptance checks that a run doesn't pass; one that wasn't made counts as failed."""
     return [c for c in ACCEPTANCE if not checks.get(c, False)]
+
+
+def acceptance(leaks: list[str], published: DataFrame, metrics: dict, breakdowns: dict[str, DataFrame], areas: dict[str, DataFrame], manifest: dict | None) -> dict[str, bool]:
+    """The five checks of a run, from what it made: leaks is what `leakage.findings` found; no published day is above its capacity; metrics
+    have a wmape and every breakdown has rows; the four flat tables have rows; the manifest, read back, matches its fingerprint."""
+    from ..sources.store import AREAS, fingerprint
+
+    over = published.where(F.col("final_forecast_rn") > F.col("capacity") + 1e-9).isEmpty()
+    return {
+        "leakage_clean": not leaks,
+        "capacity_respected": over,
+        "metrics_and_breakdowns": metrics.get("wmape") is not None and bool(breakdowns) and not any(df.isEmpty() for df in breakdowns.values()),
+        "powerbi_present": all(a in areas and not areas[a].isEmpty() for a in AREAS),
+        "manifest_reproducible": manifest is not None and manifest.get("fingerprint") == fingerprint(manifest),
+    }

@@ -5,6 +5,7 @@ days are replayed in one plan, and what a stage learns comes from folds that end
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import lit
@@ -46,14 +47,28 @@ def with_capacity(rows: DataFrame, capacity: DataFrame) -> DataFrame:
     return rows.join(day, ["property", "stay_date"], "left").join(median, [*KEYS, "property"], "left").withColumn("capacity", F.coalesce("_day", "_median", lit(DEFAULT_CAPACITY))).drop("_day", "_median")
 
 
+@dataclass
+class Replayed:
+    """published: as_of, property, stay_date, lead_days, model_name, current_booked_rn, bias_correction_factor, raw_forecast_rn
+    (corrected), capacity, final_forecast_rn and its flags. chosen: that of `choose`. folds: graded predictions of all candidates;
+    runs: those of what each property runs; factors: the corrections learnt from them. All have as_of."""
+
+    published: DataFrame
+    chosen: DataFrame
+    folds: DataFrame
+    runs: DataFrame
+    factors: DataFrame
+
+    def of(self, as_of: str) -> Replayed:
+        """What one as_of has of each."""
+        return Replayed(*[df.where(F.col("as_of") == lit(as_of).cast("date")) for df in (self.published, self.chosen, self.folds, self.runs, self.factors)])
+
+
 def replay(
     demand: DataFrame, pickup: DataFrame, capacity: DataFrame, cutoffs: list[str], names: tuple[str, ...] = candidates.RELATIONAL, n: int = 4, days: int = selection.FOLD_DAYS,
     incumbents: DataFrame | None = None, holidays: DataFrame | None = None, decay: float = 1.0,
-) -> tuple[DataFrame, DataFrame]:
-    """What each run of `cutoffs` would have published for the days after it, and what it chose.
-
-    The first frame: as_of, property, stay_date, lead_days, model_name, booked, bias_correction_factor, raw_forecast_rn (corrected),
-    capacity, final_forecast_rn and its flags. The second is that of `choose`. Nothing after an as_of is read for it but capacities of
+) -> Replayed:
+    """What each run of `cutoffs` would have published for the days after it, and what it chose and learnt. Nothing after an as_of is read for it but capacities of
     the days asked for, which are planned. Properties with fewer than MIN_OBS days or without three scored folds follow the rules
     of `by_property`; a property that no fold scored isn't published."""
     folds = candidates.folds_of(demand.sparkSession, cutoffs, n, days)
@@ -63,9 +78,11 @@ def replay(
     few = F.broadcast(folds.select("fold", "cutoff"))
     profile = models.profiles(demand.join(few, F.col("stay_date") <= F.col("cutoff")), ("fold",))
     runs = operative(made, chosen, profile)
-    factors = settle(calibrate.bias_cells(selection.with_actuals(runs.where(F.col("nth") < n), demand), decay, keys=KEYS), "replay-factors")
+    tested = selection.with_actuals(runs.where(F.col("nth") < n), demand)
+    factors = settle(calibrate.bias_cells(tested, decay, keys=KEYS), "replay-factors")
     asked = runs.where(F.col("nth") == n).select(*KEYS, "property", "stay_date", "lead_days", "model_name", F.col("booked").alias("current_booked_rn"), F.col("forecast").alias("raw_forecast_rn"))
-    return publish.floor_and_cap(with_capacity(publish.apply_factors(asked, factors, keys=KEYS), capacity)), chosen
+    published = publish.floor_and_cap(with_capacity(publish.apply_factors(asked, factors, keys=KEYS), capacity))
+    return Replayed(published, chosen, graded, tested, factors)
 
 
 def graded(published: DataFrame, demand: DataFrame) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import asof, calibrate, publish
-from .forecasts import MADE, _BANDED, PREDS, SINGLE, fold_predictions, graded, kept, published, rounded
+from ..operators import asof, calibrate, evaluate, monitor, publish, run
+from ..sources import store
+from .forecasts import MADE, _BANDED, _BANDS, PREDS, SINGLE, banded, fold_predictions, graded, kept, published, rounded
 from .registry import query
 from .sql import CAPACITY, DEMAND, PICKUP, PUBLISHED, band, season, with_
 
@@ -77,3 +78,26 @@ def booked_at_cutoffs(spark: SparkSession, d: str) -> DataFrame:
     cutoffs = spark.createDataFrame([(c,) for c in CUTOFFS], "cutoff string").withColumn("cutoff", F.to_date("cutoff"))
     known = asof.asof_cutoffs(kept(spark, d, "pickup"), ["property", "stay_date"], "snapshot_date", ["snapshot_date", "pickup_rn"], cutoffs)
     return known.where(F.col("stay_date") > F.col("cutoff")).select("property", "stay_date", "cutoff", F.col("pickup_rn").alias("booked"), F.col("snapshot_date").alias("as_of"))
+
+
+# Monitoring and counts of a run.
+
+
+@query(_BANDS + "SELECT property, COUNT(*) AS n, round(AVG(CAST(actual BETWEEN p10 AND p90 AS DOUBLE)), 6) AS coverage, 0.8::DOUBLE AS nominal, CASE WHEN AVG(CAST(actual BETWEEN p10 AND p90 AS DOUBLE)) < 0.8 THEN 'under' ELSE 'over' END AS direction FROM bands WHERE p10 IS NOT NULL GROUP BY 1 HAVING COUNT(*) >= 30 AND abs(AVG(CAST(actual BETWEEN p10 AND p90 AS DOUBLE)) - 0.8) > 0.02")
+def coverage_alerts(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(monitor.coverage_alerts(evaluate.coverage(banded(spark, d)), slack=0.02))
+
+
+@query(with_(DEMAND) + "SELECT COUNT(*) FILTER (WHERE stay_date > DATE '2001-03-31') AS new_records, MIN(stay_date) AS first, MAX(stay_date) AS last, CAST(MAX(stay_date) - MIN(stay_date) + 1 AS INTEGER) AS span_days FROM demand")
+def new_since_training(spark: SparkSession, d: str) -> DataFrame:
+    """What came after the high-water mark of an earlier training."""
+    return store.new_since(kept(spark, d, "demand"), "2001-03-31")
+
+
+def _counts(name: str) -> str:
+    return f"SELECT '{name}' AS source, SUM(n) AS rows, COUNT(*) AS properties, MIN(a) AS first_day, MAX(z) AS last_day, SUM(d) AS days, SUM(z - a + 1 - d) AS missing_days FROM (SELECT property, COUNT(*) AS n, MIN(stay_date) AS a, MAX(stay_date) AS z, COUNT(DISTINCT stay_date) AS d FROM {name} GROUP BY 1)"
+
+
+@query(with_(DEMAND, CAPACITY, PICKUP) + f"SELECT source, CAST(rows AS BIGINT) AS rows, properties, first_day, last_day, CAST(days AS BIGINT) AS days, CAST(missing_days AS BIGINT) AS missing_days FROM ({' UNION ALL '.join(_counts(t) for t in ('demand', 'pickup', 'capacity'))})")
+def eda_counts(spark: SparkSession, d: str) -> DataFrame:
+    return run.eda(*[kept(spark, d, t) for t in ("demand", "pickup", "capacity")])

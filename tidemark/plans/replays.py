@@ -66,8 +66,8 @@ _REPLAY = with_(DEMAND, CAPACITY, PICKUP, predictions(_FOLDS), _choices(), _RUNS
 
 def _replayed(spark: SparkSession, d: str) -> DataFrame:
     """What the runs published, with what they chose for the property (champion, tie, reason)."""
-    made, chosen = replay.replay(kept(spark, d, "demand"), kept(spark, d, "pickup"), kept(spark, d, "capacity"), list(RUNS))
-    return made.join(chosen.select("as_of", "property", "champion", "tie", "model", "reason"), ["as_of", "property"])
+    made = replay.replay(kept(spark, d, "demand"), kept(spark, d, "pickup"), kept(spark, d, "capacity"), list(RUNS))
+    return made.published.join(made.chosen.select("as_of", "property", "champion", "tie", "model", "reason"), ["as_of", "property"])
 
 
 MADE["replayed"] = _replayed

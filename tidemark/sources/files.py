@@ -1,14 +1,10 @@
-"""Files in and out: sources with detected schemas, flexible dates, events, published forecasts, the registry, deliverables."""
+"""Files in and out: sources with detected schemas, flexible dates, events."""
 
 from __future__ import annotations
 
-import hashlib
-import json
 import math
-import os
 from dataclasses import dataclass, field
 from itertools import chain
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.functions import lit
@@ -217,7 +213,9 @@ def exclude_properties(df: DataFrame, closed: list[str]) -> DataFrame:
 
 def load_events(spark: SparkSession, path: str | None) -> DataFrame | None:
     """event_name, event_date, property; None for a missing or empty file. A bad date or a repeated event raises."""
-    if not path or not os.path.exists(path):
+    from .store import exists
+
+    if not path or not exists(spark, path):
         return None
     df = read_any(spark, path)
     names = {normal_name(c): c for c in df.columns}
@@ -253,72 +251,5 @@ def sanitize(value):
     return value if isinstance(value, (str, int, float, bool, type(None))) else str(value)
 
 
-def write_atomic(path: Path, text: str) -> None:
-    path.parent.mkdir(parents=True, exist_ok=True)
-    temporary = path.with_suffix(path.suffix + ".tmp")
-    temporary.write_text(text)
-    os.replace(temporary, path)
-
-
-def load_registry(path: str) -> list[dict]:
-    """The runs so far; none if the file is missing or broken."""
-    try:
-        found = json.loads(Path(path).read_text())
-        return found if isinstance(found, list) else []
-    except (OSError, ValueError):
-        return []
-
-
-def append_record(path: str, record: dict) -> list[dict]:
-    """One writer at a time: the file is replaced as a whole."""
-    records = [*load_registry(path), sanitize(record)]
-    write_atomic(Path(path), json.dumps(records, indent=1, sort_keys=True))
-    return records
-
-
 def latest_record(records: list[dict], mode: str | None = None) -> dict | None:
     return next((r for r in reversed(records) if mode is None or r.get("mode") == mode), None)
-
-
-MANIFEST = ("run_id", "timestamp", "mode", "cutoff", "horizon", "seed", "sources", "champion", "metrics")
-
-
-def fingerprint(manifest: dict) -> str:
-    """SHA-256 of what configures a run: everything but its time and metrics."""
-    return hashlib.sha256(json.dumps(sanitize({k: v for k, v in manifest.items() if k not in ("timestamp", "metrics", "fingerprint")}), sort_keys=True).encode()).hexdigest()
-
-
-def write_manifest(path: str, manifest: dict) -> dict:
-    missing = [k for k in MANIFEST if k not in manifest]
-    if missing:
-        raise ValueError(f"manifest lacks {', '.join(missing)}")
-    made = sanitize(manifest) | {"fingerprint": fingerprint(manifest)}
-    write_atomic(Path(path), json.dumps(made, indent=1, sort_keys=True))
-    return made
-
-
-def same_configuration(a: dict, b: dict) -> bool:
-    return fingerprint(a) == fingerprint(b)
-
-
-def read_published(spark: SparkSession, run_dir: str) -> DataFrame | None:
-    """The forecast that an earlier run published; None if there is none."""
-    try:
-        return spark.read.parquet(f"{run_dir}/forecast")
-    except Exception as e:  # Spark raises its own class for a path that isn't there
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-
-
-DELIVERABLES = ("forecast", "accuracy", "pickup", "model", "benchmark", "lead_bands", "properties", "coverage", "outliers", "drift")
-
-
-def write_deliverables(run_dir: str, tables: dict[str, DataFrame]) -> list[str]:
-    """Each of the ten tables as Parquet under run_dir; raises before writing if one is missing."""
-    missing = [n for n in DELIVERABLES if n not in tables]
-    if missing:
-        raise ValueError(f"deliverables missing: {', '.join(missing)}")
-    for name in DELIVERABLES:
-        tables[name].write.mode("overwrite").parquet(f"{run_dir}/{name}")
-    return [f"{run_dir}/{n}" for n in DELIVERABLES]
