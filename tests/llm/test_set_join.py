@@ -56,4 +56,32 @@ def test_repeated_ids_of_different_texts(spark):
     for part in (rows, rows[::-1]):
         docs = spark.createDataFrame(part, "doc_id long, text string, lang string, source string, n_chars long")
         kept = {(r.doc_id, r.text, r.lang) for r in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()}
-        assert kept == {(1, a, "en"), (1, b, "de"), (3, c, "en"), (None, a, "en")}
+        assert kept == {(1, a, "en"), (1, b, "de"), (3, c, "en")}
+
+
+def test_rows_without_an_id_are_judged_last(spark):
+    a, b = "alpha beta gamma delta epsilon zeta", "one two three four five six seven"
+    rows = [(None, a, "en", "s", 1), (None, a, "de", "s", 1), (None, b, "en", "s", 1), (7, b, "en", "s", 1), (None, None, "en", "s", 1), (None, "", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.doc_id, r.text, r.lang) for r in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()]
+    assert sorted(kept, key=str) == sorted([(None, a, "de"), (7, b, "en"), min((None, None, "en"), (None, "", "en"), key=lambda r: hash_of(spark, r[1]))], key=str)
+
+
+def hash_of(spark, text):
+    return spark.createDataFrame([(text,)], "t string").selectExpr("xxhash64(t) as h").first().h
+
+
+def test_a_template_group_grows_in_proportion(spark):
+    """Texts of one template with a block of their own that is too long for 4/5: they share nearly all, and yet don't meet."""
+    counts = []
+    for many in (200, 400, 800):
+        g = np.random.default_rng(many)
+        frame = [f"t{k}" for k in range(85)]
+        texts = [" ".join(frame[:40] + [f"own{g.integers(0, 10**9)}" for _ in range(15)] + frame[40:]) for _ in range(many)]
+        docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+        rows = set_join.prefixes(docs, 5)
+        classes = rows.groupBy("class").agg(set_join.F.min("size").alias("size"), set_join.F.first("prefix").alias("prefix"))
+        named = set_join.apart(classes.select(set_join.F.posexplode("prefix").alias("place", "s"), "class", "size"), "class").withColumn("root", set_join.F.col("class"))
+        counts.append(set_join.meetings(named, 0, None).count())
+        assert len({r.root for r in set_join.similar_groups(docs).collect()}) == many
+    assert counts[2] <= 5 * max(counts[0], 40)

@@ -4,16 +4,18 @@ Plan. Texts of equal shingle sets collapse into one class first. The classes' Si
 searched through vantage-point partitions as near_dedup does, and what lies within `radius` bits is
 verified on the whole sets. But of texts that share four fifths of their shingles, 64-bit
 fingerprints differ in 9.7 bits on average and in 17 for one of a hundred: a radius that no
-partition can prune. What is left is therefore found exactly by prefixes: if two sets of sizes m and n
-reach a Jaccard index of 4/5, they share at least four fifths of the larger one, so under any one order of
-shingles the first floor(n / 5) + 1 of each hold a common one: only classes that meet in such a
-shingle are compared, and none is missed; how many they meet in bounds what they can share. The order puts
+partition can prune. What is left is therefore found exactly by prefixes. Sets of sizes m >= n that reach a Jaccard
+index of 4/5 have 4 (m + n) / 9 shingles in common at least. In any one order of shingles the first common one, at
+places i and j (from 0), has m - i and n - j of them from there on: so n <= 9 (m - i) / 4 - m, and j <= n / 9.
+The larger set asks with its first floor(m / 5) + 1 shingles, each for the sizes that its place still allows; the smaller one answers
+with its first floor(n / 9) + 1. Sizes are part of the key, in steps, so texts of one template that differ too much don't even
+meet. How many shingles they meet in bounds what they can share. The order puts
 frequent shingles last, so that a line on many pages brings few texts together; frequencies are
 estimated from a sample, which changes the cost but not the result.
 
 Classes that meet are first compared with some others of their shingle, chosen by hash in rounds, which joins a dense group
 in rows proportional to its members; then with all that they meet of other groups, which finds what is
-left. Every link is verified on the whole sets.
+left. Every link is verified on the whole sets. Texts are only moved for that, and only those that a bitmap of fixed size lets by.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .common import discard, settle, small_batches
 from .near_dedup import components, links
@@ -33,6 +35,10 @@ from .simhash import of_hashes, shingle_hashes, words
 SAMPLE, FREQUENT, FREQUENT_ROWS = 16, 8, 200_000
 #: Classes of a shingle that are compared in the rounds before the last one, about: those of one hash.
 ROUNDS = (8, 128)
+#: Steps of size that the larger set's sizes of partners, 0.8 to 1 of its own, span: about this many.
+STEPS = 6
+#: Bits of the bitmap that keeps rows from being moved: 2 MB as a table, whatever the number of rows wanted.
+BITS = 1 << 23
 
 
 def shingle_set(text: str | None, n: int) -> np.ndarray:
@@ -58,7 +64,7 @@ def frequent(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefixes(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, text_hash, class (of equal shingle sets), size of the set, its fingerprint, prefix of it, for each row."""
+    """doc_id, text_hash, class (of equal shingle sets), size of the set, its fingerprint, prefix of it in order, for each row."""
     spark = docs.sparkSession
     small_batches(spark)
     known = spark.sparkContext.broadcast(frequent(docs, n))
@@ -83,8 +89,22 @@ def prefixes(docs: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, text_hash long, class long, size int, fp long, prefix array<long>")
 
 
+def bitmap(hashes: DataFrame) -> DataFrame:
+    """word, bits: a bitmap of the hashes (one column of longs), BITS / 64 rows at most."""
+    at = F.pmod(F.col(hashes.columns[0]), F.lit(BITS))
+    return hashes.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits"))
+
+
+def maybe_in(df: DataFrame, column: str, bits: DataFrame) -> DataFrame:
+    """df with maybe: false if the column's hash is surely none of those in the bitmap."""
+    at = F.pmod(F.col(column), F.lit(BITS))
+    named = df.withColumn("_at", at).withColumn("_word", F.shiftright("_at", 6))
+    there = named.join(F.broadcast(bits.select(F.col("word").alias("_word"), F.col("bits").alias("_bits"))), "_word", "left")
+    return there.withColumn("maybe", F.coalesce(F.expr("(shiftrightunsigned(_bits, cast(_at % 64 as int)) & 1) = 1"), F.lit(False))).drop("_at", "_word", "_bits")
+
+
 def whole_sets(docs: DataFrame, chosen: DataFrame, n: int) -> DataFrame:
-    """class, shingles of the texts of chosen (text_hash, class)."""
+    """class, shingles of the texts of chosen (text_hash, class; one for each class)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -92,31 +112,29 @@ def whole_sets(docs: DataFrame, chosen: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), found], ["class", "shingles"])
 
     texts = docs.select(F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    one = texts.join(chosen, "text_hash").groupBy("class").agg(F.min("text").alias("text"))
-    return one.mapInArrow(run, "class long, shingles array<long>")
+    some = maybe_in(texts, "text_hash", bitmap(chosen.select("text_hash"))).where("maybe").groupBy("text_hash").agg(F.min("text").alias("text"))
+    return some.join(chosen, "text_hash").select("class", "text").mapInArrow(run, "class long, shingles array<long>")
 
 
 def likely(met: DataFrame) -> DataFrame:
-    """u, v of meetings (u, v, u_size, v_size; one row for each shingle that both prefixes hold) that can
-    reach 4/5. All common shingles up to the lesser of the prefixes' ends are in both prefixes, so
-    the whole sets share no more than those that met and what is behind that prefix."""
-    behind = lambda n: n - F.floor(n / 5) - 1
+    """u, v of meetings (u, v, u_size, v_size, i, j; one row for each shingle that they meet in) that can reach 4/5. Whatever
+    they share up to the last place where they met is among those, so the whole sets share no more than these and what is behind it."""
     m, n = F.col("u_size"), F.col("v_size")
-    counted = met.where(F.least(m, n) * 5 >= F.greatest(m, n) * 4).groupBy("u", "v", "u_size", "v_size").count()
-    return counted.where((F.col("count") + F.greatest(behind(m), behind(n))) * 9 >= (m + n) * 4).select("u", "v")
+    counted = met.groupBy("u", "v", "u_size", "v_size").agg(F.count("*").alias("c"), F.max("i").alias("i"), F.max("j").alias("j"))
+    return counted.where((F.col("c") + F.least(m - F.col("i") - 1, n - F.col("j") - 1)) * 9 >= (m + n) * 4).select("u", "v")
 
 
-def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """The pairs (u, v) of classes whose sets have a Jaccard index of at least 4/5, settled."""
     pairs, one = settle(pairs, "pairs")
     wanted = pairs.select(F.col("u").alias("class")).union(pairs.select("v")).distinct()
-    chosen = rows.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("text_hash").alias("text_hash"))
-    sets = whole_sets(docs, chosen, n)
+    chosen = classes.join(wanted, "class", "left_semi").select("class", "text_hash")
+    sets, two = settle(whole_sets(docs, chosen, n), "sets")
     side = lambda k: sets.select(F.col("class").alias(k), F.col("shingles").alias(f"{k}_set"))
     both = F.size(F.array_intersect("u_set", "v_set"))
     near = pairs.join(side("u"), "u").join(side("v"), "v").where(both * 9 >= (F.size("u_set") + F.size("v_set")) * 4)
     found, _ = settle(near.select("u", "v"), "near")
-    discard(docs.sparkSession, one)
+    discard(docs.sparkSession, one), discard(docs.sparkSession, two)
     return found  # the links: few rows, which the caller's plan reads again
 
 
@@ -129,24 +147,42 @@ def fingerprint_pairs(classes: DataFrame, radius: int) -> DataFrame:
     return equal.union(close.select(F.col("u_class").alias("u"), F.col("v_class").alias("v")))
 
 
+def apart(met: DataFrame, column: str) -> DataFrame:
+    """The rows of met whose shingle has more than one value of the column: counted by partial aggregation, then joined."""
+    more = met.groupBy("s").agg(F.min(column).alias("low"), F.max(column).alias("high")).where("low <> high").select("s")
+    return met.join(more, "s", "left_semi")
+
+
 def with_roots(met: DataFrame, roots: DataFrame) -> DataFrame:
-    """met (s, class, size) with the root of each class so far, of the shingles in which different roots meet."""
-    every = W.partitionBy("s")
-    named = met.join(roots, met["class"] == roots.node, "left").select("s", "class", "size", F.coalesce("root", "class").alias("root"))
-    return named.withColumns({"low": F.min("root").over(every), "high": F.max("root").over(every)}).where("low <> high").drop("low", "high")
+    """met (s, class, size, place) with the root of each class so far, of the shingles in which different roots meet."""
+    named = met.join(roots, met["class"] == roots.node, "left").select("s", "class", "size", "place", F.coalesce("root", "class").alias("root"))
+    return apart(named, "root")
+
+
+def step(size: F.Column) -> F.Column:
+    """Which step of size it is: four fifths span STEPS of them."""
+    return F.floor(F.log(size.cast("double")) * (STEPS / float(-np.log(0.8)))).cast("int")
 
 
 def meetings(named: DataFrame, turn: int, about: int | None) -> DataFrame:
-    """u, v, u_size, v_size: classes of different roots that meet in a shingle, u the greater. about: only those whose
-    hashes agree in as many bits as leave about so many classes of the shingle; the hash changes with each
-    turn but is one for all shingles, so two classes that agree in it meet in nearly all that they share."""
+    """u, v, u_size, v_size, i, j: classes of different roots that meet in a shingle at places that leave 4/5 possible, u the larger
+    (of equal sizes the greater). about: only those whose hashes agree in as many bits as leave about so many classes of the
+    shingle; the hash changes with each turn but is one for all shingles, so two classes that agree in it meet in nearly
+    all that they share."""
     if about is None:
         named = named.withColumn("part", F.lit(0).cast("long"))
     else:
-        bits = F.greatest(F.lit(0), F.ceil(F.log2(F.count("*").over(W.partitionBy("s")) / about)))
-        named = named.withColumn("bits", bits).withColumn("part", F.xxhash64("class", F.lit(turn)).bitwiseAND((F.pow(F.lit(2.0), F.col("bits")) - 1).cast("long")))
-    a, b = (named.select("s", "part", F.col("class").alias(k), F.col("size").alias(f"{k}_size"), F.col("root").alias(f"{k}_root")) for k in "uv")
-    return a.join(b, ["s", "part"]).where("u_root <> v_root and u > v").select("u", "v", "u_size", "v_size")
+        many = named.groupBy("s").agg(F.count("*").alias("many"))
+        bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("many") / about)))
+        named = named.join(many, "s").withColumn("part", F.xxhash64("class", F.lit(turn)).bitwiseAND((F.pow(F.lit(2.0), bits) - 1).cast("long"))).drop("many")
+    m, i = F.col("size"), F.col("place")
+    most = F.least(m, F.floor((9 * (m - i) - 4 * m) / 4)).cast("int")
+    asks = named.withColumn("most", most).where(F.col("most") * 5 >= m * 4)
+    steps = F.sequence(step(F.greatest(F.ceil(m * 0.8 - 0.001), F.lit(1))), step(F.col("most")))
+    asks = asks.select("s", "part", F.explode(steps).alias("step"), F.col("class").alias("u"), F.col("size").alias("u_size"), F.col("place").alias("i"), F.col("root").alias("u_root"), "most")
+    answers = named.where(i * 9 <= m).select("s", "part", step(m).alias("step"), F.col("class").alias("v"), F.col("size").alias("v_size"), F.col("place").alias("j"), F.col("root").alias("v_root"))
+    fits = "u_root <> v_root and v_size <= most and v_size * 5 >= u_size * 4 and 4 * (u_size + v_size) <= 9 * (v_size - j) and (u_size > v_size or u > v)"
+    return asks.join(answers, ["s", "part", "step"]).where(fits).select("u", "v", "u_size", "v_size", "i", "j")
 
 
 def similar_groups(docs: DataFrame, n: int = 5, radius: int = 4) -> DataFrame:
@@ -161,14 +197,12 @@ def similar_groups(docs: DataFrame, n: int = 5, radius: int = 4) -> DataFrame:
 
     small_batches(spark)
     rows = keep(prefixes(docs, n), "prefixes")
-    classes = keep(rows.groupBy("class").agg(F.min("size").alias("size"), F.min("fp").alias("fp")), "classes")
-    spread = rows.select(F.explode("prefix").alias("s"), "class", "size").distinct()
-    every = W.partitionBy("s")
-    met = spread.withColumns({"low": F.min("class").over(every), "high": F.max("class").over(every)}).where("low <> high").drop("low", "high")
-    named, stars = keep(met.withColumn("root", F.col("class")), "met"), None
+    classes = keep(rows.groupBy("class").agg(F.min("size").alias("size"), F.min("fp").alias("fp"), F.min("text_hash").alias("text_hash"), F.first("prefix").alias("prefix")), "classes")
+    spread = classes.select(F.posexplode("prefix").alias("place", "s"), "class", "size")
+    named, stars = keep(apart(spread, "class").withColumn("root", F.col("class")), "met"), None
     for turn, about in enumerate((*ROUNDS, None)):
         pairs = likely(meetings(named, turn, about))
-        found = verified(pairs if stars is not None else pairs.union(fingerprint_pairs(classes, radius)), rows, docs, n)
+        found = verified(pairs if stars is not None else pairs.union(fingerprint_pairs(classes, radius)).distinct(), classes, docs, n)
         roots = components(found if stars is None else stars.union(found))
         stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
         if about is not None:
