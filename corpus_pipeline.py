@@ -25,23 +25,23 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies stays: that of the least id, and of the texts of that id
+    """One row of each group of near copies stays: that of the least id (rows without one come last), and of the texts of that id
     within the group the one of the least hash. Rows are judged one by one: an id whose texts are in
-    different groups can stay more than once. Of rows of the same id and text the least stays;
-    rows without an id all stay. The rows that go are named by id and hash of the text, so that no text
-    is grouped but those of rows listed more than once."""
-    key = ["doc_id", "text_hash"]
-    found = set_join.similar_groups(docs, SHINGLE).where("doc_id is not null")
+    different groups can stay more than once. Of rows of the same id and text the least stays. Only rows that a bitmap takes for ones
+    that go, or are listed more than once, are moved."""
+    key = ["k", "text_hash"]
+    order = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    found = set_join.similar_groups(docs, SHINGLE).select(order.alias("k"), "text_hash", "root")
     rows = found.groupBy("root", *key).agg(F.count("*").alias("copies"))
     stays = rows.groupBy("root").agg(F.min(F.struct(*key)).alias("row"))
-    judged = rows.join(stays, "root").select(*key, "copies", (F.struct(*key) == F.col("row")).alias("stays"))
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.struct(*docs.columns).alias("row"))
-    kept = named.join(judged.where("not stays or copies > 1").select(*key), key, "left_anti").select("row.*")
-    listed = judged.where("stays and copies > 1").select(*key)
-    if listed.isEmpty():
-        return kept
-    once = named.join(listed, key, "left_semi").groupBy(*key).agg(F.min("row").alias("row"))
-    return kept.union(once.select("row.*"))
+    judged = rows.join(stays, "root").select(*key, "copies", (F.struct(*key) == F.col("row")).alias("stays")).where("not stays or copies > 1")
+    judged, _ = settle(judged.withColumn("at", F.xxhash64(*key)), "judged")
+    named = docs.select(order.alias("k"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.struct(*docs.columns).alias("row"))
+    bits, _ = settle(set_join.bitmap(judged.select("at")), "bitmap")
+    named = set_join.maybe_in(named.withColumn("at", F.xxhash64(*key)), "at", bits)
+    seen = named.where("maybe").join(judged.select(*key, "stays"), key, "left").where("stays is null or stays")
+    once = seen.where("stays").groupBy(*key).agg(F.min("row").alias("row"))
+    return named.where("not maybe").select("row.*").union(seen.where("stays is null").select("row.*")).union(once.select("row.*"))
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
