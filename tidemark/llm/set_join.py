@@ -15,7 +15,10 @@ estimated from a sample, which changes the cost but not the result.
 
 Classes that meet are first compared with some others of their shingle, chosen by hash in rounds, which joins a dense group
 in rows proportional to its members; then with all that they meet of other groups, which finds what is
-left. Every link is verified on the whole sets. Texts are only moved for that, and only those that a bitmap of fixed size lets by.
+left. A pair is first held against the parities of both sets: as many bits as four times the set's size, each told by how many
+shingles fall on it. Sets differ in no fewer shingles than their parities in bits, so what differs in more than a ninth of both sizes
+is no link. The others are verified on the whole sets. Texts are only moved for that, and only those that a bitmap of
+fixed size lets by.
 """
 
 from __future__ import annotations
@@ -46,6 +49,23 @@ def shingle_set(text: str | None, n: int) -> np.ndarray:
     return np.unique(shingle_hashes(words(text), n))
 
 
+def parity(s: np.ndarray) -> bytes:
+    """Which of about four bits for each shingle (a power of two, 64 at least) an odd number of them falls on."""
+    width = 1 << max(6, int(4 * len(s) - 1).bit_length())
+    return np.packbits((np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def parity_gap(a: bytes, b: bytes) -> int:
+    """In how many bits two parities differ, the wider one folded to the width of the other: never more than the sets do."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) != len(y):
+        if len(x) > len(y):
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        else:
+            y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def frequent(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Frequent shingles, ascending, and their rank by estimated frequency (from 1)."""
 
@@ -64,7 +84,7 @@ def frequent(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefixes(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, text_hash, class (of equal shingle sets), size of the set, its fingerprint, prefix of it in order, for each row."""
+    """doc_id, text_hash, class (of equal shingle sets), size of the set, its fingerprint, parity and prefix in order, for each row."""
     spark = docs.sparkSession
     small_batches(spark)
     known = spark.sparkContext.broadcast(frequent(docs, n))
@@ -72,7 +92,7 @@ def prefixes(docs: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, ranks = known.value
         for b in batches:
-            kinds, sizes, fps, firsts = [], [], [], []
+            kinds, sizes, fps, firsts, bits = [], [], [], [], []
             for t in b.column(2).to_pylist():
                 s = shingle_set(t, n)
                 rank = np.zeros(len(s), np.int64)
@@ -80,13 +100,13 @@ def prefixes(docs: DataFrame, n: int) -> DataFrame:
                     at = np.minimum(np.searchsorted(last, s), len(last) - 1)
                     rank = np.where(last[at] == s, ranks[at], 0)
                 first = s[np.lexsort((s, rank))[: len(s) // 5 + 1]]
-                kinds.append(xxhash.xxh64_intdigest(s.tobytes())), sizes.append(len(s)), fps.append(of_hashes(s)), firsts.append(first.view(np.int64))
-            made = [pa.array(np.array(kinds, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(firsts, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *made], ["doc_id", "text_hash", "class", "size", "fp", "prefix"])
+                kinds.append(xxhash.xxh64_intdigest(s.tobytes())), sizes.append(len(s)), fps.append(of_hashes(s)), firsts.append(first.view(np.int64)), bits.append(parity(s))
+            made = [pa.array(np.array(kinds, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(firsts, pa.list_(pa.int64())), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *made], ["doc_id", "text_hash", "class", "size", "fp", "prefix", "parity"])
 
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    return rows.mapInArrow(run, "doc_id long, text_hash long, class long, size int, fp long, prefix array<long>")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, class long, size int, fp long, prefix array<long>, parity binary")
 
 
 def bitmap(hashes: DataFrame) -> DataFrame:
@@ -124,9 +144,23 @@ def likely(met: DataFrame) -> DataFrame:
     return counted.where((F.col("c") + F.least(m - F.col("i") - 1, n - F.col("j") - 1)) * 9 >= (m + n) * 4).select("u", "v")
 
 
+def possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (u, v) of classes whose parities allow a Jaccard index of 4/5."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            _, _, m, n, x, y = (c.to_pylist() for c in b.columns)
+            near = [9 * parity_gap(x[k], y[k]) <= m[k] + n[k] for k in range(b.num_rows)]
+            yield b.select([0, 1]).filter(pa.array(near, pa.bool_()))
+
+    side = lambda k: classes.select(F.col("class").alias(k), F.col("size").alias(f"{k}_size"), F.col("parity").alias(f"{k}_parity"))
+    both = pairs.join(side("u"), "u").join(side("v"), "v").where("9 * abs(u_size - v_size) <= u_size + v_size")
+    return both.select("u", "v", "u_size", "v_size", "u_parity", "v_parity").mapInArrow(run, "u long, v long")
+
+
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """The pairs (u, v) of classes whose sets have a Jaccard index of at least 4/5, settled."""
-    pairs, one = settle(pairs, "pairs")
+    pairs, one = settle(possible(pairs, classes), "pairs")
     wanted = pairs.select(F.col("u").alias("class")).union(pairs.select("v")).distinct()
     chosen = classes.join(wanted, "class", "left_semi").select("class", "text_hash")
     sets, two = settle(whole_sets(docs, chosen, n), "sets")
@@ -148,8 +182,9 @@ def fingerprint_pairs(classes: DataFrame, radius: int) -> DataFrame:
 
 
 def apart(met: DataFrame, column: str) -> DataFrame:
-    """The rows of met whose shingle has more than one value of the column: counted by partial aggregation, then joined."""
-    more = met.groupBy("s").agg(F.min(column).alias("low"), F.max(column).alias("high")).where("low <> high").select("s")
+    """The rows of met whose shingle has more than one value of the column and a class to answer: told by partial aggregation, then joined."""
+    sums = met.groupBy("s").agg(F.min(column).alias("low"), F.max(column).alias("high"), F.min(F.col("place") * 9 - F.col("size")).alias("first"))
+    more = sums.where("low <> high and first <= 0").select("s")
     return met.join(more, "s", "left_semi")
 
 
@@ -197,7 +232,7 @@ def similar_groups(docs: DataFrame, n: int = 5, radius: int = 4) -> DataFrame:
 
     small_batches(spark)
     rows = keep(prefixes(docs, n), "prefixes")
-    classes = keep(rows.groupBy("class").agg(F.min("size").alias("size"), F.min("fp").alias("fp"), F.min("text_hash").alias("text_hash"), F.first("prefix").alias("prefix")), "classes")
+    classes = keep(rows.groupBy("class").agg(F.min("size").alias("size"), F.min("fp").alias("fp"), F.min("text_hash").alias("text_hash"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity")), "classes")
     spread = classes.select(F.posexplode("prefix").alias("place", "s"), "class", "size")
     named, stars = keep(apart(spread, "class").withColumn("root", F.col("class")), "met"), None
     for turn, about in enumerate((*ROUNDS, None)):
