@@ -1,6 +1,9 @@
 """HTML extraction, chat formatting and the whole pipeline."""
 
 import hashlib
+import time
+from collections import Counter
+from html.parser import HTMLParser
 
 import pytest
 
@@ -70,28 +73,107 @@ def test_few_pages_of_many_do_not_make_a_template(spark):
     assert got[2] == "page 2\n\na paragraph that some pages quote" and got[50] == "page 50"
 
 
-def plain_templates(pages):
-    """The rule of `templates` by counting in Python: (host, subtree) pairs."""
-    of, hosts = {}, {}
-    for url, page in {(html_text.host(u), p) for _, u, p in pages if p}:
-        hosts[url] = hosts.get(url, 0) + 1
-        for x, long in html_text.Page(page).candidates().items():
-            n, was = of.get((url, x), (0, False))
-            of[url, x] = n + 1, was or long
-    return {k for k, (n, long) in of.items() if n >= 5 and n >= (0.8 if long else 0.3) * hosts[k[0]]}
-
-
-def test_extraction_against_a_plain_version(spark, small):
-    rows = spark.read.parquet(f"{small}/pages.parquet").collect()
-    pages = [(r.page_id, r.url, r.html) for r in rows]
-    known = plain_templates(pages)
-    want = {}
-    for i, url, page in pages:
-        want[i] = "\n\n".join(html_text.Page(page).blocks({x for h, x in known if h == html_text.host(url)})) if page else ""
+class PlainArticle(HTMLParser):
+    """Blocks of text in a page's article, by the standard library's parser: enough for pages whose only frame is around it."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.open, self.out, self.part = 0, [], []
+        self.feed(page)
+        self.close()
+
+    def cut(self):
+        if text := " ".join("".join(self.part).split()):
+            self.out.append(text)
+        self.part = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "article":
+            self.open += 1
+        if tag == "br":
+            self.part.append(" ")
+        elif tag in ("article", "p", "h1", "ul", "li"):
+            self.cut()
+
+    def handle_endtag(self, tag):
+        if tag in ("article", "p", "h1", "ul", "li"):
+            self.cut()
+        if tag == "article":
+            self.open -= 1
+
+    def handle_data(self, data):
+        if self.open:
+            self.part.append(data)
+
+
+def test_extraction_against_a_plain_parser(spark, small):
+    """Every given page has its text in one article."""
+    want = {r.page_id: "\n\n".join(PlainArticle(r.html).out) if r.html else "" for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
     got = {r.page_id: r for r in queries.op3_html_extraction(spark, small).collect()}
     assert {i: r.text for i, r in got.items()} == want and all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_counts_decide_on_given_pages(spark, small):
+    """Without any name and without the main element's bounds the counted templates alone leave the article; without them no page does."""
+    pages = spark.read.parquet(f"{small.replace('sf0.001', 'sf0.01')}/pages.parquet")
+    known = {}
+    for r in html_text.templates(html_text.subtrees(html_text.keyed(pages))).join(html_text.keyed(pages).select("host", html_text.host_column("url").alias("name")).distinct(), "host").collect():
+        known.setdefault(r.name, set()).add(r.subtree % (1 << 64))
+    rows = [r for r in pages.collect() if r.html]
+    hosts = Counter(html_text.host(r.url) for r in rows)
+    large = [r for r in rows if hosts[html_text.host(r.url)] >= 5]
+    alone = changed = 0
+    for r in large:
+        page, drops = html_text.Page(r.html), known.get(html_text.host(r.url), set())
+        alone += page.blocks(drops, names=False) == PlainArticle(r.html).out
+        changed += page.blocks(drops, names=False) != page.blocks(set(), names=False)
+    print(f"counts alone leave the article on {alone} and change {changed} of {len(large)} pages of hosts with five or more")
+    assert len(large) > 100 and alone == changed == len(large)
+
+
+def test_shapes_recur_where_words_differ(spark):
+    """Menus and notes of other words and lengths on each page, without telling names; a story in an unnamed element stays."""
+    links = lambda i: "".join(f"<a href='#'>topic {i * j}</a>" for j in range(3, 5 + i % 3))
+    plain = lambda i: f"<body><div class='x{i}'>{links(i)}</div><div>story {i} is told here in a few words and in some more</div></body>"
+    lists = lambda i: f"<body><div><div>{links(i)}</div></div></body>"
+    pages = [(i, "https://a.example/", plain(i)) for i in range(10)] + [(20 + i, "https://b.example/", lists(i)) for i in range(10)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got[4] == "story 4 is told here in a few words and in some more"
+    # a page that is a list of links is not its own menu
+    assert all(got[20 + i] for i in range(10))
+
+
+def test_names_that_only_qualify():
+    """Sentences in elements whose class merely contains a telling word stay; what the word heads goes."""
+    assert text_of('<article><div class="share-price">The price of a share rose.</div><section id="notice-period">Notice is three months here.</section></article>') == ["The price of a share rose.", "Notice is three months here."]
+    assert text_of('<main><div class="search-results-explained">How results of a search are explained.</div></main>') == ["How results of a search are explained."]
+    assert text_of('<article>kept<div class="share-links"><a>x</a></div><div class="share-price-box">12</div><div class="google-ads">Buy this thing, it is good for you.</div><div id="disqus_thread_2">A reader wrote this sentence.</div></article>') == ["kept"]
+
+
+def test_marked_prose_goes_if_counted(spark):
+    note = "<div class='notice-period'>The same sentence stands on every page.</div>"
+    pages = [(i, "https://a.example/", f"<article><p>own {i}</p>{note}</article>") for i in range(6)] + [(9, "https://b.example/", f"<article><p>own</p>{note}</article>")]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got[2] == "own 2" and got[9] == "own\n\nThe same sentence stands on every page."
+
+
+def test_many_anchors_take_linear_time():
+    def seconds(n):
+        start = time.process_time()
+        html_text.Page("<div class=comments>" * n + "<article>x</article>" * n).blocks(set())
+        return time.process_time() - start
+
+    seconds(500)
+    assert seconds(16_000) < 10 * seconds(4_000) + 0.5
+
+
+@pytest.mark.parametrize("page", ["<p>" + "word " * 400_000, "<div>" * 3000 + "deep text" + "</p>" * 10, "<article><b>" + "<i>x" * 2000, "<ul>" + "<li><a>y</a>" * 3000])
+def test_long_unclosed_and_deep_pages_in_spark(spark, page):
+    frame = spark.createDataFrame([(1, "https://a.example/", page), (1, "https://a.example/", page), (2, None, page), (None, "", None)], "page_id long, url string, html string")
+    got = sorted(html_text.extract(frame).collect(), key=lambda r: len(r.text))
+    assert len(got) == 4 and got[0].text == "" and len({r.text for r in got[1:]}) == 1 and got[1].text
+
+
 def test_chats(spark, small):
     rows = {r.conv_id: r for r in queries.op5_chat_formatting(spark, small).collect()}
     turns = {}

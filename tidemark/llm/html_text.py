@@ -1,12 +1,18 @@
 """Main text of web pages: site templates are the element subtrees that recur on a host.
 
-Pass 1 parses each page and hashes the subtrees of its block elements: those outside the main element or
-article, and inside it those that aren't prose. Spark counts on how many different pages of a host each hash
-occurs and how many the host has; a subtree on a large share of them is template. Pass 2 parses again
-and deletes the page's subtrees that are. What counts can't show (an advert with a text of its own, any page of
-a host of few pages) falls to element and class names: navigation, footers, adverts, forms, comments.
-Paragraphs, headings and other prose inside the main element are never deleted for recurring: a passage that many
-pages quote is text, not template; outside it, long prose goes only if nearly all pages of the host have it.
+Pass 1 parses each page and gives the subtrees of its block elements two hashes: an exact one (names and words), and
+one of its shape (place in the page, element and class names with digits masked, whether it is mostly links; no
+words), as menus, adverts and footers recur with other words on each page. Spark counts on how many different pages of
+a host each hash occurs and how many the host has; a subtree on a large share of them is template. Pass 2 parses again
+and deletes the page's subtrees that are. Shapes count outside the main element or article; on pages that have
+neither, only for lists of links that hold at most half of the page's words, as there stories recur in shape too.
+Exact hashes count outside the main element, and inside it for what isn't prose or bears a telling name. Paragraphs,
+headings and other prose inside the main element are not deleted for recurring: a passage that many pages quote is
+text, not template; outside it, long prose goes only if nearly all pages of the host have it.
+
+What counts can't show (hosts of few pages, a part that few pages have) falls to names: elements of the frame
+(navigation, footer, form), and classes whose last telling word is one of MARKS (`site-footer`, `google-ads`). Where
+such a word only qualifies another (`share-price`, `notice-period`) the element stays if it holds a sentence.
 """
 
 from __future__ import annotations
@@ -30,6 +36,10 @@ BLOCKS = set("address article aside blockquote body caption center dd details di
 SKIP = set("head nav header footer aside form menu script style noscript template iframe object svg canvas button select textarea input dialog xmp title".split())
 #: Words of class, id or role that mark what isn't main text, and words that turn such a mark into another's (fixed values).
 MARKS = set("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead footer sidebar aside related recommended widget share sharing social cookie cookies consent notice notices alert popup modal newsletter subscribe subscription signup login search pagination pager comment comments respond reply replies discussion disqus toolbar contentinfo complementary".split())
+#: Words of names that say nothing of the contents (fixed values).
+PLAIN = set("site page post posts article articles entry story blog news main top bottom left right list section area box block wrapper wrap container inner outer item items link links bar button buttons icon icons group row col column content body text title heading slot zone unit panel module thread form global mobile desktop js".split())
+#: Elements that are never text, whatever counts or names say (fixed values).
+UNSEEN = set("head script style noscript template iframe object svg canvas xmp title".split())
 NOT_MARKS = {"has", "with", "no", "without", "not", "non", "layout"}
 ENDS_P = BLOCKS - {"caption", "legend", "option", "optgroup", "html", "body", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "summary"}
 #: An opening tag closes open ones of these, up to the nearest barrier.
@@ -43,6 +53,8 @@ RAW_ENDS = {tag: re.compile(rf"</{tag}", re.I) for tag in RAW}
 #: nearly all of them. Prose inside it has so many words outside links; long prose so many.
 MIN_PAGES, SHARE, PROSE_SHARE = 5, 0.3, 0.8
 PROSE_WORDS, LONG_WORDS = 12, 50
+#: A sentence has so many words outside links and one of these at the end of a run of text.
+SENTENCE_WORDS, STOPS = 4, frozenset(".!?\u2026\u3002\uff01\uff1f")
 #: Pages with more copies than this, and than this share of all, get their list by broadcast: 10,000 lists at most.
 COPIES, COPIES_SHARE = 256, 1e-4
 
@@ -124,20 +136,32 @@ def parse(page: str) -> Node:
 
 
 @lru_cache(maxsize=10_000)
-def marked(name: str) -> bool:
-    """Whether a class, id or role names what isn't main text: `ad`, `site-footer`, `comments_list`, but not
-    `has-sidebar`, `layout-with-header` or `no-comments`, which speak of the page around it."""
-    parts = set(re.split(r"[^a-z0-9]+", name))
-    return not MARKS.isdisjoint(parts) and NOT_MARKS.isdisjoint(parts)
+def mark(name: str) -> int:
+    """2 if a class, id or role names what isn't main text (`ad`, `site-footer`, `comments_list`), 1 if it only has such a
+    word beside a later one (`share-price`), 0 otherwise and for what speaks of the page around it (`has-sidebar`)."""
+    parts = re.split(r"[^a-z0-9]+", name)
+    if MARKS.isdisjoint(parts) or not NOT_MARKS.isdisjoint(parts):
+        return 0
+    telling = [x for x in parts if x and x not in PLAIN and not any(c.isdigit() for c in x)]
+    return 2 if telling and telling[-1] in MARKS else 1
 
 
-def unwanted(node: Node) -> bool:
-    return node.tag in SKIP or "hidden" in node.marks or node.tag not in ("html", "body", "article", "main") and any(map(marked, node.marks))
+@lru_cache(maxsize=10_000)
+def kind(tag: str, marks: tuple) -> bytes:
+    """Element and class names, with digits masked."""
+    return re.sub(r"\d+", "0", f"{tag} {' '.join(sorted(set(marks)))}").encode("utf-8", "surrogatepass")
+
+
+@lru_cache(maxsize=10_000)
+def below(place: bytes, tag: str, marks: tuple) -> bytes:
+    """Hash of the names from the page's top down to an element."""
+    return xxhash.xxh64(place + kind(tag, marks)).digest()
 
 
 class Page:
-    """A parsed page: nodes in order, and for each the words of its text, of those in links, its hash, whether
-    it is in the main element. Iterative, as broken pages can nest thousands deep."""
+    """A parsed page: nodes in order, and for each the words of its text, of those in links, whether it is in the main
+    element, and the hashes by which it may be template. Each step is one pass over the nodes, up or down, as broken
+    pages can nest thousands deep."""
 
     def __init__(self, page: str):
         self.root = parse(page)
@@ -148,37 +172,53 @@ class Page:
             self.nodes.append(x), self.parent.append(up)
             stack.extend((c, k) for c in reversed(x.children) if isinstance(c, Node))
         n = len(self.nodes)
-        self.words, self.linked, self.shown, self.hash = [0] * n, [0] * n, [0] * n, [0] * n
-        children: list[list[int]] = [[] for _ in range(n)]
+        self.kids: list[list[int]] = [[] for _ in range(n)]
         for k in range(1, n):
-            children[self.parent[k]].append(k)
+            self.kids[self.parent[k]].append(k)
+        self.words, self.linked, self.shown, self.stops = [0] * n, [0] * n, [0] * n, [False] * n
         for k in range(n - 1, -1, -1):
-            x, inner = self.nodes[k], iter(children[k])
-            h, own = xxhash.xxh64(f"{x.tag} {' '.join(x.marks)}".encode("utf-8", "surrogatepass")), 0
+            x, own = self.nodes[k], 0
             for c in x.children:
-                if isinstance(c, str):
-                    found = c.split()
+                if isinstance(c, str) and (found := c.split()):
                     own += len(found)
-                    h.update(" ".join(found).encode("utf-8", "surrogatepass"))
-                else:
-                    i = next(inner)
-                    self.words[k] += self.words[i]
-                    self.linked[k] += self.linked[i]
-                    self.shown[k] += self.shown[i]
-                    h.update(self.hash[i].to_bytes(8, "little"))
+                    self.stops[k] = self.stops[k] or found[-1][-1] in STOPS
             self.words[k] += own
             self.linked[k] = self.words[k] if x.tag == "a" else self.linked[k]
-            self.shown[k] = 0 if k and unwanted(x) and x.tag not in ("form", "header", "aside") else self.shown[k] + own
-            self.hash[k] = h.intdigest()
+            self.shown[k] = 0 if k and x.tag not in ("form", "header", "aside") and self.unwanted(k) else self.shown[k] + own
+            if k:
+                up = self.parent[k]
+                self.words[up] += self.words[k]
+                self.linked[up] += self.linked[k]
+                self.shown[up] += self.shown[k]
+                self.stops[up] = self.stops[up] or self.stops[k]
         self.anchors = self._anchors()
-        self.around = set()  # what holds the main element is never unwanted
-        for k in self.anchors:
-            while k >= 0:
-                self.around.add(k)
-                k = self.parent[k]
-        self.inside = [False] * n
-        for k in range(n):
-            self.inside[k] = k in self.anchors or (k > 0 and self.inside[self.parent[k]])
+        self.around, self.inside = [k in self.anchors for k in range(n)], [k in self.anchors for k in range(n)]
+        for k in range(n - 1, 0, -1):  # what holds the main element is never unwanted
+            self.around[self.parent[k]] |= self.around[k]
+        for k in range(1, n):
+            self.inside[k] |= self.inside[self.parent[k]]
+        self.exact, self.shape = self._hashes()
+
+    def unwanted(self, k: int) -> bool:
+        """Whether names tell that this isn't main text."""
+        x = self.nodes[k]
+        if x.tag in SKIP or "hidden" in x.marks:
+            return True
+        if not x.marks or x.tag in ("html", "body", "article", "main"):
+            return False
+        most = max(map(mark, x.marks))
+        return most == 2 or most == 1 and not self.sentence(k)
+
+    def sentence(self, k: int) -> bool:
+        """Running text by its words, whatever the element."""
+        free = self.words[k] - self.linked[k]
+        return free >= self.linked[k] and (free >= PROSE_WORDS or free >= SENTENCE_WORDS and self.stops[k])
+
+    def prose(self, k: int) -> bool:
+        """Running text rather than a part of the site's frame."""
+        if self.linked[k] * 2 > self.words[k]:
+            return False
+        return self.nodes[k].tag in PROSE or self.words[k] - self.linked[k] >= PROSE_WORDS
 
     def _outermost(self, tag: str) -> list[int]:
         """Elements of this name that show words and aren't in another of that name, nor in an unwanted part, forms and headers aside."""
@@ -196,43 +236,62 @@ class Page:
         neither. An article in a marked part (related, comments) is only taken if no other is there."""
         if found := self._outermost("main"):
             return set(found)
-        found = self._outermost("article")
-        clear = [k for k in found if not self._in_marked(k)] or found
-        most = max((self.shown[k] for k in clear), default=0)
-        return {k for k in clear if self.shown[k] * 4 >= most or not self._in_marked(k)}
-
-    def _in_marked(self, k: int) -> bool:
-        own = {self.parent[k]}
-        k = self.parent[k]
-        while k > 0:
+        if not (found := self._outermost("article")):
+            return set()
+        beside = [False] * len(self.nodes)  # in a marked part of less than half of the page's words
+        for k in range(1, len(self.nodes)):
+            up = self.parent[k]
+            beside[k] = beside[up] or self.words[up] * 2 < self.words[0] and any(map(mark, self.nodes[up].marks))
+        clear = [k for k in found if not beside[k]] or found
+        most = max(self.shown[k] for k in clear)
+        return {k for k in clear if self.shown[k] * 4 >= most or not beside[k]}
+
+    def _hashes(self) -> tuple[dict[int, int], dict[int, int]]:
+        """Exact hash and shape of each block that may be template by it. Only what lies in such a block is hashed."""
+        exact, shape, n = set(), set(), len(self.nodes)
+        needed = [False] * n
+        for k in range(1, n):
             x = self.nodes[k]
-            if any(map(marked, x.marks)) and self.shown_share(k) < 0.5:
-                return True
-            k = self.parent[k]
-            own.add(k)
-        return False
-
-    def shown_share(self, k: int) -> float:
-        """Share of the page's words that this element holds."""
-        return self.words[k] / self.words[0] if self.words[0] else 0.0
-
-    def prose(self, k: int) -> bool:
-        """Running text rather than a part of the site's frame."""
-        if self.linked[k] * 2 > self.words[k]:
-            return False
-        return self.nodes[k].tag in PROSE or self.words[k] - self.linked[k] >= PROSE_WORDS
+            if x.tag in BLOCKS and x.tag not in ("html", "head", "body") and not self.around[k] and self.words[k]:
+                if not self.inside[k]:
+                    exact.add(k)
+                    if self.anchors or self.linked[k] * 2 > self.words[k] and self.words[k] * 2 <= self.words[0]:
+                        shape.add(k)
+                elif not self.prose(k) or any(map(mark, x.marks)):
+                    exact.add(k)
+            needed[k] = needed[self.parent[k]] or k in exact
+        place = [b""] * n
+        for k in range(1, n):
+            if not self.inside[k]:
+                place[k] = below(place[self.parent[k]], self.nodes[k].tag, self.nodes[k].marks)
+        whole, masked = [b""] * n, [b""] * n
+        for k in range(n - 1, 0, -1):
+            if not needed[k]:
+                continue
+            x, inner = self.nodes[k], iter(self.kids[k])
+            h = xxhash.xxh64(f"{x.tag} {' '.join(x.marks)}".encode("utf-8", "surrogatepass"))
+            for c in x.children:
+                h.update(" ".join(c.split()).encode("utf-8", "surrogatepass") if isinstance(c, str) else whole[next(inner)])
+            whole[k] = h.digest()
+            parts = {masked[i]: None for i in self.kids[k]}  # each shape once: menus differ in length
+            parts.pop(b"", None)
+            if x.tag in BLOCKS or x.tag == "a" or parts:
+                named = kind(x.tag, x.marks) if x.tag in BLOCKS or x.tag == "a" else b""
+                masked[k] = xxhash.xxh64(named + (b"\1" if self.linked[k] * 2 > self.words[k] else b"\0") + b"".join(parts)).digest()
+        return {k: xxhash.xxh64_intdigest(whole[k]) for k in exact}, {k: xxhash.xxh64_intdigest(b"shape" + place[k] + masked[k]) for k in shape}
 
     def candidates(self) -> dict[int, bool]:
-        """Hash of each subtree that may be template -> whether it is long prose."""
-        out = {}
-        for k, x in enumerate(self.nodes):
-            if k and x.tag in BLOCKS and x.tag not in ("html", "head", "body") and k not in self.around and self.words[k] and not (self.inside[k] and self.prose(k)):
-                out[self.hash[k]] = self.words[k] - self.linked[k] >= LONG_WORDS
+        """Exact hash and shape of each subtree that may be template -> whether it is long prose."""
+        out: dict[int, bool] = {}
+        for found in (self.exact, self.shape):
+            for k, h in found.items():
+                out[h] = out.get(h, False) or self.words[k] - self.linked[k] >= LONG_WORDS
         return out
 
-    def blocks(self, template: set[int]) -> list[str]:
+    def blocks(self, template: set[int], names: bool = True) -> list[str]:
         """Text of the main elements (of all, if there is none) in page order without template and unwanted
-        parts, one string for each block."""
+        parts, one string for each block. Without `names` counts alone decide on the whole page: neither the main element
+        bounds the text nor do the names of the frame remove any; scripts and the like are no text either way."""
         out: list[str] = []
         part: list[str] = []
 
@@ -241,10 +300,10 @@ class Page:
                 out.append(text)
             part.clear()
 
-        kids: list[list[int]] = [[] for _ in self.nodes]
-        for k in range(1, len(self.nodes)):
-            kids[self.parent[k]].append(k)
-        for root in sorted(self.anchors) or [0]:
+        def gone(k: int) -> bool:
+            return (self.unwanted(k) if names else self.nodes[k].tag in UNSEEN) or self.exact.get(k) in template or self.shape.get(k) in template
+
+        for root in (sorted(self.anchors) if names else None) or [0]:
             stack: list = [root]
             while stack:
                 k = stack.pop()
@@ -252,8 +311,8 @@ class Page:
                     close()
                 elif isinstance(k, str):
                     part.append(k)
-                elif k == root or not (k not in self.around and (unwanted(self.nodes[k]) or (self.hash[k] in template and self.nodes[k].tag in BLOCKS and not (self.inside[k] and self.prose(k))))):
-                    x, inner = self.nodes[k], iter(kids[k])
+                elif k == root or self.around[k] or not gone(k):
+                    x, inner = self.nodes[k], iter(self.kids[k])
                     if x.tag == "br":
                         part.append(" ")
                     elif x.tag in BLOCKS:
