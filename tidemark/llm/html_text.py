@@ -254,12 +254,13 @@ class Page:
             x = self.nodes[k]
             if x.tag in BLOCKS and x.tag not in ("html", "head", "body") and not self.around[k] and self.words[k]:
                 if not self.inside[k]:
-                    exact.add(k)
+                    if not self.anchors or self.around[self.parent[k]]:  # within such a part shapes tell enough
+                        exact.add(k)
                     if self.anchors or self.linked[k] * 2 > self.words[k] and self.words[k] * 2 <= self.words[0]:
                         shape.add(k)
                 elif not self.prose(k) or any(map(mark, x.marks)):
                     exact.add(k)
-            needed[k] = needed[self.parent[k]] or k in exact
+            needed[k] = needed[self.parent[k]] or k in exact or k in shape
         place = [b""] * n
         for k in range(1, n):
             if not self.inside[k]:
@@ -367,8 +368,9 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, url, text. Null or empty html gives an empty text; a null url counts as a host of its
     own; repeated rows come back as often; other columns aren't read; an empty table gives no rows.
 
-    Each different page's own templates come to it as a list, joined by host and content. Contents with
-    many copies are few, and their lists are broadcast, so that no task gathers the copies of a page."""
+    Each different page's own templates come to it as a list, joined by host and content, for which html is moved once at
+    every size: lists grow with the pages. Contents with many copies are few, and their lists are broadcast, so that no
+    task gathers the copies of a page."""
     small_batches(pages.sparkSession)
     rows = keyed(pages)
     seen, _ = settle(subtrees(rows), "subtrees")
@@ -376,7 +378,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     key = ["host", "content"]
     copies = rows.groupBy(*key).count()
     many = F.broadcast(settle(copies.where(F.col("count") > F.greatest(F.lit(COPIES), F.lit(rows.count() * COPIES_SHARE))).select(*key), "copies")[0])
-    light = rows.join(many, key, "left_anti").join(lists, key, "left")
+    light = rows.join(many, key, "left_anti").join(lists.hint("merge"), key, "left")
     heavy = rows.join(F.broadcast(many.join(lists, key, "left")), key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
