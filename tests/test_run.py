@@ -119,3 +119,11 @@ def test_horizons():
     assert run.horizon_until(date(2024, 12, 1)) == 30 and run.horizon_until(date(2024, 12, 31), "2025-01-31") == 31
     with pytest.raises(ValueError):
         run.horizon_until(date(2024, 12, 31))
+
+
+def test_a_run_names_who_takes_no_part(spark, tmp_path):
+    demand, pickup, capacity = facts(spark)
+    made = run.run(demand, pickup, capacity.withColumn("capacity", F.lit(140.0)), "2024-09-01", str(tmp_path / "run"), str(tmp_path / "registry.json"), horizon=30, now="2024-09-02", closed=("c",), holidays={"countries": ["US"]}, gate=False)
+    assert {r["property"]: r["reason"] for r in made.record["evaluation_coverage"]} == {"a": None, "b": None, "c": "closed"}
+    assert made.record["holidays"]["countries"] == ["US"] and {r.property for r in made.forecast.select("property").distinct().collect()} == {"a", "b"}
+    assert store.load_registry(spark, str(tmp_path / "registry.json"))[0]["evaluation_coverage"][2] == {"property": "c", "evaluated": False, "n_obs": 0, "reason": "closed"}

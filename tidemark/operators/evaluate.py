@@ -188,9 +188,15 @@ def without(df: DataFrame, properties: DataFrame) -> DataFrame:
     return df.join(properties.select("property").distinct(), "property", "left_anti")
 
 
-def evaluated(known: DataFrame, graded: DataFrame) -> DataFrame:
-    """property, evaluated: which of the known properties took part."""
-    return known.select("property").distinct().join(graded.select("property").distinct().withColumn("evaluated", lit(True)), "property", "left").na.fill(False, ["evaluated"])
+def evaluated(known: DataFrame, graded: DataFrame, closed: tuple[str, ...] = ()) -> DataFrame:
+    """property, evaluated, n_obs, reason (closed: left out by configuration, whether known or not; no_actuals: no graded row with
+    an actual; null: evaluated) of each property."""
+    shut = known.sparkSession.createDataFrame([(p,) for p in sorted(set(closed))], "property string")
+    every = known.select("property").where("property is not null").union(shut).distinct()
+    seen = graded.where("actual is not null").groupBy("property").agg(F.count("*").alias("n"))
+    is_shut = F.col("property").isin(*closed) if closed else lit(False)
+    made = every.join(seen, "property", "left").withColumn("n_obs", F.when(is_shut, 0).otherwise(F.coalesce("n", lit(0))).cast("long"))
+    return made.select("property", (F.col("n_obs") > 0).alias("evaluated"), "n_obs", F.when(is_shut, "closed").when(F.col("n_obs") == 0, "no_actuals").alias("reason"))
 
 
 def hit(p10: Column, p90: Column, actual: Column) -> Column:

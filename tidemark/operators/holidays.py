@@ -6,6 +6,7 @@ built on the driver from rules for a range of years: a few dozen rows a year, so
 from __future__ import annotations
 
 from datetime import date, timedelta
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
@@ -75,6 +76,43 @@ def with_events(days: DataFrame, events: DataFrame, width: int = WINDOW_DAYS) ->
     return portfolio.unionByName(own.select("date", "key", "distance", "property"))
 
 
+class Calendar(NamedTuple):
+    """days: date, name, key, seq of public holidays. dates: different days of holidays and of the portfolio's events. windows: as
+    `with_events` makes them."""
+
+    days: DataFrame
+    dates: DataFrame
+    windows: DataFrame
+    countries: tuple[str, ...]
+    width: int
+
+
+def from_config(facts: DataFrame, config: dict | None, events: DataFrame | None = None, date_col: str = "stay_date") -> Calendar | None:
+    """The calendar that a configuration asks for (countries, window_days), from the year before the facts' first day to that after
+    their last, which one job finds. None without countries; no days for facts without dates; an unknown country raises ValueError."""
+    config = config or {}
+    countries = tuple(config.get("countries") or ())
+    if not countries:
+        return None
+    if unknown := [c for c in countries if c not in FIXED]:
+        raise ValueError(f"no holidays are known for {', '.join(map(str, unknown))}")
+    width = int(config.get("window_days", WINDOW_DAYS))
+    first, last = facts.agg(F.year(F.min(date_col)), F.year(F.max(date_col))).first()
+    days = holidays(facts.sparkSession, range(0) if first is None else range(first - 1, last + 2), countries)
+    if events is None:
+        return Calendar(days, days.select("date").distinct(), windows(days, width).withColumn("property", F.lit(None).cast("string")), countries, width)
+    dates = days.select("date").union(events.where("property is null").select("event_date")).where("date is not null").distinct()
+    return Calendar(days, dates, with_events(days, events, width), countries, width)
+
+
+def describe(calendar: Calendar) -> DataFrame:
+    """countries, window_days, n_holiday_dates, n_dates (with events), n_window_days (of the portfolio), n_scoped_properties (with
+    events of their own), keys (sorted): one row."""
+    g = calendar.windows.agg(F.count_if(F.col("property").isNull()).alias("n_window_days"), F.count_distinct("property").alias("n_scoped_properties"), F.array_sort(F.collect_set("key")).alias("keys"))
+    counts = calendar.days.agg(F.count_distinct("date").alias("n_holiday_dates")).join(calendar.dates.agg(F.count("*").alias("n_dates"))).join(g)  # a row each
+    return counts.select(F.array(*[F.lit(c) for c in calendar.countries]).alias("countries"), F.lit(calendar.width).alias("window_days"), "n_holiday_dates", "n_dates", "n_window_days", "n_scoped_properties", "keys")
+
+
 def window_key(df: DataFrame, calendar: DataFrame, date_col: str = "stay_date") -> DataFrame:
     """df with holiday_key: the portfolio's window of the date, else the property's own, else null."""
     whole = calendar.where("property is null").select(F.col("date").alias(date_col), F.col("key").alias("_whole"))

@@ -8,6 +8,8 @@ from pyspark.sql.functions import lit
 from ..functions.metrics import error_metrics
 from ..functions.scalars import band_order, lead_band, ratio
 
+#: Share of actuals that intervals are meant to hold.
+NOMINAL = 0.8
 #: Columns of the four flat tables (fixed values).
 AREAS = {
     "forecast": ("property", "stay_date", "final_forecast_rn", "capacity", "actual_rn", "variance", "variance_pct"),
@@ -94,6 +96,22 @@ def compare_runs(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.withColumns({"wmape_change": F.col("wmape_b") - F.col("wmape_a"), "bias_change": F.abs("bias_b") - F.abs("bias_a"), "better": F.coalesce((F.col("wmape_b") <= F.col("wmape_a")) & (F.abs("bias_b") <= F.abs("bias_a")), lit(False))})
 
 
+def compare_coverage(a: DataFrame, b: DataFrame, nominal: float = NOMINAL) -> DataFrame:
+    """property, coverage_a, coverage_b, distance_change: how much farther from nominal the second run's coverage lies."""
+    both = a.select("property", F.col("coverage").alias("coverage_a")).join(b.select("property", F.col("coverage").alias("coverage_b")), "property", "full_outer")
+    return both.withColumn("distance_change", F.abs(F.col("coverage_b") - nominal) - F.abs(F.col("coverage_a") - nominal))
+
+
+def run_gates(compared: DataFrame, coverage: DataFrame, slack: float = 0.0) -> DataFrame:
+    """properties, improved, wmape_holds, bias_holds, coverage_holds, passes: one row over `compare_runs` and `compare_coverage`. A
+    criterion holds if no property is worse by more than slack; one that only one run has, or without a value, fails it. The
+    second run passes if all hold and a property improves by wmape. Without properties nothing passes."""
+    both = compared.join(coverage, "property", "full_outer")
+    holds = {f"{c}_holds": F.coalesce(F.bool_and(F.coalesce(F.col(of) <= slack, lit(False))), lit(False)) for c, of in (("wmape", "wmape_change"), ("bias", "bias_change"), ("coverage", "distance_change"))}
+    g = both.agg(F.count("*").alias("properties"), F.count_if(F.col("wmape_change") < 0).alias("improved"), *[v.alias(k) for k, v in holds.items()])
+    return g.withColumn("passes", F.col("wmape_holds") & F.col("bias_holds") & F.col("coverage_holds") & (F.col("improved") > 0))
+
+
 def html_page(title: str, tables: dict[str, DataFrame], rows: int = 200) -> str:
     """A plain page of tables (the first rows of each: a view, not data)."""
     from html import escape

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql.functions import lit
 
 from ..sources import store
-from ..sources.files import latest_record
+from ..sources.files import exclude_properties, latest_record
 from ..sources.tables import settle
-from . import asof, calibrate, candidates, evaluate, explain, features, leakage, monitor, publish, quality, replay, report, selection
+from . import asof, calibrate, candidates, evaluate, explain, features, holidays as calendars, leakage, monitor, publish, quality, replay, report, selection
 
 MODEL_VERSION, SEED = "tidemark-3", 42
 #: What an evaluation is made of: the run before, replayed, against what has come since.
@@ -70,13 +70,19 @@ def eda(demand: DataFrame, pickup: DataFrame, capacity: DataFrame) -> DataFrame:
 
 def run(
     demand: DataFrame, pickup: DataFrame, capacity: DataFrame, cutoff: str, run_dir: str, registry_path: str, mode: str = "futuro", horizon: int = 90, names: tuple[str, ...] = candidates.RELATIONAL,
-    n: int = 4, holidays: DataFrame | None = None, now: str | None = None, frequency: str = "monthly", min_history: int = 365, gate: bool = True,
+    n: int = 4, holidays: DataFrame | dict | None = None, closed: tuple[str, ...] = (), now: str | None = None, frequency: str = "monthly", min_history: int = 365, gate: bool = True,
 ) -> RunResult:
     """Check the sources, replay the run before, choose with the registry's memory, publish, monitor, and leave it all behind.
 
     The run of `horizon` days earlier is replayed beside this one: what it got wrong since is the evaluation, and corrects the level. The
     ten deliverables and the manifest appear in run_dir together or not at all; the registry gets its record after that.
-    Errors in the sources stop the run if the gate is on; leaks do not, they fail an acceptance check."""
+    Errors in the sources stop the run if the gate is on; leaks do not, they fail an acceptance check. holidays: a frame of days, or
+    a configuration (countries, window_days) from which the calendar is made. closed: properties that take no part; the
+    record says who was evaluated and why others weren't."""
+    if closed:
+        demand, pickup, capacity = (exclude_properties(df, list(closed)) for df in (demand, pickup, capacity))
+    calendar = calendars.from_config(demand, holidays) if isinstance(holidays, dict) else None
+    holidays = (calendar and calendar.days) if isinstance(holidays, dict) else holidays
     spark = demand.sparkSession
     now = now or f"{date.today()}"
     records = store.load_registry(spark, registry_path)
@@ -106,6 +112,7 @@ def run(
     coverage = evaluate.coverage(backtest)
     benchmark, test = model_benchmark(this)
     chosen = this.chosen.select("property", "model", "reason", "long_model").orderBy("property").collect()  # a row for each property
+    taken = evaluate.evaluated(demand, backtest, closed).orderBy("property").collect()  # a row for each property
     monitoring = monitor.monitoring_block(history, metrics, cutoff, now, SOURCE, previous, coverage, frequency, min_history)
     verdicts = breakdowns["by_property"].withColumns({"wmape_verdict": report.verdict(F.col("wmape"), 0.15, 0.30), "bias_verdict": report.verdict(F.col("bias"), 0.05, 0.10)})
     explained = explain.contributions(final.withColumn("base_value", lit(0.0)), ["current_booked_rn", "expected_pickup_rn"], {"current_booked_rn": 1.0, "expected_pickup_rn": 1.0})
@@ -134,6 +141,7 @@ def run(
     record = {
         "run_id": f"{mode}-{cutoff}-{now}", "mode": mode, "timestamp": now, "cutoff": cutoff, "run_dir": run_dir, "training_end": manifest["training_period"]["end"], "champion": test["model"], "metrics": metrics, "metrics_source": SOURCE,
         "model_by_property": {r["property"]: r["model"] for r in chosen}, "vintage": monitor.vintage_identity(first_day, mode), "checks": checks, "monitoring": monitoring,
+        "evaluation_coverage": [r.asDict() for r in taken], "holidays": calendars.describe(calendar).first().asDict() if calendar else None,
     }
     store.append_record(spark, registry_path, record)
     return RunResult(record, checks, paths, back["future_forecast_dataset"], monitoring)

@@ -224,19 +224,41 @@ def calendar_features(spark: SparkSession, d: str) -> DataFrame:
     return features.calendar_features(canon.demand(spark, d).select("property", "stay_date"), holidays=days)
 
 
-def _holiday_values() -> str:
-    return ", ".join(f"(DATE '{a}', '{n.replace(chr(39), chr(39) * 2)}', {k})" for a, n, k in holidays.holiday_rows(range(1995, 2002)))
-
-
-NAMED = f"""named AS (SELECT d, strip_accents(lower(n)) AS n, k FROM (VALUES {_holiday_values()}) t(d, n, k)),
+def _named(years: range, countries: tuple[str, ...] = ("CR", "US")) -> str:
+    values = ", ".join(f"(DATE '{a}', '{n.replace(chr(39), chr(39) * 2)}', {k})" for a, n, k in holidays.holiday_rows(years, countries))
+    return f"""named AS (SELECT d, strip_accents(lower(n)) AS n, k FROM (VALUES {values}) t(d, n, k)),
 keyed AS (SELECT d, k, CASE WHEN n LIKE '%santo%' OR n LIKE '%easter%' THEN 'semana_santa' WHEN n LIKE '%navidad%' OR n LIKE '%christmas%' OR n LIKE '%ano nuevo%' OR n LIKE '%new year%' THEN 'fin_de_ano'
   WHEN n LIKE '%thanksgiving%' THEN 'thanksgiving' WHEN n LIKE '%memorial%' THEN 'memorial_day' WHEN n LIKE '%labor day%' THEN 'labor_day_us' WHEN n LIKE '%independence day%' OR n LIKE '%julio%' THEN 'independencia_us'
   WHEN n LIKE '%independencia%' THEN 'independencia_cr' WHEN n LIKE '%anexion%' THEN 'anexion' WHEN n LIKE '%madre%' OR n LIKE '%mother%' THEN 'dia_de_la_madre' ELSE trim(regexp_replace(n, '[^a-z0-9]+', '_', 'g'), '_') END AS key FROM named)"""
 
 
-@query("WITH " + NAMED + " SELECT CAST(d + CAST(o AS INTEGER) AS DATE) AS date, arg_min(key, abs(o) * 100000 + k) AS key, CAST(MIN(abs(o)) AS INTEGER) AS distance FROM keyed, generate_series(-4, 4) t(o) GROUP BY 1")
+NAMED = _named(range(1995, 2002))
+#: Holidays of the years around the facts, of all that could be.
+_AROUND = "years AS (SELECT year(MIN(stay_date)) - 1 AS a, year(MAX(stay_date)) + 1 AS z FROM demand), around AS (SELECT keyed.* FROM keyed, years WHERE year(d) BETWEEN a AND z)"
+
+
+@query(with_(DEMAND, _named(range(1980, 2021)), _AROUND) + " SELECT CAST(d + CAST(o AS INTEGER) AS DATE) AS date, arg_min(key, abs(o) * 100000 + k) AS key, CAST(MIN(abs(o)) AS INTEGER) AS distance FROM around, generate_series(-4, 4) t(o) GROUP BY 1")
 def holiday_windows(spark: SparkSession, d: str) -> DataFrame:
-    return holidays.windows(holidays.holidays(spark, range(1995, 2002)))
+    """Windows of the years that the facts cover, and one on either side."""
+    return holidays.from_config(canon.demand(spark, d), {"countries": ("CR", "US")}).windows.drop("property")
+
+
+@query(
+    with_(DEMAND, _named(range(1980, 2021), ("US", "CR")), _AROUND)
+    + """, w AS (SELECT CAST(d + CAST(o AS INTEGER) AS DATE) AS date, arg_min(key, abs(o) * 100000 + r * 10000 + k) AS key FROM (SELECT d, k, key, 0 AS r FROM around UNION ALL SELECT DATE '2000-03-10', 0, 'surf_final', 1), generate_series(-3, 3) t(o) GROUP BY 1)
+SELECT 'US,CR' AS countries, 3 AS window_days, (SELECT COUNT(DISTINCT d) FROM around) AS n_holiday_dates, (SELECT COUNT(DISTINCT d) FROM (SELECT d FROM around UNION ALL SELECT DATE '2000-03-10')) AS n_dates,
+  (SELECT COUNT(*) FROM w) AS n_window_days, 1 AS n_scoped_properties, (SELECT string_agg(key, ',' ORDER BY key) FROM (SELECT key FROM w UNION SELECT 'congress')) AS keys"""
+)
+def holiday_calendar(spark: SparkSession, d: str) -> DataFrame:
+    """What the calendar of a configuration holds, for the years of the facts and with events."""
+    made = holidays.from_config(canon.demand(spark, d), {"countries": ["US", "CR"], "window_days": 3}, _events(spark))
+    return holidays.describe(made).withColumns({c: F.array_join(c, ",") for c in ("countries", "keys")})
+
+
+def _events(spark: SparkSession) -> DataFrame:
+    import datetime
+
+    return spark.createDataFrame([("Surf final", datetime.date(2000, 3, 10), None), ("Congress", datetime.date(2000, 10, 25), "ASIA")], "event_name string, event_date date, property string")
 
 
 @query(with_(DEMAND, NAMED) + "SELECT stay_date, CAST(MIN(abs(d - stay_date)) AS INTEGER) AS days_to_holiday FROM (SELECT DISTINCT stay_date FROM demand), (SELECT DISTINCT d FROM keyed) GROUP BY 1")
@@ -251,10 +273,7 @@ own AS (SELECT 'ASIA' AS property, CAST(DATE '2000-10-25' + CAST(o AS INTEGER) A
 SELECT property, stay_date, COALESCE(w.key, own.key) AS holiday_key FROM demand LEFT JOIN w USING (stay_date) LEFT JOIN own USING (property, stay_date)"""
 )
 def holiday_keys_with_events(spark: SparkSession, d: str) -> DataFrame:
-    import datetime
-
-    events = spark.createDataFrame([("Surf final", datetime.date(2000, 3, 10), None), ("Congress", datetime.date(2000, 10, 25), "ASIA")], "event_name string, event_date date, property string")
-    calendar = holidays.with_events(holidays.holidays(spark, range(1995, 2002)), events)
+    calendar = holidays.with_events(holidays.holidays(spark, range(1995, 2002)), _events(spark))
     return holidays.window_key(canon.demand(spark, d).select("property", "stay_date"), calendar)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql.functions import lit
 
 from ..functions.scalars import lead_band
 from ..operators import evaluate, explain, report
-from .forecasts import _GRADED, _M, _PUB, graded, kept, published, rounded
+from .forecasts import _BANDS, _GRADED, _M, _PUB, banded, graded, kept, published, rounded
 from .registry import query
 from .sql import band
 
@@ -72,6 +72,31 @@ def compare_runs(spark: SparkSession, d: str) -> DataFrame:
     return rounded(report.compare_runs(evaluate.by(rows, "property", forecast="raw_forecast_rn"), evaluate.by(rows, "property")))
 
 
+_HALVES = """x AS (SELECT property, stay_date >= DATE '2001-08-15' AS later, SUM(abs(final - actual)) / nullif(SUM(abs(actual)), 0) AS w, SUM(final - actual) / nullif(SUM(abs(actual)), 0) AS b, AVG(CAST(actual BETWEEN p10 AND p90 AS DOUBLE)) FILTER (WHERE p10 IS NOT NULL) AS c FROM bands GROUP BY ALL),
+y AS (SELECT COALESCE(p.property, q.property) AS property, p.c AS ca, q.c AS cb, q.w - p.w AS dw, abs(q.b) - abs(p.b) AS db, abs(q.c - 0.8) - abs(p.c - 0.8) AS dc FROM (SELECT * FROM x WHERE NOT later) p FULL JOIN (SELECT * FROM x WHERE later) q ON p.property = q.property)"""
+
+
+def _halves(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows = banded(spark, d)
+    return rows.where("stay_date < '2001-08-15'"), rows.where("stay_date >= '2001-08-15'")
+
+
+def _coverage(spark: SparkSession, d: str) -> DataFrame:
+    return report.compare_coverage(*[evaluate.coverage(x).where("level = 'property'") for x in _halves(spark, d)])
+
+
+@query(_BANDS.rstrip() + ", " + _HALVES + " SELECT property, round(ca, 6) AS coverage_a, round(cb, 6) AS coverage_b, round(dc, 6) AS distance_change FROM y")
+def compare_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Coverage of near stays against that of far ones."""
+    return rounded(_coverage(spark, d))
+
+
+@query(_BANDS.rstrip() + ", " + _HALVES + " SELECT COUNT(*) AS properties, COUNT(*) FILTER (WHERE dw < 0) AS improved, bool_and(COALESCE(dw <= 0.02, FALSE)) AS wmape_holds, bool_and(COALESCE(db <= 0.02, FALSE)) AS bias_holds, bool_and(COALESCE(dc <= 0.02, FALSE)) AS coverage_holds, bool_and(COALESCE(greatest(dw, db, dc) <= 0.02, FALSE)) AND COUNT(*) FILTER (WHERE dw < 0) > 0 AS passes FROM y")
+def run_gates(spark: SparkSession, d: str) -> DataFrame:
+    """Whether far stays do as well as near ones by each criterion, for all properties."""
+    return report.run_gates(report.compare_runs(*[evaluate.by(x, "property") for x in _halves(spark, d)]), _coverage(spark, d), 0.02)
+
+
 IMPORTANCE = {"current_booked_rn": 0.5, "lead_days": 0.1, "capacity": 0.2}
 _EXPLAINED = """ex0 AS (SELECT property, stay_date, final, CASE WHEN raw > final THEN final - raw ELSE 0 END AS cut, COALESCE(booked, 0) * 0.5 AS c1, lead_days * 0.1 AS c2, capacity * 0.2 AS c3 FROM pub),
 ex1 AS (SELECT *, final - 50 - cut AS goal, c1 + c2 + c3 AS s FROM ex0),
