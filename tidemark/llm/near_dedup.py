@@ -1,18 +1,23 @@
 """Near-duplicate removal: SimHash fingerprints searched through vantage-point partitions.
 
 Plan. Equal fingerprints collapse first (a partial aggregation, so a text copied into a third
-of all rows is one row afterwards). The bits are cut into radius + agree blocks, of which two fingerprints
-within `radius` bits agree on `agree` at least; each choice of so many blocks is a vantage-point
-partition of its own. Its vantage points are zero and the blocks' unit words: by the triangle bound
-|d(x,v) - d(y,v)| <= d(x,y) = 0 partners have all distances in common, and the list of these
-distances says no more and no less than the blocks' bits, which are therefore the shard's name. `agree`
-follows the number of fingerprints, so that a shard of unrelated ones stays small at any size.
-A shard of more than `piece_rows` fingerprints is cut again by the distance of the whole
-fingerprint to a vantage point of its own: rings of radius + 1 distances, where a fingerprint
-near a ring's lower edge also queries the ring below. A ring that is still too large is dealt over pairs
-of salts, so no piece holds more than about two times piece_rows, and every pair meets in one.
-Inside a large piece a vantage-point tree prunes branches by the same bound; every surviving pair is
-compared exactly. Pieces return a spanning forest instead of all pairs, so a dense group costs rows
+of all rows is one row afterwards). Vantage points are fingerprints of the table itself. Each
+fingerprint's distances to them, held against their medians, name the shard in which it can be found (the
+index side). By the triangle bound |d(x,v) - d(y,v)| <= d(x,y) it asks its own shard and those across every
+median that it lies within `radius` of (the query side); of two shards only the one of the greater number asks.
+A shard of more than `piece_rows` fingerprints is cut again by the distance to a vantage point of its
+own: rings of radius + 1 distances, where a fingerprint near a ring's lower edge is also in the
+ring below. A ring that is still too large is dealt over pairs of salts, so every pair meets in a piece of
+bounded size. Inside a large piece a vantage-point tree goes on by medians and the same bound; every surviving
+pair is compared exactly.
+
+Distances of unrelated fingerprints lie within a few bits of their mean, so each vantage point spares only a
+part of the pairs. Tables of more than SHARD_ROWS << MIN_WIDTH - 1 fingerprints are therefore filtered first: of radius + agree
+blocks of bits two partners agree on `agree` at least, so the partition is built for each value of the first bits
+of each choice of blocks, as many of them as leave about SHARD_ROWS unrelated fingerprints to each. Work for a
+fingerprint doesn't grow with the table then.
+
+Pieces return a spanning forest instead of all pairs, so a dense group costs rows
 in proportion to its members. Components are then joined across pieces with alternating large-star
 and small-star rounds, each written to the shared folder.
 """
@@ -33,8 +38,12 @@ from .simhash import fingerprint64
 LEAF = 1 << 16
 #: A node is split while its two sides keep less than this share of the queries, on average.
 PRUNED = 0.9
-#: Fingerprints that a shard of unrelated ones holds on average, at most.
-SHARD_ROWS = 500
+#: Fingerprints that one value of the filter leaves to a vantage-point partition on average, at most, if they are unrelated.
+SHARD_ROWS = 4096
+#: Bits of a block from which the filter spares more than its tables cost.
+MIN_WIDTH = 3
+#: Vantage points whose distances name a shard.
+POINTS = 3
 #: Pieces up to this many rows are compared side by side, without a tree.
 SMALL = 64
 #: Nodes with more links than this, and than this share of all links, have their rows dealt over so many tasks: 200,000 of them at most.
@@ -126,36 +135,64 @@ def neighbour_links(fps: np.ndarray, piece: np.ndarray, radius: int) -> tuple[np
     return (np.concatenate(u), np.concatenate(v)) if u else (fps[:0], fps[:0])
 
 
-def pieces(nodes: DataFrame, radius: int, piece_rows: int, agree: int) -> DataFrame:
-    """shard, band, a, b, index, query, fp: the pieces in which the distinct fingerprints (nodes.fp) are compared."""
+def vantage(nodes: DataFrame, count: int = POINTS) -> tuple[list[tuple[int, int]], int]:
+    """(vantage point, median of all distances to it), and the number of nodes. The points are fingerprints of the table,
+    those of the least hashes; two jobs, of which the driver gets `count` numbers each."""
+    points = [r.fp for r in nodes.orderBy(F.xxhash64("fp"), "fp").limit(count).collect()]
+    far = [F.percentile_approx(F.bit_count(F.col("fp").bitwiseXOR(F.lit(p))), 0.5, 1000) for p in points]
+    n, *medians = nodes.agg(F.count("*"), *far).first()
+    return list(zip(points, medians)), n
+
+
+def filter_width(n: int, radius: int) -> tuple[int, int]:
+    """(blocks that must agree, first bits of each that are looked at) for about SHARD_ROWS of n unrelated fingerprints; (0, 0) for small tables."""
+    wanted = max(0, (max(n, 1) - 1) // SHARD_ROWS).bit_length()
+    if wanted < MIN_WIDTH:
+        return 0, 0
+    agree = next((k for k in range(1, 4) if k * (64 // (radius + k)) >= wanted), 4)
+    return agree, min(-(-wanted // agree), 64 // (radius + agree))
+
+
+def shards(nodes: DataFrame, radius: int, agree: int, width: int, points: list[tuple[int, int]]) -> DataFrame:
+    """shard, index, fp: each fingerprint in its own shard (index), and in those that it must ask as well."""
     blocks = radius + agree
-    cuts = [round(64 * b / blocks) for b in range(blocks + 1)]
-    mask = lambda t: sum(((1 << (cuts[b + 1] - cuts[b])) - 1) << cuts[b] for b in t)
+    begins = [round(64 * b / blocks) for b in range(blocks)]
+    mask = lambda t: sum(((1 << width) - 1) << begins[b] for b in t)
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     tables = [F.xxhash64(F.lit(n), F.col("fp").bitwiseAND(F.lit(signed(mask(t))))) for n, t in enumerate(combinations(range(blocks), agree))]
-    spread = nodes.select("fp", F.explode(F.array(*tables)).alias("shard"))
+    far = [F.bit_count(F.col("fp").bitwiseXOR(F.lit(p))) - F.lit(m) for p, m in points]  # above zero: the outer side
+    own = sum((F.when(d > 0, F.lit(1 << k)).otherwise(0) for k, d in enumerate(far)), F.lit(0))
+    near = sum((F.when((d <= radius) & (d > -radius), F.lit(1 << k)).otherwise(0) for k, d in enumerate(far)), F.lit(0))
+    asked = F.filter(F.sequence(F.lit(0), F.lit((1 << len(points)) - 1)), lambda c: (c <= F.col("own")) & (c.bitwiseXOR(F.col("own")).bitwiseAND(F.bitwise_not(F.col("near"))) == 0))
+    placed = nodes.select("fp", own.alias("own"), near.alias("near")).select("fp", "own", F.explode(asked).alias("cell"))
+    return placed.select("fp", "own", "cell", F.explode(F.array(*tables)).alias("value")).select(F.xxhash64("value", "cell").alias("shard"), (F.col("cell") == F.col("own")).alias("index"), "fp")
+
+
+def pieces(nodes: DataFrame, radius: int, piece_rows: int, agree: int | None = None) -> DataFrame:
+    """shard, band, a, b, index, query, fp: the pieces in which the distinct fingerprints (nodes.fp) are compared,
+    those of the index with those of the query. agree sets the filter's blocks, compared whole (0: no filter)."""
+    points, n = vantage(nodes)
+    agree, bits = filter_width(n, radius) if agree is None else (agree, 64 // (radius + agree))
+    spread = shards(nodes, radius, agree, bits, points)
     crowded = spread.groupBy("shard").agg(F.count("*").alias("rows"), F.min("fp").alias("point")).where(F.col("rows") > piece_rows)
     ring, width = F.bit_count(F.col("fp").bitwiseXOR(F.col("point"))), radius + 1
     band = F.floor(ring / width).cast("int")
     bands = F.when(F.col("point").isNull(), F.array(F.lit(-1))).when((band > 0) & (ring - band * width < radius), F.array(band, band - 1)).otherwise(F.array(band))
-    cut = spread.join(crowded, "shard", "left").select("shard", "fp", F.explode(bands).alias("band"))
+    cut = spread.join(crowded, "shard", "left").select("shard", "index", "fp", F.explode(bands).alias("band"))
     sizes = cut.groupBy("shard", "band").count().where(F.col("count") > piece_rows)
     salts = F.coalesce(F.ceil(F.col("count") / piece_rows), F.lit(1)).cast("int")
     dealt = cut.join(sizes, ["shard", "band"], "left").withColumn("salts", salts).withColumn("salt", F.pmod(F.xxhash64("fp"), F.col("salts")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("salts") - 1), lambda j: F.struct(F.least("salt", j).alias("a"), F.greatest("salt", j).alias("b")))
-    return dealt.select("shard", "band", "fp", "salt", F.explode(pairs).alias("p")).select("shard", "band", "p.a", "p.b", (F.col("salt") == F.col("p.a")).alias("index"), (F.col("salt") == F.col("p.b")).alias("query"), "fp")
-
-
-def blocks_that_agree(n: int, radius: int) -> int:
-    """How many of radius + agree blocks must agree for shards of about SHARD_ROWS of n unrelated fingerprints."""
-    return next((k for k in range(1, 5) if n / SHARD_ROWS <= 2.0 ** (64 * k // (radius + k))), 4)
+    every = F.sequence(F.lit(0), F.col("salts") - 1)
+    found = F.transform(F.when(F.col("index"), every).otherwise(F.array("salt")), lambda j: F.struct(F.col("salt").alias("a"), j.alias("b"), F.col("index").alias("index"), (j == F.col("salt")).alias("query")))
+    asks = F.transform(F.filter(every, lambda j: j != F.col("salt")), lambda j: F.struct(j.alias("a"), F.col("salt").alias("b"), F.lit(False).alias("index"), F.lit(True).alias("query")))
+    return dealt.select("shard", "band", "fp", F.explode(F.concat(found, asks)).alias("p")).select("shard", "band", "p.*", "fp")
 
 
 def links(nodes: DataFrame, radius: int = 4, piece_rows: int = 20_000, agree: int | None = None) -> DataFrame:
     """u, v: links that connect all distinct fingerprints (nodes.fp) exactly as all pairs within
-    radius bits would. An empty frame gives none."""
+    radius bits would. An empty frame gives none. Two jobs choose the vantage points."""
     spark = nodes.sparkSession
-    found = pieces(nodes, radius, piece_rows, agree or blocks_that_agree(nodes.count(), radius))
+    found = pieces(nodes, radius, piece_rows, agree)
     key = ["shard", "band", "a", "b"]
     dealt = found.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *key).sortWithinPartitions(*key)
     kind = np.dtype([("shard", np.int64), ("band", np.int32), ("a", np.int32), ("b", np.int32), ("index", bool), ("query", bool), ("fp", np.int64)])
