@@ -132,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: DuckDB's statement of what SQL can express. Turns, digests and lengths of op5 follow from the table and the
 #: template alone; the other operators need hashes, models, alignments or vocabularies that it lacks.
 ORACLE: dict[str, str] = {
+    "op4_sharding": statements.SHARDING,
     "op5_chat_formatting": r"""WITH rows_ AS (
   SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),

@@ -1,13 +1,12 @@
 """Balanced contiguous shards by global byte-size prefix sums. DataFrame functions only.
 
-The order of rows is by the hash of their text, so equal texts lie together and are cut nowhere. Totals of bytes and
-rows are taken for each different text, their prefix sums inside each of `2 ** RANGE_BITS` ranges of
-the hash, and those of the ranges over one small table. Texts whose copies fill more than LARGE of a shard are
-so few that the driver lays them out, one after another into the emptiest shard; each begins its shard. The others
-fill what is left of each shard, cut at the targets by their offset in the whole. Only a text
-whose copies exceed a whole shard is cut. Rows of one text are numbered within
-salted parts whose counts are summed the same way, so a text that fills a third of the table is
-numbered by many tasks.
+Rows are ordered by the MD5 of their text, that of their doc_id, and doc_id itself, so equal texts lie together. Bytes and
+rows are counted for each text and salt, their prefix sums taken inside each of 16 ** RANGE_DIGITS ranges of
+the hash, and those of the ranges over one small table. The sums alone decide: a text lies in the shard in which the middle
+of all its copies falls, so each cut at an equal target goes to the nearest edge of a text, and a shard is off its target by
+no more than the bytes of the largest text's copies. Only a text whose copies exceed a whole shard is cut, between rows. Rows of
+one text are numbered within salts of their doc_id whose counts are summed the same way, so a text that fills
+a third of the table is numbered by many tasks.
 """
 
 from __future__ import annotations
@@ -17,91 +16,52 @@ from pyspark.sql.functions import lit
 
 from .common import settle
 
-#: Ranges of the hash: 2 ** RANGE_BITS rows is what the single-task prefix sum sees, whatever the input.
-RANGE_BITS = 12
-SALTS = 64
-#: A text whose copies take more than this share of a shard is laid out by itself: count / LARGE texts at most.
-LARGE = 0.01
+#: Leading hexadecimal digits of the hash that name a range: 16 ** RANGE_DIGITS rows at most are summed by one task, whatever the input.
+RANGE_DIGITS = 3
+#: Salts of rows without an id, after the 256 of ids.
+NULL_SALTS = 64
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, size (UTF-8 bytes of the text plus 1; null counts as none), text_crc32."""
+    """doc_id, size (UTF-8 bytes of the text plus 1; null counts as none), text_crc32, key (MD5 of the text), id_key (of the
+    decimal doc_id), salt (its first two digits as a number; any of NULL_SALTS further ones without an id)."""
     text = F.encode(F.coalesce(F.col("text").cast("string"), lit("")), "utf-8")
-    return docs.select(
-        F.col("doc_id").cast("long"),
-        (F.octet_length(text).cast("long") + 1).alias("size"),
-        F.crc32(text).alias("text_crc32"),
-        F.xxhash64(text).alias("key"),
-    )
-
-
-def levels(fixed: list[int], rest: int) -> list[float]:
-    """How much of `rest` each shard takes beside what it holds, so that all are filled to one level as far as can be."""
-    order, out = sorted(range(len(fixed)), key=lambda k: fixed[k]), [0.0] * len(fixed)
-    for n in range(len(order), 0, -1):
-        level = (rest + sum(fixed[k] for k in order[:n])) / n
-        if level >= fixed[order[n - 1]]:
-            for k in order[:n]:
-                out[k] = level - fixed[k]
-            break
-    return out
-
-
-def layout(large: list, count: int, total: int) -> tuple[list[tuple], list[float], list[int]]:
-    """(key, text_crc32, size, shard, first row in it) of the large texts, each into the emptiest shard, the largest
-    first; the offset in the other texts at which each shard ends; and the rows of large texts in each shard."""
-    fixed, rows, placed = [0] * count, [0] * count, []
-    for r in sorted(large, key=lambda r: (-r["n"] * r["size"], r["key"], r["text_crc32"])):
-        k = min(range(count), key=lambda k: (fixed[k], k))
-        placed.append((r["key"], r["text_crc32"], r["size"], k, rows[k]))
-        fixed[k] += r["n"] * r["size"]
-        rows[k] += r["n"]
-    ends, at = [], 0.0
-    for take in levels(fixed, total - sum(fixed)):
-        at += take
-        ends.append(at)
-    return placed, ends, rows
+    rows = docs.select(F.col("doc_id").cast("long"), (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text).alias("text_crc32"), F.md5(text).alias("key"))
+    rows = rows.withColumn("id_key", F.md5(F.col("doc_id").cast("string")))
+    any_null = lit(256) + F.monotonically_increasing_id() % NULL_SALTS
+    return rows.withColumn("salt", F.coalesce(F.conv(F.substring("id_key", 1, 2), 16, 10).cast("int"), any_null.cast("int")))
 
 
 def shards(docs: DataFrame, count: int = 16) -> DataFrame:
     """doc_id, size, text_crc32, law ('bytes'), shard (0 to count - 1), slot (gapless from 0 in each
     shard), grown_shard (null: this law keeps no row in place when shards are added). One row per row of docs,
-    repeated rows and null ids included; an empty table gives none. Rows of one text share a shard
-    unless they are more than a whole one. Columns of docs other than doc_id and text aren't read."""
-    spark = docs.sparkSession
-    same = ["key", "text_crc32", "size"]
-    salt = F.pmod(F.xxhash64("doc_id", F.spark_partition_id(), F.monotonically_increasing_id() % 8), lit(SALTS)).cast("int")
-    rows, _ = settle(sized(docs).withColumn("salt", salt), "sizes")
-    parts, _ = settle(rows.groupBy(*same, "salt").agg(F.count("*").alias("n")), "parts")
-    texts = parts.groupBy(*same).agg(F.sum("n").alias("n")).withColumn("bytes", F.col("n") * F.col("size"))
-    total = texts.agg(F.coalesce(F.sum("bytes"), lit(0))).first()[0]
-    target = total / count
-    large = F.col("bytes").between(LARGE * target, target)
-    placed, ends, first = layout(texts.where(large).collect(), count, total)  # count / LARGE texts at most
-
-    other = texts.where(~large).withColumn("range", F.shiftrightunsigned("key", 64 - RANGE_BITS).cast("int"))
-    totals = other.groupBy("range").agg(F.sum("bytes").alias("b"), F.sum("n").alias("r"))
-    before = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)  # 2 ** RANGE_BITS rows at most
-    begun = totals.select("range", F.coalesce(F.sum("b").over(before), lit(0)).alias("range_bytes"), F.coalesce(F.sum("r").over(before), lit(0)).alias("range_rows"))
-    inside = W.partitionBy("range").orderBy(*same).rowsBetween(W.unboundedPreceding, -1)
-    begins = other.join(F.broadcast(begun), "range").select(
-        *same, "bytes",
+    repeated rows and null ids (last among the rows of a text) included; an empty table gives none. Rows of one text share a shard
+    unless they are more than a whole one. Columns of docs other than doc_id and text aren't read. Twice the bytes times
+    count must stay below 2 ** 63."""
+    rows, _ = settle(sized(docs), "sizes")
+    parts = rows.groupBy("key", "salt").agg(F.count("*").alias("n"), F.first("size").alias("size"))
+    texts = parts.groupBy("key").agg(F.sum("n").alias("n"), F.first("size").alias("size"))
+    texts = texts.select("key", "n", (F.col("n") * F.col("size")).alias("bytes"), F.substring("key", 1, RANGE_DIGITS).alias("range"))
+    before = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)  # 16 ** RANGE_DIGITS rows at most
+    totals = texts.groupBy("range").agg(F.sum("bytes").alias("b"), F.sum("n").alias("r"))
+    begun = totals.select(
+        "range", F.coalesce(F.sum("b").over(before), lit(0)).alias("range_bytes"), F.coalesce(F.sum("r").over(before), lit(0)).alias("range_rows"),
+        F.sum("b").over(before.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("total"),
+    )
+    inside = W.partitionBy("range").orderBy("key").rowsBetween(W.unboundedPreceding, -1)
+    begins = texts.join(F.broadcast(begun), "range").select(
+        "key", "bytes", "total",
         (F.col("range_bytes") + F.coalesce(F.sum("bytes").over(inside), lit(0))).alias("text_bytes"),
-        (F.col("range_rows") + F.coalesce(F.sum("n").over(inside), lit(0))).alias("text_row"), lit(None).cast("int").alias("own_shard"),
+        (F.col("range_rows") + F.coalesce(F.sum("n").over(inside), lit(0))).alias("text_row"),
     )
-    fixed = spark.createDataFrame(placed, "key long, text_crc32 long, size long, own_shard int, text_row long").select(*same, lit(0).alias("bytes"), lit(0).alias("text_bytes"), "text_row", "own_shard")
-    by_salt = W.partitionBy(*same).orderBy("salt").rowsBetween(W.unboundedPreceding, -1)  # SALTS rows at most
-    offsets = parts.withColumn("part_rows", F.coalesce(F.sum("n").over(by_salt), lit(0))).join(begins.unionByName(fixed), same)
-    numbered = rows.withColumn("nth", F.row_number().over(W.partitionBy(*same, "salt").orderBy("doc_id")) - 1)
+    by_salt = W.partitionBy("key").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)  # 256 + NULL_SALTS rows at most
+    offsets = parts.select("key", "salt", F.coalesce(F.sum("n").over(by_salt), lit(0)).alias("part_rows")).join(begins, "key")
+    numbered = rows.withColumn("nth", F.row_number().over(W.partitionBy("key", "salt").orderBy("id_key", "doc_id")) - 1)
     index = F.col("part_rows") + F.col("nth")
-    # The middle of what must stay together decides, so cuts fall on the nearest edge.
-    at = F.when(F.col("bytes") <= target, F.col("text_bytes") + F.col("bytes") / 2).otherwise(F.col("text_bytes") + (index + 0.5) * F.col("size"))
-    passed = sum((F.when(at >= e, 1).otherwise(0) for e in ends[:-1]), lit(0))
-    # a shard that large texts fill takes nothing more: its end is that of the one before
-    out, _ = settle(
-        numbered.join(offsets.drop("n"), [*same, "salt"]).select("doc_id", "size", "text_crc32", F.coalesce("own_shard", passed).cast("int").alias("shard"), F.col("own_shard").isNotNull().alias("large"), (F.col("text_row") + index).alias("row")), "shards"
-    )
-    starts = out.where("not large").groupBy("shard").agg(F.min("row").alias("first_row"))  # count rows
-    held = spark.createDataFrame(list(enumerate(first)), "shard int, held long")
-    slot = F.when(F.col("large"), F.col("row")).otherwise(F.col("row") - F.col("first_row") + F.col("held"))
-    return out.join(F.broadcast(held), "shard").join(F.broadcast(starts), "shard", "left").select("doc_id", "size", "text_crc32", lit("bytes").alias("law"), "shard", slot.alias("slot"), lit(None).cast("int").alias("grown_shard"))
+    # twice the middle of what must stay together: all copies of a text, or one row of a text larger than a shard
+    whole = F.col("bytes") * count <= F.col("total")
+    twice = 2 * F.col("text_bytes") + F.when(whole, F.col("bytes")).otherwise((2 * index + 1) * F.col("size"))
+    placed = numbered.join(offsets, ["key", "salt"]).select("doc_id", "size", "text_crc32", (twice * count).alias("twice"), (2 * F.col("total")).alias("double_total"), (F.col("text_row") + index).alias("row"))
+    out, _ = settle(placed.select("doc_id", "size", "text_crc32", F.expr("int(twice div double_total)").alias("shard"), "row"), "shards")
+    starts = out.groupBy("shard").agg(F.min("row").alias("first_row"))  # count rows
+    return out.join(F.broadcast(starts), "shard").select("doc_id", "size", "text_crc32", lit("bytes").alias("law"), "shard", (F.col("row") - F.col("first_row")).alias("slot"), lit(None).cast("int").alias("grown_shard"))

@@ -1,4 +1,4 @@
-"""DuckDB statements of the manifest, the quality rules and the divergence audit."""
+"""DuckDB statements of the shards, the manifest, the quality rules and the divergence audit."""
 
 from __future__ import annotations
 
@@ -68,3 +68,27 @@ terms AS (SELECT lang, source, term AS item, (p - lang_p) * (p - lang_p) // lang
 ranked AS (SELECT *, 'pair' AS part, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM every_pair
   UNION ALL SELECT *, 'term', row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM terms)
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
+
+def _crc_step(x: int) -> int:
+    """What the low byte x adds to the rest of a CRC-32 register."""
+    for _ in range(8):
+        x = x >> 1 ^ (3988292384 if x & 1 else 0)
+    return x
+
+
+#: A register's low byte is the exclusive or of its bits' steps, as the step is linear.
+_LOW = "0::BIGINT"
+for _k in range(8):
+    _LOW = f"xor({_LOW}, ((xor(c, b) >> {_k}) & 1) * {_crc_step(1 << _k)})"
+_TEXT_CRC = f"""xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+    lambda c, b: xor(c >> 8, {_LOW})))"""
+
+SHARDING = f"""WITH d AS (SELECT CAST(doc_id AS BIGINT) AS doc_id, COALESCE(text, '') AS text FROM documents),
+r AS (SELECT doc_id, strlen(text) + 1 AS size, {_TEXT_CRC} AS text_crc32, md5(text) AS key FROM d),
+t AS (SELECT key, COUNT(*) * ANY_VALUE(size) AS bytes FROM r GROUP BY key),
+p AS (SELECT key, bytes, CAST(SUM(bytes) OVER (ORDER BY key) AS BIGINT) - bytes AS begins, CAST(SUM(bytes) OVER () AS BIGINT) AS total FROM t),
+n AS (SELECT r.*, bytes, begins, total, row_number() OVER w AS overall, row_number() OVER (PARTITION BY key ORDER BY md5(CAST(doc_id AS VARCHAR)) NULLS LAST, doc_id) - 1 AS i
+  FROM r JOIN p USING (key) WINDOW w AS (ORDER BY key, md5(CAST(doc_id AS VARCHAR)) NULLS LAST, doc_id)),
+s AS (SELECT *, CAST(((2 * begins + CASE WHEN bytes * 16 <= total THEN bytes ELSE (2 * i + 1) * size END) * 16) // (2 * total) AS INTEGER) AS shard FROM n)
+SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY overall) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s"""
