@@ -3,6 +3,9 @@ ranges before it come to is carried over one row for each group and range."""
 
 from __future__ import annotations
 
+from math import inf, isfinite
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql.functions import lit
 
@@ -13,13 +16,18 @@ def in_ranges(df: DataFrame, order: str, ranges: int | None = None, like: DataFr
     """df with RANGE, ascending with a numeric, date or time column: about as many rows in each of the `ranges` (as many as there are
     shuffle partitions if none are given). Bounds come from a sketch of the column, so only they reach the driver; equal
     values share a range. Nulls are in the first. like: a frame with the column and
-    no more to read, to take the bounds from."""
+    no more to read, to take the bounds from.
+
+    No lambda counts the bounds: Spark numbers a lambda's variables from 0 when it compares expressions, and takes a column of
+    that number, as the first table that a session reads has, for one of them; a union above then fails (key not found)."""
     n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     numeric = F.col(order).cast("double") if dict(df.dtypes)[order] not in ("date", "timestamp", "timestamp_ntz") else F.col(order).cast("timestamp").cast("double")
     bounds = (like or df).agg(F.percentile_approx(numeric, [k / n for k in range(1, n)] or [0.5])).first()[0] or []
+    bounds = sorted({b for b in bounds if isfinite(b)})
     if not bounds:
         return df.withColumn(RANGE, lit(0))
-    return df.withColumn(RANGE, F.size(F.filter(F.array(*map(lit, sorted(set(bounds)))), lambda x: x <= F.coalesce(numeric, lit(float("-inf"))))))
+    cut = Bucketizer(splits=[-inf, *bounds, inf], inputCol="_at", outputCol=RANGE, handleInvalid="keep")
+    return cut.transform(df.withColumn("_at", F.coalesce(numeric, lit(-inf)))).withColumn(RANGE, F.col(RANGE).cast("int")).drop("_at")
 
 
 def same(keys: list[str], left: str = "l", right: str = "r") -> Column:
