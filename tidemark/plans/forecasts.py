@@ -71,7 +71,7 @@ def _cells(spark: SparkSession, d: str) -> DataFrame:
 
 
 #: Intermediate results that many queries start from.
-MADE = {"folds": _folds, "cells": _cells, "banded": _banded}
+MADE = {"capacity": lambda spark, d: canon.capacity(spark, d, kept(spark, d, "demand")), "folds": _folds, "cells": _cells, "banded": _banded}
 
 
 # Candidates.
