@@ -46,3 +46,17 @@ def test_no_line_is_moved_to_its_supplier(spark, small, capsys):
         made(spark, small).explain()
         plan = [x for x in capsys.readouterr().out.splitlines() if "Exchange hashpartitioning" in x]
         assert plan and not any("suppkey" in x for x in plan)  # before: sums by supplier and days, as many as lines, moved twice
+
+
+def test_queries_of_the_facts_read_the_lines_once(spark, small, capsys):
+    import __spark_entry__
+
+    from tidemark.plans import forecasts
+
+    def reads(df):
+        df.explain()
+        return capsys.readouterr().out.count("l_shipdate")
+
+    assert reads(forecasts.MADE["capacity"](spark, small)) == 0  # from the demand that is kept
+    for name in ("curve_predict", "pickup_curves", "booked_by_band"):
+        assert reads(__spark_entry__.queries()[name](spark, small)) == 0, name

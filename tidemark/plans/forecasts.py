@@ -85,12 +85,12 @@ def seasonal_naive(spark: SparkSession, d: str) -> DataFrame:
 
 @query(with_(DEMAND, PICKUP, SINGLE) + "SELECT level, property, season, CAST(bin AS INTEGER) AS bin, round(pickup, 6) AS pickup FROM curves")
 def pickup_curves(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(models.pickup_curves(asof.remaining_pickup(canon.pickup(spark, d), canon.demand(spark, d), CUTOFF)).select("level", "property", "season", "bin", "pickup"))
+    return rounded(models.pickup_curves(asof.remaining_pickup(kept(spark, d, "pickup"), kept(spark, d, "demand"), CUTOFF)).select("level", "property", "season", "bin", "pickup"))
 
 
 @query(with_(DEMAND, PICKUP, SINGLE) + "SELECT property, stay_date, lead_days, round(forecast, 6) AS forecast FROM made WHERE model = 'pickup_curve'")
 def curve_predict(spark: SparkSession, d: str) -> DataFrame:
-    demand, pickup = canon.demand(spark, d), canon.pickup(spark, d)
+    demand, pickup = kept(spark, d, "demand"), kept(spark, d, "pickup")
     grid = asof.booked_on_grid(asof.request_grid(demand.select("property").distinct(), CUTOFF, HORIZON), pickup, CUTOFF)
     return rounded(models.curve_pickup(grid, models.pickup_curves(asof.remaining_pickup(pickup, demand, CUTOFF))).select("property", "stay_date", "lead_days", "forecast"))
 
