@@ -58,5 +58,5 @@ def test_queries_of_the_facts_read_the_lines_once(spark, small, capsys):
         return capsys.readouterr().out.count("l_shipdate")
 
     assert reads(forecasts.MADE["capacity"](spark, small)) == 0  # from the demand that is kept
-    for name in ("curve_predict", "pickup_curves", "booked_by_band"):
+    for name in ("curve_predict", "pickup_curves", "booked_by_band", "accuracy_table", "metrics_without_cold_start"):
         assert reads(__spark_entry__.queries()[name](spark, small)) == 0, name

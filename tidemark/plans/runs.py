@@ -193,7 +193,7 @@ def temporal_windows(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_GRADED + f"SELECT property, {_M} FROM graded WHERE property NOT IN ('ASIA') GROUP BY 1")
 def metrics_without_cold_start(spark: SparkSession, d: str) -> DataFrame:
-    new = canon.demand(spark, d).where("property = 'ASIA'").select("property")
+    new = kept(spark, d, "demand").where("property = 'ASIA'").select("property")
     return rounded(evaluate.by(evaluate.without(graded(spark, d), new), "property").select("property", *NAMES))
 
 
@@ -238,7 +238,7 @@ SELECT property, COUNT(*) AS n_obs, round(SUM(abs(error)) / nullif(SUM(abs(actua
   property = 'ASIA' AS provisional, quantile_cont(actual, 0.1) < 10 AS few_nights FROM bands JOIN k USING (property) GROUP BY 1"""
 )
 def accuracy_table(spark: SparkSession, d: str) -> DataFrame:
-    new = canon.demand(spark, d).where("property = 'ASIA'").select("property").distinct()
+    new = kept(spark, d, "demand").where("property = 'ASIA'").select("property").distinct()
     return rounded(report.accuracy_table(banded(spark, d), new).select("property", "n_obs", "wmape", "wmape_weekly", "coverage", "provisional", "few_nights"))
 
 
