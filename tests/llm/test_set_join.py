@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tidemark.llm import set_join
+from tidemark.llm import near_dedup, set_join
 
 
 def plain_sets(text, n=5):
@@ -98,3 +98,20 @@ def test_parities_never_exceed_the_difference():
             assert gap <= differ and (gap - differ) % 2 == 0
             assert keep < 0.5 or differ < 20 or gap > differ * 0.6
     assert set_join.parity_gap(set_join.parity(np.zeros(0, np.uint64)), set_join.parity(a)) <= len(a)
+
+
+def test_no_step_plans_many_others(spark, texts, monkeypatch):
+    """The driver's memory follows the largest plan that it holds: none reads more than ten tables, however often they recur."""
+    largest, settle = {}, set_join.settle
+
+    def seen(df, name):
+        largest[name] = max(largest.get(name, 0), df._jdf.queryExecution().analyzed().collectLeaves().size())
+        return settle(df, name)
+
+    monkeypatch.setattr(set_join, "settle", seen)
+    monkeypatch.setattr(near_dedup, "settle", seen)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    want = plain_groups(texts)
+    roots = {r.doc_id: r.root for r in set_join.similar_groups(docs).collect()}
+    assert len({(roots[i], w) for i, w in enumerate(want)}) == len(set(want)) == len(set(roots.values()))
+    assert max(largest.values()) <= 10, largest

@@ -249,23 +249,29 @@ def lowest(rows: DataFrame, count: int, keep: str) -> DataFrame:
     return salted.join(copies, ["u", "salt"]).drop("salt")
 
 
+def ways(rows: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
+    """u, v: these pairs of columns of each row, in one pass over rows."""
+    return rows.select(F.explode(F.array(*[F.struct(F.col(a).alias("u"), F.col(b).alias("v")) for a, b in pairs])).alias("p")).select("p.*")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root (the smallest node of its component) of every node of edges (u, v), by large-star
-    and small-star rounds until nothing changes. Nodes without links aren't in it."""
+    and small-star rounds until nothing changes. Nodes without links aren't in it. Each star is written by itself: a plan
+    of both reads the links dozens of times, and the driver holds and plans all that anew after each of its stages."""
     spark = edges.sparkSession
     now, path = settle(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     count = now.count()
     while True:
-        both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = lowest(both, 2 * count, "own").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = lowest(ways(now, ("u", "v"), ("v", "u")), 2 * count, "own").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large, between = settle(large.distinct(), "large")
         star = lowest(large, 2 * count, "least")  # each row points down now
-        small = star.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(star.select("u", F.col("m").alias("v")))
-        after, newer = settle(small.where("u <> v").distinct(), "links")
-        discard(spark, path)
+        after, newer = settle(ways(star, ("v", "m"), ("u", "m")).where("u <> v").distinct(), "links")
+        discard(spark, path), discard(spark, between)
         now, path = after, newer
         # done if each node has one link and it leads to a node without any
-        ends = now.select("u", F.lit(1).alias("out")).union(now.select(F.col("v").alias("u"), F.lit(1 << 32).alias("out")).distinct()).groupBy("u").agg(F.sum("out").alias("out"))
-        open_ends, count = ends.agg(F.count_if(~F.col("out").isin(1, 1 << 32)), F.sum(F.col("out") % (1 << 32))).first()
+        ends = now.select(F.explode(F.array(F.struct("u", F.lit(1).alias("out")), F.struct(F.col("v").alias("u"), F.lit(0).alias("out")))).alias("p")).select("p.*")
+        ends = ends.groupBy("u").agg(F.sum("out").alias("out"), F.min("out").alias("least"))
+        open_ends, count = ends.agg(F.count_if((F.col("out") > 1) | (F.col("out") > F.col("least"))), F.sum("out")).first()
         if not open_ends:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 

@@ -159,26 +159,34 @@ def possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
-    """The pairs (u, v) of classes whose sets have a Jaccard index of at least 4/5, settled."""
-    pairs, one = settle(possible(pairs, classes), "pairs")
+    """The pairs (u, v) of classes whose sets have a Jaccard index of at least 4/5, settled. So is each step: the driver's memory
+    follows the largest plan, which it plans anew after each of its stages."""
+    met, zero = settle(pairs, "likely")
+    pairs, one = settle(possible(met, classes), "pairs")
     wanted = pairs.select(F.col("u").alias("class")).union(pairs.select("v")).distinct()
-    chosen = classes.join(wanted, "class", "left_semi").select("class", "text_hash")
-    sets, two = settle(whole_sets(docs, chosen, n), "sets")
+    chosen, two = settle(classes.join(wanted, "class", "left_semi").select("class", "text_hash"), "chosen")
+    sets, three = settle(whole_sets(docs, chosen, n), "sets")
     side = lambda k: sets.select(F.col("class").alias(k), F.col("shingles").alias(f"{k}_set"))
     both = F.size(F.array_intersect("u_set", "v_set"))
     near = pairs.join(side("u"), "u").join(side("v"), "v").where(both * 9 >= (F.size("u_set") + F.size("v_set")) * 4)
     found, _ = settle(near.select("u", "v"), "near")
-    discard(docs.sparkSession, one), discard(docs.sparkSession, two)
+    for path in (zero, one, two, three):
+        discard(docs.sparkSession, path)
     return found  # the links: few rows, which the caller's plan reads again
 
 
 def fingerprint_pairs(classes: DataFrame, radius: int) -> DataFrame:
-    """u, v of classes (class, size, fp) whose fingerprints links within radius bits join: a forest, not all pairs."""
-    first = classes.groupBy("fp").agg(F.min("class").alias("first"))
+    """u, v of classes (class, size, fp) whose fingerprints links within radius bits join: a forest, not all pairs; settled,
+    as are the fingerprints and their links, so no plan holds the search and what surrounds it."""
+    spark = classes.sparkSession
+    first, one = settle(classes.groupBy("fp").agg(F.min("class").alias("first")), "first")
+    found, two = settle(links(first.select("fp"), radius), "close")
     equal = classes.join(first, "fp").where("class <> first").select(F.col("class").alias("u"), F.col("first").alias("v"))
     end = lambda k: first.select(F.col("fp").alias(k), F.col("first").alias(f"{k}_class"))
-    close = links(first.select("fp"), radius).join(end("u"), "u").join(end("v"), "v")
-    return equal.union(close.select(F.col("u_class").alias("u"), F.col("v_class").alias("v")))
+    close = found.join(end("u"), "u").join(end("v"), "v")
+    pairs, _ = settle(equal.union(close.select(F.col("u_class").alias("u"), F.col("v_class").alias("v"))), "forest")
+    discard(spark, one), discard(spark, two)
+    return pairs
 
 
 def apart(met: DataFrame, column: str) -> DataFrame:
